@@ -1,0 +1,226 @@
+"""SuperTrend: ATR bands with memory, and the side the price is on.
+
+Both bands look at their own previous value. For one bar, with previous close p and
+basic upper band b, the upper band does: keep u if p <= u <= b, else take b. The
+lower band is the same rule on negated prices. Composed over a slab, such a step
+function is: keep u inside one interval, else one of a few constants (`Pieces`).
+So slabs are summed up without knowing their start, the summaries are folded per
+symbol, and each slab then runs from its exact bands. The side (rising or falling)
+is a two-state automaton on top, folded the same way.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from barloom.operators.indicators import frame, mid_price, previous_close, true_range
+from barloom.operators.ordered import (
+    CHUNK,
+    FIRST,
+    drop_halo,
+    in_order,
+    numbers,
+    output_schema,
+    slab,
+    slab_days,
+    with_halo,
+)
+
+
+@dataclass(frozen=True)
+class SuperTrend:
+    period: int = 10
+    multiplier: float = 3.0
+
+    @property
+    def name(self) -> str:
+        return f"supertrend_{self.period}_{self.multiplier:g}"
+
+
+def band_pieces(before: np.ndarray, basic: np.ndarray) -> list[float]:
+    """The band at the end of a slab as a function of the band u before it.
+
+    Returns [low, high, edge1, value1, edge2, value2, ...]: u within low..high is
+    kept, u above high ends at high, and u below low ends at the value of the first
+    edge greater than u. If nothing is kept, low is infinite.
+    """
+    low, high = -np.inf, np.inf
+    edges: list[float] = []
+    values: list[float] = []
+    for p, b in zip(before.tolist(), basic.tolist()):
+        values = [v if p <= v <= b else b for v in values]
+        if low <= high:
+            if max(low, p) > min(high, b):
+                edges.append(np.inf)
+                values.append(b)
+                low, high = np.inf, -np.inf
+            else:
+                if p > low:
+                    edges.append(p)
+                    values.append(b)
+                    low = p
+                high = min(high, b)
+        if len(values) > 1:
+            last = [i for i in range(len(values)) if i + 1 == len(values) or values[i] != values[i + 1]]
+            if len(last) < len(values):
+                edges, values = [edges[i] for i in last], [values[i] for i in last]
+    return [low, high, *(x for pair in zip(edges, values) for x in pair)]
+
+
+def apply_pieces(pieces: list[float], u: float) -> float:
+    low, high = pieces[0], pieces[1]
+    if low <= u <= high:
+        return u
+    if low <= high < u:
+        return high
+    return next(value for edge, value in zip(pieces[2::2], pieces[3::2]) if u < edge)
+
+
+def run_band(before: np.ndarray, basic: np.ndarray, u: float) -> np.ndarray:
+    out = np.empty(len(basic))
+    for i, (p, b) in enumerate(zip(before.tolist(), basic.tolist())):
+        if not p <= u <= b:
+            u = b
+        out[i] = u
+    return out
+
+
+def sides(close: np.ndarray, upper: np.ndarray, lower: np.ndarray, rising: bool) -> np.ndarray:
+    """Rising or falling after each bar: below the lower band falls, above the upper
+    rises, both at once swaps."""
+    fall, rise = close < lower, close > upper
+    decided = np.where(fall ^ rise, np.arange(len(close)), -1)
+    last = np.maximum.accumulate(decided)
+    swaps = np.cumsum(fall & rise)
+    known = last >= 0
+    start = np.where(known, rise[last], rising)
+    since = swaps - np.where(known, swaps[last], 0)
+    return start ^ (since % 2 == 1)
+
+
+def band_inputs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(previous close, basic band) for the upper and, negated, for the lower band.
+
+    The very first bar of a symbol takes its basic bands whatever came before.
+    """
+    before = numbers(table, "prev_close")
+    first = table[FIRST].to_numpy()
+    up, down = np.where(first, np.inf, before), np.where(first, np.inf, -before)
+    return up, numbers(table, "basic_upper"), down, -numbers(table, "basic_lower")
+
+
+def keys(table: pa.Table) -> dict:
+    return {"symbol": table["symbol"][:1], CHUNK: table[CHUNK][:1]}
+
+
+def summarise_bands(table: pa.Table) -> pa.Table:
+    up, basic_upper, down, basic_lower = band_inputs(in_order(table))
+    kind = pa.list_(pa.float64())
+    return pa.table(
+        {
+            **keys(table),
+            "bars": [table.num_rows],
+            "upper": pa.array([band_pieces(up, basic_upper)], kind),
+            "lower": pa.array([band_pieces(down, basic_lower)], kind),
+        }
+    )
+
+
+def fold_bands(summaries: pa.Table) -> pa.Table:
+    """Bands before each slab of one symbol; one row per slab goes in."""
+    table = summaries.sort_by(CHUNK)
+    upper = lower = 0.0
+    starts = []
+    for up, down in zip(table["upper"].to_pylist(), table["lower"].to_pylist()):
+        starts.append((upper, lower))
+        upper, lower = apply_pieces(up, upper), apply_pieces(down, lower)
+    total = sum(table["bars"].to_pylist())
+    return pa.table(
+        {
+            "symbol": table["symbol"],
+            CHUNK: table[CHUNK],
+            "start_upper": pa.array([u for u, _ in starts], pa.float64()),
+            "start_lower": pa.array([d for _, d in starts], pa.float64()),
+            "symbol_bars": pa.array([total] * len(starts), pa.int64()),
+        }
+    )
+
+
+def bands_of(table: pa.Table, start: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    up, basic_upper, down, basic_lower = band_inputs(table)
+    upper = run_band(up, basic_upper, start["start_upper"][0].as_py())
+    lower = run_band(down, basic_lower, start["start_lower"][0].as_py())
+    return upper, -lower
+
+
+def summarise_sides(table: pa.Table, start: pa.Table) -> pa.Table:
+    table = in_order(table)
+    upper, lower = bands_of(table, start)
+    close = numbers(table, "close")
+    ends = [bool(sides(close, upper, lower, rising)[-1]) for rising in (False, True)]
+    return pa.table({**keys(table), "from_falling": [ends[0]], "from_rising": [ends[1]]})
+
+
+def trend_rows(table: pa.Table, start: pa.Table, name: str, period: int) -> pa.Table:
+    table = in_order(table)
+    upper, lower = bands_of(table, start)
+    rising = sides(numbers(table, "close"), upper, lower, start["start_rising"][0].as_py())
+    long_enough = start["symbol_bars"][0].as_py() >= period
+    line = pa.array(np.where(rising, lower, upper), mask=np.full(len(upper), not long_enough))
+    return table.append_column(name, line)
+
+
+def whole_symbol(table: pa.Table, name: str, period: int) -> pa.Table:
+    start = {"start_upper": [0.0], "start_lower": [0.0], "start_rising": [True], "symbol_bars": [table.num_rows]}
+    return trend_rows(table, pa.table(start), name, period)
+
+
+def with_supertrend(rows: DataFrame, spec: SuperTrend, interval: str, chunk_bars: int | None = None) -> DataFrame:
+    """Adds the SuperTrend line; NULL for symbols with fewer bars than the period.
+
+    Long series take three passes over one and the same shuffled input (bands,
+    sides, rows); day and coarser bars take one.
+    """
+    days = slab_days(interval, chunk_bars) if chunk_bars else slab_days(interval)
+    distance = F.col("_atr") * F.lit(spec.multiplier)
+    framed = (
+        with_halo(rows, spec.period, days)
+        .withColumn(FIRST, F.lag(F.lit(True)).over(slab()).isNull())
+        .withColumn("prev_close", previous_close())
+        .withColumn("_range", true_range())
+        .withColumn("_atr", F.avg("_range").over(frame(spec.period)))
+        .withColumn("basic_upper", mid_price() + distance)
+        .withColumn("basic_lower", mid_price() - distance)
+        .drop("_range", "_atr")
+    )
+    framed = drop_halo(framed)
+    schema = output_schema(framed, [spec.name])
+    slabs = framed.groupBy("symbol", CHUNK)
+    if days is None:
+        out = slabs.applyInArrow(lambda table: whole_symbol(table, spec.name, spec.period), schema)
+        return out.select(*rows.columns, spec.name)
+
+    key = f"symbol string, {CHUNK} int"
+    summary = slabs.applyInArrow(summarise_bands, f"{key}, bars long, upper array<double>, lower array<double>")
+    bands = summary.groupBy("symbol").applyInArrow(
+        fold_bands, f"{key}, start_upper double, start_lower double, symbol_bars long"
+    )
+    ends = slabs.cogroup(bands.groupBy("symbol", CHUNK)).applyInArrow(
+        summarise_sides, f"{key}, from_falling boolean, from_rising boolean"
+    )
+    earlier = Window.partitionBy("symbol").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    rising = F.aggregate(
+        F.collect_list(F.struct("from_falling", "from_rising")).over(earlier),
+        F.lit(True),
+        lambda side, part: F.when(side, part["from_rising"]).otherwise(part["from_falling"]),
+    )
+    starts = bands.join(ends.select("symbol", CHUNK, rising.alias("start_rising")), ["symbol", CHUNK])
+    out = slabs.cogroup(starts.groupBy("symbol", CHUNK)).applyInArrow(
+        lambda table, start: trend_rows(table, start, spec.name, spec.period), schema
+    )
+    return out.select(*rows.columns, spec.name)
