@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.bars import DEFAULT_VISIBLE_BARS, up_to, visible
-from barloom.operators.indicators import Rsi, with_averages
+from barloom.operators.indicators import Rsi, with_indicators
 
 
 def finite(value: Column) -> Column:
@@ -55,7 +55,7 @@ def comparison_rsi(
     """RSI of another symbol's bars, cut at the analysis end, on the chart's stamps."""
     if end is not None:
         chart, comparison = up_to(chart, end), up_to(comparison, end)
-    values = with_averages(comparison, [spec], interval)
+    values = with_indicators(comparison, [spec], interval)
     return align(chart, values, spec.name)
 
 

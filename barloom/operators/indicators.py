@@ -8,16 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import period_start
-from barloom.operators.ordered import (
-    CHUNK,
-    FIRST,
-    Smooth,
-    drop_halo,
-    slab,
-    slab_days,
-    smooth,
-    with_halo,
-)
+from barloom.operators.recurrences import Smooth, Total, Trend
+from barloom.operators.scan import run_scans
+from barloom.operators.slabs import CHUNK, CHUNK_BARS, FIRST, drop_halo, slab, slab_days, with_halo
 
 ANCHORS = ("Year", "Quarter", "Month", "Week", "Day")
 OVERBOUGHT, OVERSOLD = 70, 30
@@ -27,6 +20,57 @@ def alpha_of(period: int) -> float:
     return 2.0 / (period + 1)
 
 
+@dataclass(frozen=True)
+class Ema:
+    period: int
+
+    @property
+    def name(self) -> str:
+        return f"ema_{self.period}"
+
+
+@dataclass(frozen=True)
+class Rsi:
+    period: int = 14
+
+    @property
+    def name(self) -> str:
+        return f"rsi_{self.period}"
+
+
+@dataclass(frozen=True)
+class Ama:
+    efficiency_period: int = 10
+    fast_period: int = 2
+    slow_period: int = 30
+
+    @property
+    def name(self) -> str:
+        return f"ama_{self.efficiency_period}_{self.fast_period}_{self.slow_period}"
+
+
+@dataclass(frozen=True)
+class SuperTrend:
+    period: int = 10
+    multiplier: float = 3.0
+
+    @property
+    def name(self) -> str:
+        return f"supertrend_{self.period}_{self.multiplier:g}"
+
+
+@dataclass(frozen=True)
+class Vwap:
+    anchor: str
+
+    @property
+    def name(self) -> str:
+        return f"vwap_{self.anchor.lower()}"
+
+
+Spec = Ema | Rsi | Ama | SuperTrend | Vwap
+
+
 def frame(count: int) -> Window:
     """The current bar and the `count - 1` bars before it."""
     return slab().rowsBetween(-(count - 1), 0)
@@ -53,40 +97,27 @@ def mid_price() -> Column:
     return (F.col("high") + F.col("low")) / F.lit(2.0)
 
 
-@dataclass(frozen=True)
-class Ema:
-    period: int
-
-    @property
-    def name(self) -> str:
-        return f"ema_{self.period}"
+def traded() -> Column:
+    return F.coalesce(F.col("volume").cast("double"), F.lit(0.0))
 
 
-@dataclass(frozen=True)
-class Rsi:
-    period: int = 14
+def rsi_value(gain: Column, loss: Column) -> Column:
+    return F.when(loss == 0, F.lit(100.0)).otherwise((1.0 - 1.0 / (1.0 + gain / loss)) * 100.0)
 
-    @property
-    def name(self) -> str:
-        return f"rsi_{self.period}"
 
+def rsi_band(rsi: Column) -> Column:
+    return F.when(rsi >= OVERBOUGHT, F.lit("overbought")).when(rsi <= OVERSOLD, F.lit("oversold"))
 
-@dataclass(frozen=True)
-class Ama:
-    efficiency_period: int = 10
-    fast_period: int = 2
-    slow_period: int = 30
 
-    @property
-    def name(self) -> str:
-        return f"ama_{self.efficiency_period}_{self.fast_period}_{self.slow_period}"
+def vwap_value(worth: Column, volume: Column) -> Column:
+    """Before any volume in the period: the bar's own typical price."""
+    return F.when(volume != 0, worth / volume).otherwise(typical_price())
 
 
-def with_atr(rows: DataFrame, period: int, interval: str, chunk_bars: int | None = None) -> DataFrame:
+def with_atr(rows: DataFrame, period: int, interval: str, chunk_bars: int = CHUNK_BARS) -> DataFrame:
     """Adds `prev_close`, `true_range` and `atr`, the mean of the last (up to) `period` ranges."""
-    days = slab_days(interval, chunk_bars) if chunk_bars else slab_days(interval)
     framed = (
-        with_halo(rows, period, days)
+        with_halo(rows, period, slab_days(interval, chunk_bars))
         .withColumn("prev_close", previous_close())
         .withColumn("true_range", true_range())
         .withColumn("atr", F.avg("true_range").over(frame(period)))
@@ -94,79 +125,99 @@ def with_atr(rows: DataFrame, period: int, interval: str, chunk_bars: int | None
     return drop_halo(framed).drop(CHUNK)
 
 
-def smoothing_inputs(rows: DataFrame, specs: list, days: int | None) -> tuple[DataFrame, list[Smooth]]:
-    """The window columns the recurrences read, and the recurrences.
-
-    All windows share one partitioning, (symbol, slab), and so does the scan.
-    """
-    ama = [s for s in specs if isinstance(s, Ama)]
-    lookback = max([1, *[s.efficiency_period for s in ama]])
-    framed = with_halo(rows, lookback, days).withColumn(FIRST, F.lag(F.lit(True)).over(slab()).isNull())
-    scans = [Smooth(s.name, "close", alpha_of(s.period)) for s in specs if isinstance(s, Ema)]
-    if any(isinstance(s, Rsi) for s in specs):
-        change = F.col("close") - previous_close()
-        framed = framed.withColumn("_change", change)
-        framed = framed.withColumn("_gain", F.greatest(F.col("_change"), F.lit(0.0)))
-        framed = framed.withColumn("_loss", F.greatest(-F.col("_change"), F.lit(0.0))).drop("_change")
-    for spec in specs:
-        if isinstance(spec, Rsi):
-            scans.append(Smooth(f"_gain_{spec.period}", "_gain", alpha_of(spec.period)))
-            scans.append(Smooth(f"_loss_{spec.period}", "_loss", alpha_of(spec.period)))
-    if ama:
-        framed = framed.withColumn("_price", ohlc4())
-        framed = framed.withColumn("_delta", F.abs(F.col("_price") - F.lag("_price").over(slab())))
-    for spec in ama:
-        window = frame(spec.efficiency_period)
-        moved = F.abs(F.col("_price") - F.first("_price").over(window))
-        path = F.sum("_delta").over(window)
-        fast, slow = alpha_of(spec.fast_period), alpha_of(spec.slow_period)
-        ratio = F.when(path > 0, moved / path).otherwise(F.lit(0.0))
-        weight = f"_weight_{spec.name}"
-        framed = framed.withColumn(weight, F.pow(ratio * F.lit(fast - slow) + F.lit(slow), F.lit(2.0)))
-        scans.append(Smooth(spec.name, "_price", weight))
-    return drop_halo(framed), scans
-
-
-def rsi_value(gain: Column, loss: Column) -> Column:
-    return F.when(loss == 0, F.lit(100.0)).otherwise((1.0 - 1.0 / (1.0 + gain / loss)) * 100.0)
-
-
-def with_averages(rows: DataFrame, specs: list, interval: str, chunk_bars: int | None = None) -> DataFrame:
-    """Adds EMA, RSI and AMA columns: one shuffle by (symbol, slab), one ordered scan."""
-    if not specs:
-        return rows
-    days = slab_days(interval, chunk_bars) if chunk_bars else slab_days(interval)
-    inputs, scans = smoothing_inputs(rows, specs, days)
-    scanned = smooth(inputs, scans, days)
-    added = [
-        rsi_value(F.col(f"_gain_{s.period}"), F.col(f"_loss_{s.period}")).alias(s.name)
-        if isinstance(s, Rsi)
-        else F.col(s.name)
-        for s in specs
-    ]
-    return scanned.select(*rows.columns, *added)
-
-
-def rsi_band(rsi: Column) -> Column:
-    return F.when(rsi >= OVERBOUGHT, F.lit("overbought")).when(rsi <= OVERSOLD, F.lit("oversold"))
-
-
 def with_vwap(rows: DataFrame, anchors: tuple[str, ...] = ANCHORS) -> DataFrame:
     """Adds `vwap_<anchor>`: volume-weighted typical price since the period began.
 
-    A group is one symbol's period, at most a year of bars. Year, quarter, month and
-    day windows all start with (symbol, year), so one shuffle serves the four; weeks
-    straddle years and need their own.
+    Windows only. A group is one symbol's period, at most a year of bars. Year,
+    quarter, month and day windows all start with (symbol, year), so one shuffle
+    serves the four; weeks straddle years and need their own.
     """
-    framed = rows.withColumn("_typical", typical_price()).withColumn("_year", period_start(F.col("bucket"), "Year"))
-    volume = F.coalesce(F.col("volume").cast("double"), F.lit(0.0))
-    framed = framed.withColumn("_volume", volume).withColumn("_worth", F.col("_typical") * F.col("_volume"))
+    out = rows.withColumn("_volume", traded()).withColumn("_worth", typical_price() * F.col("_volume"))
+    out = out.withColumn("_year", period_start(F.col("bucket"), "Year"))
     for anchor in anchors:
-        keys = ["_week"] if anchor == "Week" else ["_year"] if anchor == "Year" else ["_year", "_period"]
-        start = period_start(F.col("bucket"), anchor)
-        framed = framed.withColumn(keys[-1], start)
+        keys = {"Week": ["_week"], "Year": ["_year"]}.get(anchor, ["_year", "_period"])
+        out = out.withColumn(keys[-1], period_start(F.col("bucket"), anchor))
         window = Window.partitionBy("symbol", *keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        worth, traded = F.sum("_worth").over(window), F.sum("_volume").over(window)
-        value = F.when(traded != 0, worth / traded).otherwise(F.col("_typical"))
-        framed = framed.withColumn(f"vwap_{anchor.lower()}", value)
-    return framed.select(*rows.columns, *[f"vwap_{a.lower()}" for a in anchors])
+        value = vwap_value(F.sum("_worth").over(window), F.sum("_volume").over(window))
+        out = out.withColumn(Vwap(anchor).name, value)
+    return out.select(*rows.columns, *[Vwap(a).name for a in anchors])
+
+
+def lookback(specs: list[Spec]) -> int:
+    """How many earlier bars the windows of these indicators reach back."""
+    spans = {Ama: "efficiency_period", SuperTrend: "period"}
+    return max([1, *[getattr(s, spans[type(s)]) for s in specs if type(s) in spans]])
+
+
+def has(specs: list[Spec], kind: type) -> bool:
+    return any(isinstance(s, kind) for s in specs)
+
+
+def window_columns(framed: DataFrame, specs: list[Spec]) -> DataFrame:
+    """What the recurrences read. All windows share the partitioning (symbol, slab)."""
+    out = framed.withColumn(FIRST, F.lag(F.lit(True)).over(slab()).isNull())
+    if has(specs, Rsi) or has(specs, SuperTrend):
+        out = out.withColumn("prev_close", previous_close())
+    if has(specs, Rsi):
+        change = F.col("close") - F.col("prev_close")
+        out = out.withColumn("_gain", F.greatest(change, F.lit(0.0)))
+        out = out.withColumn("_loss", F.greatest(-change, F.lit(0.0)))
+    if has(specs, Ama):
+        out = out.withColumn("_price", ohlc4())
+        out = out.withColumn("_delta", F.abs(F.col("_price") - F.lag("_price").over(slab())))
+    if has(specs, SuperTrend):
+        out = out.withColumn("_range", true_range())
+    if has(specs, Vwap):
+        out = out.withColumn("_volume", traded()).withColumn("_worth", typical_price() * F.col("_volume"))
+    for spec in specs:
+        if isinstance(spec, Ama):
+            window = frame(spec.efficiency_period)
+            moved, path = F.abs(F.col("_price") - F.first("_price").over(window)), F.sum("_delta").over(window)
+            ratio = F.when(path > 0, moved / path).otherwise(F.lit(0.0))
+            fast, slow = alpha_of(spec.fast_period), alpha_of(spec.slow_period)
+            weight = F.pow(ratio * F.lit(fast - slow) + F.lit(slow), F.lit(2.0))
+            out = out.withColumn(f"_weight_{spec.name}", weight)
+        elif isinstance(spec, SuperTrend):
+            distance = F.avg("_range").over(frame(spec.period)) * F.lit(spec.multiplier)
+            out = out.withColumn(f"_above_{spec.name}", mid_price() + distance)
+            out = out.withColumn(f"_below_{spec.name}", mid_price() - distance)
+        elif isinstance(spec, Vwap):
+            start = period_start(F.col("bucket"), spec.anchor)
+            changed = ~start.eqNullSafe(F.lag(start).over(slab()))
+            out = out.withColumn(f"_starts_{spec.name}", changed)
+    return out.drop("_delta", "_range")
+
+
+def recurrences(specs: list[Spec]) -> tuple[list[Smooth | Total], list[Trend]]:
+    scans: list[Smooth | Total] = []
+    trends: list[Trend] = []
+    for s in specs:
+        if isinstance(s, Ema):
+            scans.append(Smooth(s.name, "close", alpha_of(s.period)))
+        elif isinstance(s, Rsi):
+            scans += [Smooth(f"_{x}_{s.period}", f"_{x}", alpha_of(s.period)) for x in ("gain", "loss")]
+        elif isinstance(s, Ama):
+            scans.append(Smooth(s.name, "_price", f"_weight_{s.name}"))
+        elif isinstance(s, Vwap):
+            scans += [Total(f"_{x}_{s.name}", f"_{x}", f"_starts_{s.name}") for x in ("worth", "volume")]
+        else:
+            trends.append(Trend(s.name, f"_above_{s.name}", f"_below_{s.name}", s.period))
+    return scans, trends
+
+
+def value_of(spec: Spec) -> Column:
+    if isinstance(spec, Rsi):
+        return rsi_value(F.col(f"_gain_{spec.period}"), F.col(f"_loss_{spec.period}"))
+    if isinstance(spec, Vwap):
+        return vwap_value(F.col(f"_worth_{spec.name}"), F.col(f"_volume_{spec.name}"))
+    return F.col(spec.name)
+
+
+def with_indicators(rows: DataFrame, specs: list[Spec], interval: str, chunk_bars: int = CHUNK_BARS) -> DataFrame:
+    """Adds a column per indicator: one shuffle by (symbol, slab) for all of them."""
+    if not specs:
+        return rows
+    days = slab_days(interval, chunk_bars)
+    inputs = drop_halo(window_columns(with_halo(rows, lookback(specs), days), specs))
+    scanned = run_scans(inputs, *recurrences(specs), days)
+    return scanned.select(*rows.columns, *[value_of(s).alias(s.name) for s in specs])

@@ -11,7 +11,6 @@ from barloom.functions import calendar as cal
 from barloom.operators import align as al
 from barloom.operators import bars as ops
 from barloom.operators import indicators as ind
-from barloom.operators.supertrend import SuperTrend, with_supertrend
 from barloom.plans import specs as sp
 from barloom.queries import views as v
 from barloom.queries.registry import query
@@ -107,18 +106,18 @@ def ema_sql(source: str, interval: str, digits: int = 6) -> str:
 @query("win05_ema_minute", ema_sql("m1", "1m"))
 def win05_minute(spark, sf_dir):
     specs = [ind.Ema(p) for p in PERIODS]
-    return rounded(ind.with_averages(minute_bars(spark, sf_dir), specs, "1m"), *[s.name for s in specs])
+    return rounded(ind.with_indicators(minute_bars(spark, sf_dir), specs, "1m"), *[s.name for s in specs])
 
 
 @query("win05_ema_day", ema_sql("d1", "Day", 2))
 def win05_day(spark, sf_dir):
     specs = [ind.Ema(p) for p in PERIODS]
-    return rounded(ind.with_averages(day_bars(spark, sf_dir), specs, "Day"), *[s.name for s in specs], digits=2)
+    return rounded(ind.with_indicators(day_bars(spark, sf_dir), specs, "Day"), *[s.name for s in specs], digits=2)
 
 
 @query("win06_rsi", f"{numbered('1m')}, {sql_rsi(14)} SELECT symbol, bucket, round(value + 2.345678e-7, 6) AS rsi_14 FROM r")
 def win06(spark, sf_dir):
-    return rounded(ind.with_averages(minute_bars(spark, sf_dir), [ind.Rsi(14)], "1m"), "rsi_14")
+    return rounded(ind.with_indicators(minute_bars(spark, sf_dir), [ind.Rsi(14)], "1m"), "rsi_14")
 
 
 AMA_SQL = """delta AS (SELECT *, abs(price - lag(price) OVER (PARTITION BY symbol ORDER BY i)) AS d FROM n),
@@ -135,7 +134,7 @@ ama AS (
 
 @query("win07_ama", f"{numbered('1m')}, {AMA_SQL} SELECT symbol, bucket, round(y + 2.345678e-7, 6) AS ama_10_2_30 FROM ama")
 def win07(spark, sf_dir):
-    return rounded(ind.with_averages(minute_bars(spark, sf_dir), [ind.Ama()], "1m"), "ama_10_2_30")
+    return rounded(ind.with_indicators(minute_bars(spark, sf_dir), [ind.Ama()], "1m"), "ama_10_2_30")
 
 
 TREND_SQL = f"""ranges AS (SELECT *, {TR_SQL} AS tr FROM n),
@@ -160,12 +159,12 @@ SELECT symbol, bucket, CASE WHEN n_bars >= 10 THEN {line} END AS supertrend_10_3
 
 @query("win08_supertrend_minute", trend_sql("m1", "1m"))
 def win08_minute(spark, sf_dir):
-    return rounded(with_supertrend(minute_bars(spark, sf_dir), SuperTrend(), "1m"), "supertrend_10_3")
+    return rounded(ind.with_indicators(minute_bars(spark, sf_dir), [ind.SuperTrend()], "1m"), "supertrend_10_3")
 
 
 @query("win08_supertrend_day", trend_sql("d1", "Day", 2))
 def win08_day(spark, sf_dir):
-    return rounded(with_supertrend(day_bars(spark, sf_dir), SuperTrend(), "Day"), "supertrend_10_3", digits=2)
+    return rounded(ind.with_indicators(day_bars(spark, sf_dir), [ind.SuperTrend()], "Day"), "supertrend_10_3", digits=2)
 
 
 def vwap_sql(anchors, digits: int = 6) -> str:
@@ -262,7 +261,7 @@ def win13(spark, sf_dir):
         SELECT symbol, bucket, CASE WHEN value >= 70 THEN 'overbought' WHEN value <= 30 THEN 'oversold' END AS band FROM r""",
 )
 def win14(spark, sf_dir):
-    rows = ind.with_averages(day_bars(spark, sf_dir), [ind.Rsi(14)], "Day")
+    rows = ind.with_indicators(day_bars(spark, sf_dir), [ind.Rsi(14)], "Day")
     return rows.select("symbol", "bucket", ind.rsi_band(F.col("rsi_14")).alias("band"))
 
 
@@ -281,8 +280,8 @@ ALL_NAMES = ["ema_5", "ema_20", "ema_200", "ama_10_2_30", "rsi_14", "supertrend_
         JOIN r USING (symbol, bucket) JOIN trend USING (symbol, bucket) JOIN vw USING (symbol, bucket)""",
 )
 def win15(spark, sf_dir):
-    specs = sp.load_specs()
-    return rounded(sp.with_indicators(minute_bars(spark, sf_dir), specs, "1m"), *ALL_NAMES)
+    specs = sp.load_specs().specs
+    return rounded(ind.with_indicators(minute_bars(spark, sf_dir), specs, "1m"), *ALL_NAMES)
 
 
 @query(
@@ -292,7 +291,7 @@ def win15(spark, sf_dir):
 )
 def ts10(spark, sf_dir):
     known = ops.up_to(minute_bars(spark, sf_dir), END)
-    return rounded(ind.with_averages(known, [ind.Ema(20)], "1m"), "ema_20")
+    return rounded(ind.with_indicators(known, [ind.Ema(20)], "1m"), "ema_20")
 
 
 @query(
