@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.sets import added_or_removed
+from barloom.sources.adapters import ADAPTERS
 
 PROCESSED, CACHED, DELETED, UPGRADED = "processed", "cached", "deleted", "cache fingerprint upgraded"
 WORK = (PROCESSED, DELETED)
 
-# The timeframe each kind of source feeds, and its adapter version.
-KIND_TIMEFRAME = {"day": "day", "day_idx": "day", "minute": "1m", "minute_idx": "1m"}
-KIND_VERSION = {"day": 2, "day_idx": 2, "minute": 3, "minute_idx": 1}
+# Kinds whose fingerprints of an older scheme are replaced without a new read.
 UPGRADABLE = ("day", "minute", "minute_idx")
 
 
@@ -51,7 +50,7 @@ def classify(
 
 
 def timeframe_of(kind: Column) -> Column:
-    pairs = [F.lit(x) for item in KIND_TIMEFRAME.items() for x in item]
+    pairs = [F.lit(x) for a in ADAPTERS.values() for x in (a.kind, a.timeframe)]
     return F.create_map(*pairs)[kind]
 
 
