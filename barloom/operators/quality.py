@@ -78,15 +78,15 @@ def percent_mismatch(rows: DataFrame, tolerance: float = 0.01) -> DataFrame:
 
 
 def build_summary(rows: DataFrame, sources: DataFrame, files: DataFrame) -> DataFrame:
-    """One row: sources, equities, day rows, minute rows, files."""
+    """(metric, value): sources, equities, day rows, minute rows, files."""
     frame = F.col("timeframe")
-    counted = rows.agg(F.count_if(frame == "day").alias("day_rows"), F.count_if(frame == "1m").alias("minute_rows"))
-    equities = rows.where(frame == "day").select("symbol").distinct().agg(F.count(F.lit(1)).alias("equities"))
-    return (
-        counted.crossJoin(equities)
-        .crossJoin(sources.agg(F.count(F.lit(1)).alias("sources")))
-        .crossJoin(files.agg(F.count(F.lit(1)).alias("files")))
-    )
+    kinds = rows.groupBy(F.when(frame == "day", "day_rows").otherwise("minute_rows").alias("metric"))
+    equities = rows.where(frame == "day").select("symbol").distinct()
+    parts = [(sources, "sources"), (equities, "equities"), (files, "files")]
+    out = kinds.agg(F.count(F.lit(1)).alias("value"))
+    for part, metric in parts:
+        out = out.unionByName(part.agg(F.count(F.lit(1)).alias("value")).withColumn("metric", F.lit(metric)))
+    return out
 
 
 def coverage(rows: DataFrame) -> DataFrame:
