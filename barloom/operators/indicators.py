@@ -56,7 +56,8 @@ class SuperTrend:
 
     @property
     def name(self) -> str:
-        return f"supertrend_{self.period}_{self.multiplier:g}"
+        multiplier = f"{self.multiplier:g}".replace(".", "p")
+        return f"supertrend_{self.period}_{multiplier}"
 
 
 @dataclass(frozen=True)

@@ -89,6 +89,9 @@ class Database:
             return self.spark.createDataFrame([], CACHE_SCHEMA)
         return self.spark.read.schema(CACHE_SCHEMA).parquet(self.cache)
 
+    def members(self) -> DataFrame:
+        return self.spark.read.schema("symbol string").parquet(self.universe)
+
     def stored(self) -> DataFrame:
         if not exists(self.spark, self.candles):
             return self.spark.createDataFrame([], tables.TABLE_SCHEMA)
@@ -135,29 +138,39 @@ def run(spark: SparkSession, config: BuildConfig, db: Database) -> BuildReport:
     old_scheme = meta["scheme"] != SCHEME
     manifest = with_cache_state(db, db.manifest())
 
-    daily = actions_of(spark, config, db, manifest, ["day", "day_idx"], old_scheme, ())
-    old_daily = touched_outputs(db, daily, "old_daily")
-    refresh_cache(spark, db, daily, ["day", "day_idx"], None)
+    daily_kinds, intraday_kinds = ["day", "day_idx"], ["minute", "minute_idx"]
+    daily = actions_of(spark, config, db, manifest, daily_kinds, old_scheme, ())
+    counts = action_counts(daily)
+    old = [replace_rows(spark, db, daily, daily_kinds, None)] if has_work(counts) else []
 
-    members = db.written("universe", universe(db.cached().where(F.col("kind") == "day")))
-    digest = set_digest(members, "symbol").first()["digest"]
-    changed_universe = digest != meta["universe"]
-    if changed_universe:
+    digest = meta["universe"]
+    if has_work(counts) or digest is None:
+        members = universe(db.cached().where(F.col("kind") == "day"))
         members.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(db.universe)
-
-    forced = tuple(a.kind for a in ADAPTERS.values() if a.needs_universe and changed_universe)
-    intraday = actions_of(spark, config, db, manifest, ["minute", "minute_idx"], old_scheme, forced)
-    old_intraday = touched_outputs(db, intraday, "old_intraday")
-    refresh_cache(spark, db, intraday, ["minute", "minute_idx"], members)
-
+        digest = set_digest(db.members(), "symbol").first()["digest"]
+    forced = tuple(a.kind for a in ADAPTERS.values() if a.needs_universe and digest != meta["universe"])
+    intraday = actions_of(spark, config, db, manifest, intraday_kinds, old_scheme, forced)
+    intraday_counts = action_counts(intraday)
+    if has_work(intraday_counts):
+        old.append(replace_rows(spark, db, intraday, intraday_kinds, db.members()))
+
+    for action, number in intraday_counts.items():
+        counts[action] = counts.get(action, 0) + number
     actions = daily.unionByName(intraday)
-    counts = {row["action"]: row["count"] for row in actions.groupBy("action").count().collect()}
-    dirty = dirty_outputs(db, actions, old_daily.unionByName(old_intraday))
-    rewritten, removed = export(db, dirty, config.compression)
+    rewritten, removed = export(db, dirty_outputs(db, actions, old), config.compression)
     rows, files = verify(db)
-    commit(db, actions, digest)
-    state = "UPDATED" if rewritten or removed or any(a in counts for a in changes.WORK) else "NO SOURCE CHANGES"
-    return BuildReport(state, rows, files, counts, rewritten, removed)
+    changed = bool(rewritten or removed or has_work(counts))
+    if changed or changes.UPGRADED in counts or digest != meta["universe"]:
+        commit(db, actions, digest)
+    return BuildReport("UPDATED" if changed else "NO SOURCE CHANGES", rows, files, counts, rewritten, removed)
+
+
+def action_counts(actions: DataFrame) -> dict[str, int]:
+    return {row["action"]: row["count"] for row in actions.groupBy("action").count().collect()}
+
+
+def has_work(counts: dict[str, int]) -> bool:
+    return any(action in counts for action in changes.WORK)
 
 
 def with_cache_state(db: Database, manifest: DataFrame) -> DataFrame:
@@ -188,6 +201,15 @@ def actions_of(
     return db.written(f"actions_{kinds[0]}", actions.join(old, "source_key", "left"))
 
 
+def replace_rows(
+    spark: SparkSession, db: Database, actions: DataFrame, kinds: list[str], members: DataFrame | None
+) -> DataFrame:
+    """Bring the cache up to date; returns the outputs that held rows of the old files."""
+    before = touched_outputs(db, actions, f"before_{kinds[0]}")
+    refresh_cache(spark, db, actions, kinds, members)
+    return before
+
+
 def touched_outputs(db: Database, actions: DataFrame, name: str) -> DataFrame:
     """Outputs that hold rows of sources about to be replaced or removed."""
     work = actions.where(F.col("action").isin(*changes.WORK) & F.col("old_cache_id").isNotNull())
@@ -211,7 +233,7 @@ def refresh_cache(
         delete(spark, db.cache_folder(row["kind"], row["old_cache_id"]))
     for kind in kinds:
         changed = actions.where((F.col("kind") == kind) & (F.col("action") == changes.PROCESSED))
-        paths = [row["path"] for row in changed.select("path").orderBy("path").collect()]
+        paths = sorted(row["path"] for row in changed.select("path").collect())
         if not paths:
             continue
         rows = ADAPTERS[kind].read(spark, paths, members)
@@ -227,18 +249,21 @@ def refresh_cache(
         )
 
 
-def dirty_outputs(db: Database, actions: DataFrame, before: DataFrame) -> DataFrame:
+def dirty_outputs(db: Database, actions: DataFrame, before: list[DataFrame]) -> DataFrame:
     """Outputs to write again: those of changed sources before and after, and those the
     last build promised but that are not there."""
-    work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
-    after = in_folders(db.cached(), work)
     present = tables.partitions(db.stored())
     if db.builds() and not exists(db.spark, db.candles):
         missing = tables.partitions(db.cached())
     else:
         missing = db.expected().join(present, ["timeframe", "symbol"], "left_anti")
-    touched = changes.affected_symbols(before, after).unionByName(missing).distinct()
-    return db.written("dirty", touched)
+    if before:
+        work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
+        after = in_folders(db.cached(), work)
+        for held in before:
+            after = changes.affected_symbols(held, after)
+        missing = after.unionByName(missing).distinct()
+    return db.written("dirty", missing)
 
 
 def export(db: Database, dirty: DataFrame, compression: str) -> tuple[int, int]:

@@ -34,17 +34,17 @@ class BuildConfig:
 
 
 def load_config(path: str, profile: str = "local") -> BuildConfig:
-    """Read JSON; relative folders count from the file's own folder, URIs stay as they are."""
     with open(path, encoding="utf-8") as stream:
-        raw = json.load(stream)
-    base = os.path.dirname(os.path.abspath(path))
-    for key in PATH_KEYS:
-        if raw.get(key) and "://" not in raw[key]:
-            raw[key] = os.path.normpath(os.path.join(base, raw[key]))
+        return resolve(json.load(stream), os.path.dirname(os.path.abspath(path)), profile)
+
+
+def resolve(raw: dict, base: str, profile: str = "local") -> BuildConfig:
+    """Relative folders count from `base`; URIs stay as they are; the profile's keys win."""
     chosen = raw.get("profiles", {}).get(profile, {})
-    known = {f.name for f in fields(BuildConfig)}
-    return BuildConfig(
-        **{k: val for k, val in {**raw, **chosen}.items() if k in known},
-        profile=profile,
-        spark_conf={k: val for k, val in chosen.items() if k.startswith("spark.")},
-    )
+    values = {**raw, **chosen}
+    for key in PATH_KEYS:
+        if values.get(key) and "://" not in values[key]:
+            values[key] = os.path.normpath(os.path.join(base, values[key]))
+    known = {f.name for f in fields(BuildConfig)} - {"profile", "spark_conf"}
+    settings = {k: v for k, v in chosen.items() if k.startswith("spark.")}
+    return BuildConfig(**{k: v for k, v in values.items() if k in known}, profile=profile, spark_conf=settings)

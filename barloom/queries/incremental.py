@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import dataclasses
-
 from pyspark.sql import functions as F
 
 from barloom.functions.names import content_fingerprint, source_key
 from barloom.operators import sets
 from barloom.plans import build as builds
 from barloom.plans import changes
-from barloom.plans.config import BuildConfig
+from barloom.plans.config import BuildConfig, resolve
 from barloom.queries import views as v
 from barloom.queries.files import DAILY_SQL, folder, raw_daily, write_csv
 from barloom.queries.registry import query
 from barloom.queries.relational import ACTIONS_SQL, SOURCES_SQL, sources
 from barloom.session import delete, hadoop_path
 from barloom.sources import tables
-from barloom.sources.adapters import ADAPTERS, Adapter
-from barloom.sources.files import fingerprints, read_paths
+from barloom.sources.adapters import ADAPTERS
 
 
 @query(
@@ -108,6 +105,15 @@ def fresh(spark, sf_dir, name):
     return root
 
 
+def built(spark, sf_dir):
+    """Configuration of a database that one build has filled; made on first use."""
+    root = folder(spark, sf_dir, "built")
+    config = BuildConfig(f"{root}/database", f"{root}/day", f"{root}/minute")
+    if not builds.Database(spark, config.database_dir).builds():
+        builds.build(spark, write_sources(spark, sf_dir, root, raw_daily(spark, sf_dir)))
+    return config
+
+
 def shifted(rows):
     """The same lines with another closing price for 2-HIGH."""
     changed = F.trim("SYMBOL") == "2-HIGH"
@@ -153,40 +159,102 @@ def inc11(spark, sf_dir):
     return result(spark, config)
 
 
+ONE_ROW_SQL = f"WITH {DAILY_SQL} SELECT count(*) AS rows"
+
+
+def as_row(spark, report, **more):
+    """One row about a build, counted from its table."""
+    values = {"state": report.state, "rewritten": report.rewritten, **more}
+    kinds = {str: "string", int: "bigint", bool: "boolean"}
+    schema = "rows bigint, " + ", ".join(f"{k} {kinds[type(x)]}" for k, x in values.items())
+    return spark.createDataFrame([(report.rows, *values.values())], schema)
+
+
+@query(
+    "inc09_version_migration",
+    f"{ONE_ROW_SQL}, 'UPDATED' AS state, count(DISTINCT symbol) AS rewritten, 2 AS version FROM daily",
+)
+def inc09(spark, sf_dir):
+    """State of another version is thrown away and everything is built again."""
+    config = write_sources(spark, sf_dir, fresh(spark, sf_dir, "inc09"), raw_daily(spark, sf_dir))
+    builds.build(spark, config)
+    db = builds.Database(spark, config.database_dir)
+    old = spark.createDataFrame([(1, builds.SCHEME, "")], builds.META_SCHEMA)
+    old.write.mode("overwrite").parquet(f"{db.root}/state/build=9/meta")
+    report = builds.build(spark, config)
+    return as_row(spark, report, version=db.meta()["version"])
+
+
 @query(
-    "inc13_no_change_no_export",
-    f"""WITH {DAILY_SQL}, n AS (SELECT count(*) AS rows FROM daily)
-        SELECT * FROM (VALUES (1, 'UPDATED', 'build'), (2, 'NO SOURCE CHANGES', 'build'), (3, 'VERIFIED', 'verify only'))
-          AS t(step, state, mode), n""",
+    "inc10_uncommitted_build_is_retried",
+    f"{ONE_ROW_SQL}, 'UPDATED' AS state, count(DISTINCT symbol) AS rewritten FROM daily",
 )
+def inc10(spark, sf_dir):
+    """Outputs without a committed manifest are written again."""
+    config = write_sources(spark, sf_dir, fresh(spark, sf_dir, "inc10"), raw_daily(spark, sf_dir))
+    builds.build(spark, config)
+    db = builds.Database(spark, config.database_dir)
+    delete(spark, f"{db.root}/state/build={db.builds()[-1]}/meta/_SUCCESS")
+    return as_row(spark, builds.build(spark, config))
+
+
+@query("inc12_verify_only", f"{ONE_ROW_SQL}, 'VERIFIED' AS state, 0 AS rewritten FROM daily")
+def inc12(spark, sf_dir):
+    config = built(spark, sf_dir)
+    return as_row(spark, builds.build(spark, config, verify_only=True))
+
+
+@query("inc13_no_change_no_export", f"{ONE_ROW_SQL}, 'NO SOURCE CHANGES' AS state, 0 AS rewritten FROM daily")
 def inc13(spark, sf_dir):
-    """INC-10, INC-12 and INC-13: build, build again, verify only."""
-    config = write_sources(spark, sf_dir, fresh(spark, sf_dir, "inc13"), raw_daily(spark, sf_dir))
-    reports = [
-        (1, "build", builds.build(spark, config)),
-        (2, "build", builds.build(spark, config)),
-        (3, "verify only", builds.build(spark, config, verify_only=True)),
-    ]
-    rows = [(step, mode, r.state, r.rows) for step, mode, r in reports]
-    return spark.createDataFrame(rows, "step int, mode string, state string, rows bigint")
+    config = built(spark, sf_dir)
+    return as_row(spark, builds.build(spark, config))
 
 
 @query(
-    "inc14_state_and_inc15_run_record",
-    f"""WITH {DAILY_SQL}, n AS (SELECT count(*) AS rows FROM daily)
-        SELECT 2 AS version, 'sha256-content-v1' AS scheme, 'SUCCESS' AS state, true AS succeeded, rows FROM n""",
+    "inc14_version_state",
+    f"{ONE_ROW_SQL}, 2 AS version, 'sha256-content-v1' AS scheme FROM daily",
 )
 def inc14(spark, sf_dir):
-    config = write_sources(spark, sf_dir, fresh(spark, sf_dir, "inc14"), raw_daily(spark, sf_dir))
-    builds.build(spark, config)
+    config = built(spark, sf_dir)
     db = builds.Database(spark, config.database_dir)
     meta = db.meta()
     counted = db.manifest().agg(F.sum("rows").alias("rows"))
-    run = builds.last_run(db).select("state", F.col("last_successful_build_at").isNotNull().alias("succeeded")).first()
-    return counted.select(
-        F.lit(meta["version"]).alias("version"),
-        F.lit(meta["scheme"]).alias("scheme"),
-        F.lit(run["state"]).alias("state"),
-        F.lit(run["succeeded"]).alias("succeeded"),
-        "rows",
+    return counted.select("rows", F.lit(meta["version"]).alias("version"), F.lit(meta["scheme"]).alias("scheme"))
+
+
+@query(
+    "inc15_run_record",
+    f"WITH {DAILY_SQL} SELECT 'SUCCESS' AS state, true AS finished, true AS ever_succeeded, count(*) AS rows FROM daily",
+)
+def inc15(spark, sf_dir):
+    config = built(spark, sf_dir)
+    report = builds.build(spark, config)
+    run = builds.last_run(builds.Database(spark, config.database_dir))
+    return run.select(
+        "state",
+        F.col("finished_at").isNotNull().alias("finished"),
+        F.col("last_successful_build_at").isNotNull().alias("ever_succeeded"),
+        F.lit(report.rows).cast("bigint").alias("rows"),
     )
+
+
+@query("ext02_registered_kinds", f"WITH {DAILY_SQL} SELECT 'day' AS kind, timeframe, 2 AS version, count(*) AS rows FROM daily GROUP BY timeframe")
+def ext02(spark, sf_dir):
+    """What each registered kind contributed to a build."""
+    config = built(spark, sf_dir)
+    kinds = spark.createDataFrame([(a.kind, a.version) for a in ADAPTERS.values()], "kind string, version int")
+    held = builds.Database(spark, config.database_dir).cached().groupBy("kind", "timeframe")
+    return held.agg(F.count(F.lit(1)).alias("rows")).join(kinds, "kind").select("kind", "timeframe", "version", "rows")
+
+
+@query("ext03_configured_build", f"WITH {DAILY_SQL} SELECT symbol, count(*) AS rows, 'snappy' AS codec FROM daily GROUP BY 1")
+def ext03(spark, sf_dir):
+    """Relative folders and compression come from the configuration, settings from the profile."""
+    config = write_sources(spark, sf_dir, fresh(spark, sf_dir, "ext03"), raw_daily(spark, sf_dir))
+    raw = {"database_dir": "database", "day_source": "day", "minute_source": "minute", "compression": "zstd"}
+    raw["profiles"] = {"ci": {"compression": "snappy", "spark.sql.shuffle.partitions": "4"}}
+    chosen = resolve(raw, config.day_source.rsplit("/", 1)[0], "ci")
+    builds.build(spark, chosen)
+    db = builds.Database(spark, chosen.database_dir)
+    named = db.stored().select("symbol", F.regexp_extract(tables.file_path(), r"\.(\w+)\.parquet$", 1).alias("codec"))
+    return named.groupBy("symbol", "codec").agg(F.count(F.lit(1)).alias("rows"))
