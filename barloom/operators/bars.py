@@ -34,13 +34,23 @@ def delivery_percent(delivery: Column, volume: Column) -> Column:
     return F.when((volume > 0) & delivery.isNotNull(), delivery.cast("double") * F.lit(100.0) / volume)
 
 
+def with_bucket(rows: DataFrame, interval: str) -> tuple[DataFrame, Column]:
+    """Rows and the start of their bar. A tumbling window is plain integer arithmetic in
+    generated code, several times cheaper than taking stamps apart."""
+    minutes = INTERVALS[interval].minutes
+    if not minutes:
+        return rows, period_start(F.col("timestamp"), interval)
+    return rows.withColumn("_window", F.window("timestamp", f"{minutes} minutes")), F.col("_window.start")
+
+
 def aggregate_bars(rows: DataFrame, interval: str) -> DataFrame:
     """`(symbol, bucket)` bars; partial aggregation keeps the shuffle at bar size.
 
     Delivery is known only where every row of the bar has it.
     """
     stamp = F.col("timestamp")
-    grouped = rows.groupBy("symbol", period_start(stamp, interval).alias("bucket")).agg(
+    rows, bucket = with_bucket(rows, interval)
+    grouped = rows.groupBy("symbol", bucket.alias("bucket")).agg(
         opening(F.col("open"), stamp).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),

@@ -155,37 +155,47 @@ def has(specs: list[Spec], kind: type) -> bool:
 
 
 def window_columns(framed: DataFrame, specs: list[Spec]) -> DataFrame:
-    """What the recurrences read. All windows share the partitioning (symbol, slab)."""
-    out = framed.withColumn(FIRST, F.lag(F.lit(True)).over(slab()).isNull())
+    """What the recurrences read, in three layers, each built on the one before.
+
+    All windows share the partitioning (symbol, slab).
+    """
+    bars = {FIRST: F.lag(F.lit(True)).over(slab()).isNull()}
     if has(specs, Rsi) or has(specs, SuperTrend):
-        out = out.withColumn("prev_close", previous_close())
+        bars["prev_close"] = previous_close()
+    if has(specs, Ama):
+        bars["_price"] = ohlc4()
+    if has(specs, Vwap):
+        bars |= {"_volume": traded(), "_worth": typical_price() * traded()}
+    for spec in specs:
+        if isinstance(spec, Vwap):
+            start = period_start(F.col("bucket"), spec.anchor)
+            bars[f"_starts_{spec.name}"] = ~start.eqNullSafe(F.lag(start).over(slab()))
+
+    changes: dict[str, Column] = {}
     if has(specs, Rsi):
         change = F.col("close") - F.col("prev_close")
-        out = out.withColumn("_gain", F.greatest(change, F.lit(0.0)))
-        out = out.withColumn("_loss", F.greatest(-change, F.lit(0.0)))
+        changes |= {"_gain": F.greatest(change, F.lit(0.0)), "_loss": F.greatest(-change, F.lit(0.0))}
     if has(specs, Ama):
-        out = out.withColumn("_price", ohlc4())
-        out = out.withColumn("_delta", F.abs(F.col("_price") - F.lag("_price").over(slab())))
+        changes["_delta"] = F.abs(F.col("_price") - F.lag("_price").over(slab()))
     if has(specs, SuperTrend):
-        out = out.withColumn("_range", true_range())
-    if has(specs, Vwap):
-        out = out.withColumn("_volume", traded()).withColumn("_worth", typical_price() * F.col("_volume"))
+        changes["_range"] = true_range()
+
+    sliding: dict[str, Column] = {}
     for spec in specs:
         if isinstance(spec, Ama):
             window = frame(spec.efficiency_period)
             moved, path = F.abs(F.col("_price") - F.first("_price").over(window)), F.sum("_delta").over(window)
             ratio = F.when(path > 0, moved / path).otherwise(F.lit(0.0))
             fast, slow = alpha_of(spec.fast_period), alpha_of(spec.slow_period)
-            weight = F.pow(ratio * F.lit(fast - slow) + F.lit(slow), F.lit(2.0))
-            out = out.withColumn(f"_weight_{spec.name}", weight)
+            sliding[f"_weight_{spec.name}"] = F.pow(ratio * F.lit(fast - slow) + F.lit(slow), F.lit(2.0))
         elif isinstance(spec, SuperTrend):
             distance = F.avg("_range").over(frame(spec.period)) * F.lit(spec.multiplier)
-            out = out.withColumn(f"_above_{spec.name}", mid_price() + distance)
-            out = out.withColumn(f"_below_{spec.name}", mid_price() - distance)
-        elif isinstance(spec, Vwap):
-            start = period_start(F.col("bucket"), spec.anchor)
-            changed = ~start.eqNullSafe(F.lag(start).over(slab()))
-            out = out.withColumn(f"_starts_{spec.name}", changed)
+            sliding[f"_above_{spec.name}"] = mid_price() + distance
+            sliding[f"_below_{spec.name}"] = mid_price() - distance
+
+    out = framed
+    for layer in (bars, changes, sliding):
+        out = out.withColumns(layer) if layer else out
     return out.drop("_delta", "_range")
 
 
