@@ -36,7 +36,6 @@ def strict_timestamp(text: Column, pattern: str) -> Column:
     return F.to_timestamp_ntz(text, F.lit(pattern))
 
 
-def lenient_timestamp(text: Column, patterns: tuple[str, ...] = INDEX_DATE_PATTERNS) -> Column:
-    """The first pattern that fits, else NULL."""
-    tries = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
-    return F.coalesce(*tries)
+def lenient_day(text: Column, patterns: tuple[str, ...] = INDEX_DATE_PATTERNS) -> Column:
+    """Midnight of the day by the first pattern that fits, else NULL."""
+    return F.coalesce(*[F.try_to_date(text, p) for p in patterns]).cast("timestamp_ntz")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schema import CANDLE_TYPES
@@ -100,14 +100,16 @@ def coverage(rows: DataFrame) -> DataFrame:
 def missing_days(rows: DataFrame) -> DataFrame:
     """Days on which others of the timeframe traded, within a symbol's own span, but not it.
 
-    The calendar has one row per trading day, so a symbol's span joined to it is at
-    most a few thousand rows.
+    Every day gets its number in the timeframe's calendar; a jump in a symbol's numbers
+    is a gap. So only missing days are produced, never all pairs of symbol and day. The
+    windows run over days: at most 366 rows a year per symbol.
     """
     days = rows.select("timeframe", "symbol", F.col("timestamp").cast("date").alias("day")).distinct()
-    calendar = days.groupBy("timeframe").agg(F.sort_array(F.collect_set("day")).alias("calendar"))
-    spans = days.groupBy("timeframe", "symbol").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-    expected = spans.join(calendar, "timeframe").select(
-        "timeframe", "symbol", "first_day", "last_day", F.explode("calendar").alias("day")
+    number = F.row_number().over(Window.partitionBy("timeframe").orderBy("day"))
+    calendar = days.select("timeframe", "day").distinct().withColumn("number", number)
+    previous = F.lag("number").over(Window.partitionBy("timeframe", "symbol").orderBy("number"))
+    gaps = days.join(calendar, ["timeframe", "day"]).withColumn("previous", previous)
+    gaps = gaps.where(F.col("number") - F.col("previous") > 1).select(
+        "timeframe", "symbol", F.explode(F.sequence(F.col("previous") + 1, F.col("number") - 1)).alias("number")
     )
-    expected = expected.where(F.col("day").between(F.col("first_day"), F.col("last_day")))
-    return expected.select("timeframe", "symbol", "day").join(days, ["timeframe", "symbol", "day"], "left_anti")
+    return gaps.join(calendar, ["timeframe", "number"]).select("timeframe", "symbol", "day")

@@ -191,7 +191,7 @@ def actions_of(
     forced: tuple[str, ...],
 ) -> DataFrame:
     """Classified sources of some kinds, written down: hashing reads every file once."""
-    found = [ADAPTERS[kind].discover(spark, config.folder(kind)) for kind in kinds]
+    found = [ADAPTERS[kind].discover(spark, config.folder(kind), config.fingerprint) for kind in kinds]
     discovered = found[0]
     for more in found[1:]:
         discovered = discovered.unionByName(more)

@@ -15,7 +15,10 @@ SOURCE_KEYS = {"day": "day_source", "day_idx": "day_index_source", "minute": "mi
 
 @dataclass(frozen=True)
 class BuildConfig:
-    """`spark_conf` holds the chosen profile: settings for whoever starts the session."""
+    """`fingerprint` is `content` (hash every file on every build) or `stat` (size and time).
+
+    `spark_conf` holds the chosen profile: settings for whoever starts the session.
+    """
 
     database_dir: str
     day_source: str
@@ -23,6 +26,7 @@ class BuildConfig:
     day_index_source: str | None = None
     minute_index_source: str | None = None
     compression: str = "zstd"
+    fingerprint: str = "content"
     profile: str = "local"
     spark_conf: dict = field(default_factory=dict)
 

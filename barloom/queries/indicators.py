@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barloom.functions import calendar as cal
 from barloom.operators import align as al
 from barloom.operators import bars as ops
 from barloom.operators import indicators as ind
+from barloom.operators import sets
 from barloom.plans import specs as sp
 from barloom.queries import views as v
 from barloom.queries.registry import query
@@ -64,10 +64,7 @@ def sql_rsi(period: int, source: str = "n") -> str:
 
 @query("win01_surrogate_ids", f"{v.WITH_CANDLES} SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS id FROM (SELECT DISTINCT symbol FROM candles)")
 def win01(spark, sf_dir):
-    # One row per symbol goes through the single window task.
-    symbols = v.candles(spark, sf_dir).select("symbol").distinct()
-    ids = F.row_number().over(Window.orderBy("symbol")) - 1
-    return symbols.select("symbol", ids.cast("bigint").alias("id"))
+    return sets.surrogate_ids(sets.universe(v.candles(spark, sf_dir)))
 
 
 @query("win02_previous_close", f"{numbered('1m')} SELECT symbol, bucket, prev_close FROM n")

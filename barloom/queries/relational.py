@@ -106,7 +106,7 @@ def flt06(spark, sf_dir):
         WHERE timestamp BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'""",
 )
 def flt07(spark, sf_dir):
-    bounds = {"first": datetime(1997, 1, 1), "last": datetime(1997, 12, 31)}
+    bounds = {"first": "1997-01-01", "last": "1997-12-31"}
     return spark.sql(
         "SELECT symbol, timestamp, open, high, low, close, volume, delivery, del_percent FROM {daily} "
         "WHERE timestamp BETWEEN CAST(:first AS TIMESTAMP_NTZ) AND CAST(:last AS TIMESTAMP_NTZ)",

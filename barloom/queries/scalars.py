@@ -108,7 +108,7 @@ def sc05(spark, sf_dir):
     f"WITH {DATES_SQL} SELECT o_orderkey, try_strptime(text, ['%d-%m-%Y', '%d-%b-%Y', '%d/%m/%Y']) AS day FROM dates",
 )
 def sc06(spark, sf_dir):
-    return dates(spark, sf_dir).select("o_orderkey", casts.lenient_timestamp(F.col("text")).alias("day"))
+    return dates(spark, sf_dir).select("o_orderkey", casts.lenient_day(F.col("text")).alias("day"))
 
 
 @query(
@@ -210,8 +210,7 @@ def sc16(spark, sf_dir):
 )
 def sc17(spark, sf_dir):
     # Stamps are zone-less here; read them as UTC whatever the session's zone is.
-    modified = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.lit("UTC"))
-    modified = F.timestamp_micros(F.unix_micros(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts")).cast("timestamp")))
+    modified = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
     fingerprint = names.stat_fingerprint(F.lit(1), F.col("user_id"), modified)
     return v.table(spark, sf_dir, "events").select("event_id", fingerprint.alias("fingerprint"))
 

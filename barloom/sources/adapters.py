@@ -30,9 +30,10 @@ class Adapter:
     optional: bool = False
     needs_universe: bool = False
 
-    def discover(self, spark: SparkSession, folder: str | None) -> DataFrame:
+    def discover(self, spark: SparkSession, folder: str | None, fingerprint: str = "content") -> DataFrame:
         """source_key, kind, path, cache_id, fingerprint of every file in the folder."""
-        found = files.fingerprints(files.list_files(spark, folder, self.glob, self.optional), self.version)
+        listed = files.list_files(spark, folder, self.glob, self.optional)
+        found = files.fingerprints(listed, self.version, fingerprint)
         return found.select(
             source_key(self.kind, F.col("name")).alias("source_key"),
             F.lit(self.kind).alias("kind"),

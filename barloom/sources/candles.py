@@ -44,7 +44,7 @@ def daily_index(raw: DataFrame) -> DataFrame:
         "path",
         F.lit("day").alias("timeframe"),
         F.upper(F.trim("index_name")).alias("symbol"),
-        casts.lenient_timestamp(F.trim("index_date")).alias("timestamp"),
+        casts.lenient_day(F.trim("index_date")).alias("timestamp"),
         *prices,
         close.alias("close"),
         casts.lenient_bigint(F.replace("volume", F.lit(","), F.lit(""))).alias("volume"),

@@ -38,16 +38,24 @@ def list_files(spark: SparkSession, folder: str | None, glob: str, optional: boo
     return files.withColumn("name", file_name(F.col("path")))
 
 
-def fingerprints(files: DataFrame, version: int) -> DataFrame:
-    """Files with `fingerprint`: of the content, or of size and time for huge files."""
-    small = files.where(F.col("length") <= MAX_CONTENT).withColumn(
+def fingerprints(files: DataFrame, version: int, by: str = "content") -> DataFrame:
+    """Files with `fingerprint`.
+
+    `by="content"` hashes every byte: right whatever happens to modification times.
+    `by="stat"` hashes size and time and reads no content. Files too large for one row
+    always go by stat.
+    """
+    if by not in ("content", "stat"):
+        raise ValueError(f"Unknown fingerprint: {by}")
+    limit = MAX_CONTENT if by == "content" else -1
+    whole = files.where(F.col("length") <= limit).withColumn(
         "fingerprint", content_fingerprint(F.lit(version), F.col("content"))
     )
-    huge = files.where(F.col("length") > MAX_CONTENT).withColumn(
+    stat = files.where(F.col("length") > limit).withColumn(
         "fingerprint", stat_fingerprint(F.lit(version), F.col("length"), F.col("modificationTime"))
     )
     columns = ["path", "name", "length", "modificationTime", "fingerprint"]
-    return small.select(*columns).unionByName(huge.select(*columns))
+    return whole.select(*columns).unionByName(stat.select(*columns))
 
 
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:

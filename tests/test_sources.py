@@ -117,6 +117,24 @@ def test_discovery(spark, tmp_path):
     assert files.list_files(spark, str(tmp_path / "missing"), "*", optional=True).count() == 0
 
 
+def test_stat_fingerprint_reads_no_content(spark, tmp_path):
+    import os
+
+    path = tmp_path / "delivery_a.csv"
+    raw.write_day(path, [raw.day_row()])
+
+    def seen(by):
+        return ADAPTERS["day"].discover(spark, str(tmp_path), by).first()["fingerprint"]
+
+    content, stat = seen("content"), seen("stat")
+    os.utime(path, (1, 1))
+    assert seen("content") == content and seen("stat") != stat
+    found = ADAPTERS["day"].discover(spark, str(tmp_path), "stat")
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    with pytest.raises(ValueError):
+        seen("name")
+
+
 def test_header_names_agree(spark):
     from pyspark.sql import functions as F
 
