@@ -26,27 +26,32 @@ def align(target: DataFrame, source: DataFrame, value: str, order: str | None =
     return target.join(source.select("bucket", value), "bucket", "left")
 
 
-def relative_close(
-    chart: DataFrame,
-    comparison: DataFrame,
-    name: str,
-    count: int = DEFAULT_VISIBLE_BARS,
-    end: datetime | None = None,
-) -> DataFrame:
-    """Percent move of `comparison` since the first usable value in the visible bars.
+def relative_move(shown: DataFrame, comparison: DataFrame, name: str) -> DataFrame:
+    """Percent move of `comparison` since its first usable value among the shown bars.
 
-    `comparison` holds the bars of one symbol. The window covers the visible bars of
-    a symbol, at most 5000 rows.
+    `shown` comes from `visible`, `comparison` holds the bars of one symbol. The window
+    covers the shown bars of a symbol, at most 5000 rows.
     """
     source = comparison.select("bucket", F.col("close").alias("_close"))
-    shown = align(visible(chart, count, end), source, "_close")
+    rows = align(shown, source, "_close")
     usable = finite(F.col("_close")) & (F.col("_close") != 0)
     slots = Window.partitionBy("symbol").orderBy("slot").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     base = F.first(F.when(usable, F.col("_close")), ignorenulls=True).over(slots)
     move = F.when(finite(F.col("_close")), (F.col("_close") / F.col("_base") - 1.0) * 100.0)
-    return shown.withColumn("_base", base).withColumn(name, move).drop("_base", "_close")
+    return rows.withColumn("_base", base).withColumn(name, move).select(*shown.columns, name)
+
+
+def relative_close(
+    chart: DataFrame,
+    comparison: DataFrame,
+    name: str,
+    count: int = DEFAULT_VISIBLE_BARS,
+    end: datetime | None = None,
+) -> DataFrame:
+    """`relative_move` over the last `count` bars up to `end`."""
+    return relative_move(visible(chart, count, end), comparison, name)
 
 
 def comparison_rsi(

@@ -117,7 +117,8 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
         return BuildReport("VERIFIED", rows, files, {}, 0, 0)
     for adapter in ADAPTERS.values():
         folder = config.folder(adapter.kind)
-        if folder is None and not adapter.optional or folder is not None and not exists(spark, folder):
+        found = adapter.optional if folder is None else adapter.folder_may_be_missing or exists(spark, folder)
+        if not found:
             raise FileNotFoundError(f"Missing {adapter.kind} source folder: {folder}")
     if refresh or db.meta()["version"] != VERSION:
         for name in ("candles", "cache", "universe", "state", "work"):
@@ -302,8 +303,8 @@ def commit(db: Database, actions: DataFrame, digest: str) -> None:
     )
     sources.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/sources")
     tables.partitions(db.stored()).write.mode("overwrite").parquet(f"{target}/outputs")
-    meta = db.spark.createDataFrame([(VERSION, SCHEME, digest)], META_SCHEMA)
-    meta.coalesce(1).write.mode("overwrite").parquet(f"{target}/meta")
+    meta = one_row(db.spark, META_SCHEMA, VERSION, SCHEME, digest)
+    meta.write.mode("overwrite").parquet(f"{target}/meta")
 
 
 def now() -> datetime:
@@ -312,7 +313,13 @@ def now() -> datetime:
 
 def record_run(db: Database, state: str, started: datetime, finished: datetime | None, message: str) -> None:
     schema = "state string, message string, started_at timestamp_ntz, finished_at timestamp_ntz"
-    db.spark.createDataFrame([(state, message, started, finished)], schema).coalesce(1).write.mode("append").parquet(db.runs)
+    stamps = [None if stamp is None else stamp.isoformat(sep=" ") for stamp in (started, finished)]
+    one_row(db.spark, schema, state, message, *stamps).write.mode("append").parquet(db.runs)
+
+
+def one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
+    pairs = [column.rsplit(" ", 1) for column in schema.split(", ")]
+    return spark.range(1).coalesce(1).select(*[F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(values, pairs)])
 
 
 def last_run(db: Database) -> DataFrame:

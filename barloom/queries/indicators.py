@@ -12,6 +12,7 @@ from barloom.operators import bars as ops
 from barloom.operators import indicators as ind
 from barloom.operators import sets
 from barloom.plans import specs as sp
+from barloom.plans.chart import chart
 from barloom.queries import views as v
 from barloom.queries.registry import query
 
@@ -281,6 +282,34 @@ def win15(spark, sf_dir):
     return rounded(ind.with_indicators(minute_bars(spark, sf_dir), specs, "1m"), *ALL_NAMES)
 
 
+CHART_CONFIG = {
+    "indicators": [{"type": "EMA", "periods": [20]}],
+    "market_symbols": {"nifty_symbol": "view", "default_sector_symbol": "error"},
+    "relative_close": {"series": [{"source": "nifty"}, {"source": "sector"}]},
+}
+
+
+@query(
+    "win15_chart_view",
+    f"""{numbered('15m')}, cut AS MATERIALIZED (SELECT * FROM n WHERE bucket <= {END_SQL}),
+        {sql_ema('e', 'close', 20, 'cut')}, {sql_rsi(14, 'cut')},
+        back AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bucket DESC) AS k FROM cut),
+        shown AS (SELECT s.*, x.close AS x, y.close AS y FROM (SELECT * FROM back WHERE k <= 280) s
+          LEFT JOIN cut x ON x.symbol = 'view' AND x.bucket = s.bucket
+          LEFT JOIN cut y ON y.symbol = 'error' AND y.bucket = s.bucket),
+        based AS (SELECT *, first_value(CASE WHEN x <> 0 THEN x END IGNORE NULLS) OVER w AS bx,
+                         first_value(CASE WHEN y <> 0 THEN y END IGNORE NULLS) OVER w AS byy FROM shown
+          WINDOW w AS (PARTITION BY symbol ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+        SELECT symbol, bucket, round(e.y + 2.345678e-7, 6) AS ema_20, round(r.value + 2.345678e-7, 6) AS rsi_14,
+               round((x / bx - 1) * 100 + 2.345678e-7, 6) AS nifty_percent,
+               round((based.y / byy - 1) * 100 + 2.345678e-7, 6) AS sector_percent
+        FROM based JOIN e USING (symbol, bucket) JOIN r USING (symbol, bucket)""",
+)
+def win15_chart(spark, sf_dir):
+    shown = chart(v.candles(spark, sf_dir), "15m", end=END, specs=sp.load_specs(CHART_CONFIG))
+    return rounded(shown, "ema_20", "rsi_14", "nifty_percent", "sector_percent")
+
+
 @query(
     "ts10_no_lookahead",
     f"""{numbered('1m')}, cut AS MATERIALIZED (SELECT * FROM n WHERE bucket <= {END_SQL}), {sql_ema('e', 'close', 20, 'cut')}

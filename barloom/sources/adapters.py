@@ -19,7 +19,8 @@ class Adapter:
     """How one kind of source file is found, identified and read.
 
     `read(spark, paths, universe)` returns a lazy DataFrame of candle rows with the
-    `path` they came from. Raise `version` when its result changes.
+    `path` they came from. Raise `version` when its result changes. An `optional` kind
+    need not be configured.
     """
 
     kind: str
@@ -28,6 +29,7 @@ class Adapter:
     timeframe: str
     read: Reader
     optional: bool = False
+    folder_may_be_missing: bool = False
     needs_universe: bool = False
 
     def discover(self, spark: SparkSession, folder: str | None, fingerprint: str = "content") -> DataFrame:
@@ -70,7 +72,7 @@ ADAPTERS = {
     a.kind: a
     for a in (
         Adapter("day", "delivery_*.csv", 2, "day", read_daily_equity),
-        Adapter("day_idx", "ind_close_all_*.csv", 2, "day", read_daily_index, optional=True),
+        Adapter("day_idx", "ind_close_all_*.csv", 2, "day", read_daily_index, optional=True, folder_may_be_missing=True),
         Adapter("minute", "*.zip", 3, "1m", read_minutes, needs_universe=True),
         Adapter("minute_idx", "*.zip", 1, "1m", read_index_minutes, optional=True),
     )

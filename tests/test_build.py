@@ -144,9 +144,12 @@ def test_other_version_starts_over(spark, world, monkeypatch):
 
 def test_missing_folder_and_bad_codec(spark, world):
     raw_config = json.loads((world / "config.json").read_text())
-    (world / "bad.json").write_text(json.dumps(raw_config | {"minute_source": "nowhere"}))
-    with pytest.raises(FileNotFoundError):
-        build(spark, load_config(str(world / "bad.json")))
+    for key in ("day_source", "minute_source", "minute_index_source"):
+        (world / "bad.json").write_text(json.dumps(raw_config | {key: "nowhere"}))
+        with pytest.raises(FileNotFoundError):
+            build(spark, load_config(str(world / "bad.json")))
+    (world / "bad.json").write_text(json.dumps(raw_config | {"day_index_source": "nowhere"}))
+    assert build(spark, load_config(str(world / "bad.json"))).actions == {"processed": 2}
     (world / "bad.json").write_text(json.dumps(raw_config | {"compression": "rar"}))
     with pytest.raises(ValueError):
         load_config(str(world / "bad.json"))
