@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -247,12 +248,14 @@ def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns:
     Each group of files with the same header is one native CSV scan, which splits
     large files and prunes columns.
     """
-    out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["path", *columns]))
+    scans = []
     for header, paths in groups:
         names = normalize_header(header)
         unique = [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
         schema = ", ".join(f"`{n}` string" for n in unique)
         rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(paths)
         picked = [F.col(c) if c in unique else F.lit(None).cast("string").alias(c) for c in columns]
-        out = out.unionByName(rows.select(clean_path(F.col("_metadata.file_path")).alias("path"), *picked))
-    return out
+        scans.append(rows.select(clean_path(F.col("_metadata.file_path")).alias("path"), *picked))
+    if not scans:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["path", *columns]))
+    return reduce(DataFrame.unionByName, scans)
