@@ -30,7 +30,7 @@ from barloom.operators.slabs import CHUNK
 KEY = f"symbol string, {CHUNK} int"
 SUMMARY = f"{KEY}, bars long, factors array<double>, terms array<double>, upper array<array<double>>, lower array<array<double>>"
 STATE = f"{KEY}, carry array<double>, upper array<double>, lower array<double>, symbol_bars long"
-SIDES = f"{KEY}, from_falling array<boolean>, from_rising array<boolean>"
+SIDES = f"{STATE}, from_falling array<boolean>, from_rising array<boolean>"
 
 DOUBLES = pa.list_(pa.float64())
 
@@ -79,6 +79,7 @@ def bands(table: pa.Table, trend: Trend, upper: float, lower: float) -> tuple[np
 
 
 def summarise_sides(table: pa.Table, state: pa.Table, trends: list[Trend]) -> pa.Table:
+    """The slab's state, and the side each trend ends on from either side."""
     table, start = in_order(table), state.to_pylist()[0]
     close = numbers(table, "close")
     ends: dict[bool, list[bool]] = {False: [], True: []}
@@ -86,7 +87,8 @@ def summarise_sides(table: pa.Table, state: pa.Table, trends: list[Trend]) -> pa
         both = bands(table, trend, upper, lower)
         for side, found in ends.items():
             found.append(bool(run_sides(close, *both, side)[-1]))
-    return one_row(table, from_falling=[ends[False]], from_rising=[ends[True]])
+    state = state.append_column("from_falling", pa.array([ends[False]]))
+    return state.append_column("from_rising", pa.array([ends[True]]))
 
 
 def finish(table: pa.Table, start: dict, scans: list[Smooth | Total], trends: list[Trend]) -> pa.Table:
@@ -123,7 +125,7 @@ def run_scans(rows: DataFrame, scans: list[Smooth | Total], trends: list[Trend],
         ends = slabs.cogroup(state.groupBy("symbol", CHUNK)).applyInArrow(
             lambda table, start: summarise_sides(table, start, trends), SIDES
         )
-        state = state.join(fold_sides(ends, len(trends)), ["symbol", CHUNK])
+        state = fold_sides(ends, len(trends))
     else:
         state = state.withColumn("rising", F.array().cast("array<boolean>"))
     return slabs.cogroup(state.groupBy("symbol", CHUNK)).applyInArrow(
@@ -132,7 +134,7 @@ def run_scans(rows: DataFrame, scans: list[Smooth | Total], trends: list[Trend],
 
 
 def fold_sides(ends: DataFrame, trends: int) -> DataFrame:
-    """The side before each slab; symbols start rising."""
+    """Adds the side before each slab; symbols start rising."""
     earlier = Window.partitionBy("symbol").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     past = F.collect_list(F.arrays_zip("from_falling", "from_rising")).over(earlier)
     rising = F.aggregate(
@@ -142,4 +144,4 @@ def fold_sides(ends: DataFrame, trends: int) -> DataFrame:
             side, part, lambda up, ends: F.when(up, ends["from_rising"]).otherwise(ends["from_falling"])
         ),
     )
-    return ends.select("symbol", CHUNK, rising.alias("rising"))
+    return ends.withColumn("rising", rising).drop("from_falling", "from_rising")
