@@ -1,8 +1,12 @@
 """The incremental build: source files to candle table, only what changed.
 
 Folders under the database: `candles` (the result), `cache` (normalised rows per
-source), `universe`, `state/build=N` (manifest, written last: the commit), `runs`,
-`work` (written tables that several steps of one build share).
+source), `universe`, `state/build=N` (manifest; its `meta` is written last and is the
+commit), `runs`, `work` (written tables that several steps of one build share).
+
+Before a build changes the cache it notes, under its own number, which sources and
+outputs it is about to touch. If it dies, the next build starts from the last committed
+manifest, takes those sources as unread and those outputs as dirty.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from barloom.sources import tables
 from barloom.sources.adapters import ADAPTERS
 from barloom.sources.files import file_name
 
+# Manifest version and the name of its fingerprints.
 VERSION = 2
 SCHEME = "sha256-content-v1"
 
@@ -84,6 +89,19 @@ class Database:
             return self.spark.createDataFrame([], "timeframe string, symbol string")
         return self.spark.read.parquet(f"{self.root}/state/build={builds[-1]}/outputs")
 
+    def next_build(self) -> str:
+        builds = self.builds()
+        return f"{self.root}/state/build={builds[-1] + 1 if builds else 1}"
+
+    def touch(self, name: str, frame: DataFrame) -> None:
+        frame.write.mode("append").parquet(f"{self.next_build()}/touched_{name}")
+
+    def touched(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.next_build()}/touched_{name}"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path).distinct()
+
     def cached(self) -> DataFrame:
         if not exists(self.spark, self.cache):
             return self.spark.createDataFrame([], CACHE_SCHEMA)
@@ -137,12 +155,14 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
 def run(spark: SparkSession, config: BuildConfig, db: Database) -> BuildReport:
     meta = db.meta()
     old_scheme = meta["scheme"] != SCHEME
-    manifest = with_cache_state(db, db.manifest())
+    drop_orphans(db)
+    manifest = with_cache_state(db)
 
     daily_kinds, intraday_kinds = ["day", "day_idx"], ["minute", "minute_idx"]
     daily = actions_of(spark, config, db, manifest, daily_kinds, old_scheme, ())
     counts = action_counts(daily)
-    old = [replace_rows(spark, db, daily, daily_kinds, None)] if has_work(counts) else []
+    if has_work(counts):
+        replace_rows(spark, db, daily, daily_kinds, None)
 
     digest = meta["universe"]
     if has_work(counts) or digest is None:
@@ -153,12 +173,12 @@ def run(spark: SparkSession, config: BuildConfig, db: Database) -> BuildReport:
     intraday = actions_of(spark, config, db, manifest, intraday_kinds, old_scheme, forced)
     intraday_counts = action_counts(intraday)
     if has_work(intraday_counts):
-        old.append(replace_rows(spark, db, intraday, intraday_kinds, db.members()))
+        replace_rows(spark, db, intraday, intraday_kinds, db.members())
 
     for action, number in intraday_counts.items():
         counts[action] = counts.get(action, 0) + number
     actions = daily.unionByName(intraday)
-    rewritten, removed = export(db, dirty_outputs(db, actions, old), config.compression)
+    rewritten, removed = export(db, dirty_outputs(db, actions), config.compression)
     rows, files = verify(db)
     changed = bool(rewritten or removed or has_work(counts))
     if changed or changes.UPGRADED in counts or digest != meta["universe"]:
@@ -174,12 +194,26 @@ def has_work(counts: dict[str, int]) -> bool:
     return any(action in counts for action in changes.WORK)
 
 
-def with_cache_state(db: Database, manifest: DataFrame) -> DataFrame:
-    """`has_cache`: the source's rows are still there, or there were none to keep."""
+def drop_orphans(db: Database) -> None:
+    """Remove cached rows no committed manifest knows (a build died after writing them)."""
+    held = db.cached().select("kind", "cache_id").distinct()
+    orphans = held.join(db.manifest(), ["kind", "cache_id"], "left_anti")
+    folders = orphans.collect()
+    if not folders:
+        return
+    db.touch("outputs", tables.partitions(in_folders(db.cached(), orphans)))
+    for row in folders:
+        delete(db.spark, db.cache_folder(row["kind"], row["cache_id"]))
+
+
+def with_cache_state(db: Database) -> DataFrame:
+    """The manifest with `has_cache`: a source's rows are still there (or there were none
+    to keep) and no unfinished build touched them."""
     held = db.cached().select("kind", "cache_id").distinct().withColumn("_held", F.lit(True))
-    joined = manifest.join(held, ["kind", "cache_id"], "left")
-    has_cache = F.coalesce(F.col("_held"), F.col("rows") == 0, F.lit(False))
-    return joined.withColumn("has_cache", has_cache).drop("_held")
+    pending = db.touched("sources", "source_key string").withColumn("_pending", F.lit(True))
+    joined = db.manifest().join(held, ["kind", "cache_id"], "left").join(pending, "source_key", "left")
+    has_cache = F.coalesce(F.col("_held"), F.col("rows") == 0, F.lit(False)) & F.col("_pending").isNull()
+    return joined.withColumn("has_cache", has_cache).drop("_held", "_pending")
 
 
 def actions_of(
@@ -197,25 +231,18 @@ def actions_of(
     for more in found[1:]:
         discovered = discovered.unionByName(more)
     known = manifest.where(F.col("kind").isin(kinds))
-    actions = changes.classify(discovered, known, old_scheme, forced)
-    old = known.select("source_key", F.col("cache_id").alias("old_cache_id"), F.col("rows").alias("old_rows"))
-    return db.written(f"actions_{kinds[0]}", actions.join(old, "source_key", "left"))
+    return db.written(f"actions_{kinds[0]}", changes.classify(discovered, known, old_scheme, forced))
 
 
 def replace_rows(
     spark: SparkSession, db: Database, actions: DataFrame, kinds: list[str], members: DataFrame | None
-) -> DataFrame:
-    """Bring the cache up to date; returns the outputs that held rows of the old files."""
-    before = touched_outputs(db, actions, f"before_{kinds[0]}")
+) -> None:
+    """Bring the cache up to date, after noting what that touches."""
+    work = actions.where(F.col("action").isin(*changes.WORK))
+    folders = work.where(F.col("old_cache_id").isNotNull()).select("kind", F.col("old_cache_id").alias("cache_id"))
+    db.touch("outputs", tables.partitions(in_folders(db.cached(), folders)))
+    db.touch("sources", work.select("source_key"))
     refresh_cache(spark, db, actions, kinds, members)
-    return before
-
-
-def touched_outputs(db: Database, actions: DataFrame, name: str) -> DataFrame:
-    """Outputs that hold rows of sources about to be replaced or removed."""
-    work = actions.where(F.col("action").isin(*changes.WORK) & F.col("old_cache_id").isNotNull())
-    folders = work.select("kind", F.col("old_cache_id").alias("cache_id"))
-    return db.written(name, tables.partitions(in_folders(db.cached(), folders)))
 
 
 def in_folders(cached: DataFrame, folders: DataFrame) -> DataFrame:
@@ -250,21 +277,17 @@ def refresh_cache(
         )
 
 
-def dirty_outputs(db: Database, actions: DataFrame, before: list[DataFrame]) -> DataFrame:
+def dirty_outputs(db: Database, actions: DataFrame) -> DataFrame:
     """Outputs to write again: those of changed sources before and after, and those the
     last build promised but that are not there."""
-    present = tables.partitions(db.stored())
     if db.builds() and not exists(db.spark, db.candles):
         missing = tables.partitions(db.cached())
     else:
-        missing = db.expected().join(present, ["timeframe", "symbol"], "left_anti")
-    if before:
-        work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
-        after = in_folders(db.cached(), work)
-        for held in before:
-            after = changes.affected_symbols(held, after)
-        missing = after.unionByName(missing).distinct()
-    return db.written("dirty", missing)
+        missing = db.expected().join(tables.partitions(db.stored()), ["timeframe", "symbol"], "left_anti")
+    before = db.touched("outputs", "timeframe string, symbol string")
+    work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
+    after = in_folders(db.cached(), work)
+    return db.written("dirty", changes.affected_symbols(before, after).unionByName(missing).distinct())
 
 
 def export(db: Database, dirty: DataFrame, compression: str) -> tuple[int, int]:
@@ -272,12 +295,15 @@ def export(db: Database, dirty: DataFrame, compression: str) -> tuple[int, int]:
     frames = [row["timeframe"] for row in dirty.select("timeframe").distinct().collect()]
     if not frames:
         return 0, 0
+    keys = ["timeframe", "symbol"]
     kinds = [a.kind for a in ADAPTERS.values() if a.timeframe in frames]
-    rows = db.cached().where(F.col("kind").isin(kinds)).join(dirty, ["timeframe", "symbol"], "left_semi")
-    kept = db.written("kept", tables.partitions(rows))
+    rows = db.cached().where(F.col("kind").isin(kinds)).join(dirty, keys, "left_semi")
+    held = tables.partitions(rows).withColumn("held", F.lit(True))
+    outputs = db.written("outputs", dirty.join(held, keys, "left"))
+    counts = {row["held"]: row["count"] for row in outputs.groupBy("held").count().collect()}
     tables.write_candles(rows, db.candles, compression)
-    stale = dirty.join(kept, ["timeframe", "symbol"], "left_anti")
-    return kept.count(), tables.drop_partitions(db.spark, db.candles, stale)
+    removed = tables.drop_partitions(db.spark, db.candles, outputs.where(F.col("held").isNull())) if None in counts else 0
+    return counts.get(True, 0), removed
 
 
 def verify(db: Database) -> tuple[int, int]:
@@ -292,14 +318,15 @@ def verify(db: Database) -> tuple[int, int]:
 
 def commit(db: Database, actions: DataFrame, digest: str) -> None:
     """Write the manifest of this build; `meta` comes last and makes it count."""
-    builds = db.builds()
-    target = f"{db.root}/state/build={builds[-1] + 1 if builds else 1}"
+    target = db.next_build()
     live = actions.where(F.col("action") != changes.DELETED)
     read = live.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
     counted = in_folders(db.cached(), read).groupBy("kind", "cache_id").agg(F.count(F.lit(1)).alias("new_rows"))
-    rows = F.when(F.col("action") == changes.PROCESSED, F.coalesce("new_rows", F.lit(0))).otherwise(F.col("old_rows"))
+    fresh = F.col("action") == changes.PROCESSED
+    rows = F.when(fresh, F.coalesce("new_rows", F.lit(0))).otherwise(F.col("old_rows"))
+    folder = F.when(fresh, F.col("cache_id")).otherwise(F.col("old_cache_id"))
     sources = live.join(counted, ["kind", "cache_id"], "left").select(
-        "source_key", "kind", "cache_id", "fingerprint", rows.alias("rows")
+        "source_key", "kind", folder.alias("cache_id"), "fingerprint", rows.alias("rows")
     )
     sources.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/sources")
     tables.partitions(db.stored()).write.mode("overwrite").parquet(f"{target}/outputs")

@@ -23,17 +23,13 @@ def classify(
 ) -> DataFrame:
     """One row per source ever seen, with its `action`.
 
-    `discovered`: source_key, kind, fingerprint. `manifest`: the same plus
-    `has_cache`. A source is processed when it is new, changed, its cache is gone or
+    `discovered`: source_key, kind, fingerprint and more. `manifest`: the same plus
+    `has_cache`; its columns come back with the prefix `old_`. A source is processed when it is new, changed, its cache is gone or
     its kind is to be reprocessed; a fingerprint of an old scheme is replaced
     without reading the source again.
     """
-    old = manifest.select(
-        "source_key",
-        F.col("kind").alias("old_kind"),
-        F.col("fingerprint").alias("old_fingerprint"),
-        "has_cache",
-    )
+    renamed = [F.col(c).alias(f"old_{c}") for c in manifest.columns if c not in ("source_key", "has_cache")]
+    old = manifest.select("source_key", "has_cache", *renamed)
     both = discovered.join(old, "source_key", "full_outer")
     forced = F.col("kind").isin(*reprocess_kinds) if reprocess_kinds else F.lit(False)
     cached = F.coalesce(F.col("has_cache"), F.lit(False))

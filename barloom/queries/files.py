@@ -249,7 +249,7 @@ def src05(spark, sf_dir):
 @query(
     "src06_archive_member_gate",
     f"""SELECT CAST(event_id // {ARCHIVE_ROWS} AS VARCHAR) || '.zip' AS path,
-        CASE WHEN (event_id // {ARCHIVE_ROWS}) % 2 = 0 THEN 1 ELSE 3 END AS members,
+        CASE WHEN (event_id // {ARCHIVE_ROWS}) % 2 = 0 THEN 1::BIGINT ELSE 3 END AS members,
         (event_id // {ARCHIVE_ROWS}) % 2 = 0 AS accepted FROM events GROUP BY event_id // {ARCHIVE_ROWS}""",
 )
 def src06(spark, sf_dir):

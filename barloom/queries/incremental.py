@@ -198,13 +198,13 @@ def inc10(spark, sf_dir):
     return as_row(spark, builds.build(spark, config))
 
 
-@query("inc12_verify_only", f"{ONE_ROW_SQL}, 'VERIFIED' AS state, 0 AS rewritten FROM daily")
+@query("inc12_verify_only", f"{ONE_ROW_SQL}, 'VERIFIED' AS state, 0::BIGINT AS rewritten FROM daily")
 def inc12(spark, sf_dir):
     config = built(spark, sf_dir)
     return as_row(spark, builds.build(spark, config, verify_only=True))
 
 
-@query("inc13_no_change_no_export", f"{ONE_ROW_SQL}, 'NO SOURCE CHANGES' AS state, 0 AS rewritten FROM daily")
+@query("inc13_no_change_no_export", f"{ONE_ROW_SQL}, 'NO SOURCE CHANGES' AS state, 0::BIGINT AS rewritten FROM daily")
 def inc13(spark, sf_dir):
     config = built(spark, sf_dir)
     return as_row(spark, builds.build(spark, config))

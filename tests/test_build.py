@@ -104,20 +104,58 @@ def test_source_without_rows_is_not_read_again(spark, world):
     assert build(spark, config).actions == {"cached": 4}
 
 
-def test_interrupted_build_is_retried(spark, world, monkeypatch):
+def fail_at(step, spark, config, monkeypatch):
+    """Run a build that dies when it reaches `step`."""
     from barloom.plans import build as module
 
-    config = load_config(str(world / "config.json"))
-    build(spark, config)
-    raw.write_day(world / "day" / "delivery_01-Jan-2025.csv", [raw.day_row(close="107")])
     with monkeypatch.context() as patch:
-        patch.setattr(module, "export", lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(module, step, lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             build(spark, config)
-    run = last_run(Database(spark, config.database_dir)).first()
-    assert run["state"] == "FAILED"
-    assert build(spark, config).actions == {"processed": 1, "cached": 2}
-    assert candle(spark, config, "ABC", "day")[0]["close"] == 107
+    assert last_run(Database(spark, config.database_dir)).first()["state"] == "FAILED"
+
+
+@pytest.mark.parametrize("step", ["export", "commit"])
+def test_interrupted_build_is_retried(spark, world, monkeypatch, step):
+    config = load_config(str(world / "config.json"))
+    day = world / "day" / "delivery_01-Jan-2025.csv"
+    raw.write_day(day, [raw.day_row(), raw.day_row("GONE")])
+    build(spark, config)
+    raw.write_day(day, [raw.day_row(close="107"), raw.day_row("NEW")])
+    raw.write_day(world / "day" / "delivery_02-Jan-2025.csv", [raw.day_row("SHORT", date=" 02-Jan-2025")])
+    fail_at(step, spark, config, monkeypatch)
+    # Meanwhile the new file disappears.
+    (world / "day" / "delivery_02-Jan-2025.csv").unlink()
+    build(spark, config)
+    retried = contents(spark, config)
+    assert {r[8] for r in retried} == {"1m", "day"} and candle(spark, config, "ABC", "day")[0]["close"] == 107
+    build(spark, config, refresh=True)
+    assert contents(spark, config) == retried
+
+
+def test_interrupted_build_then_reverted_source(spark, world, monkeypatch):
+    config = load_config(str(world / "config.json"))
+    day = world / "day" / "delivery_01-Jan-2025.csv"
+    build(spark, config)
+    before, original = contents(spark, config), day.read_bytes()
+    raw.write_day(day, [raw.day_row("OTHER", close="1")])
+    fail_at("commit", spark, config, monkeypatch)
+    day.write_bytes(original)
+    build(spark, config)
+    assert contents(spark, config) == before
+
+
+def test_moved_sources_keep_their_cache(spark, world):
+    config = load_config(str(world / "config.json"))
+    build(spark, config)
+    (world / "day").rename(world / "moved")
+    text = (world / "config.json").read_text().replace('"day_source": "day"', '"day_source": "moved"')
+    (world / "config.json").write_text(text)
+    moved = load_config(str(world / "config.json"))
+    assert build(spark, moved).actions == {"cached": 3}
+    raw.write_day(world / "moved" / "delivery_01-Jan-2025.csv", [raw.day_row(close="108")])
+    assert build(spark, moved).rows == 3
+    assert [r["close"] for r in candle(spark, moved, "ABC", "day")] == [108.0]
 
 
 def test_old_scheme_is_upgraded_without_reading(spark, world, monkeypatch):
