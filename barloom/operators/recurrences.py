@@ -6,6 +6,7 @@ can be summed up in parallel) and as values per bar once that state is known.
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
@@ -88,28 +89,42 @@ def band_pieces(before: np.ndarray, basic: np.ndarray) -> list[float]:
     Returns [low, high, edge1, value1, edge2, value2, ...]: u within low..high is
     kept, u above high ends at high, and u below low ends at the value of the first
     edge greater than u. If nothing is kept, low is infinite.
+
+    Bands that left low..high form groups of equal value, held in ascending order. A
+    step moves the groups outside p..b to b, above all others, so it only touches the
+    two ends: the whole slab takes time in proportion to its bars.
     """
     low, high = -np.inf, np.inf
     edges: list[float] = []
-    values: list[float] = []
+    leader: list[int] = []
+    groups: deque[tuple[float, int]] = deque()
     for p, b in zip(before.tolist(), basic.tolist()):
-        values = [v if p <= v <= b else b for v in values]
+        moved = []
+        while groups and groups[0][0] < p:
+            moved.append(groups.popleft()[1])
+        while groups and groups[-1][0] >= b:
+            moved.append(groups.pop()[1])
         if low <= high:
-            if max(low, p) > min(high, b):
-                edges.append(np.inf)
-                values.append(b)
-                low, high = np.inf, -np.inf
-            else:
-                if p > low:
-                    edges.append(p)
-                    values.append(b)
-                    low = p
-                high = min(high, b)
-        if len(values) > 1:
-            last = [i for i in range(len(values)) if i + 1 == len(values) or values[i] != values[i + 1]]
-            if len(last) < len(values):
-                edges, values = [edges[i] for i in last], [values[i] for i in last]
-    return [low, high, *(x for pair in zip(edges, values) for x in pair)]
+            dies = max(low, p) > min(high, b)
+            if dies or p > low:
+                edges.append(np.inf if dies else p)
+                leader.append(len(leader))
+                moved.append(leader[-1])
+            low, high = (np.inf, -np.inf) if dies else (max(low, p), min(high, b))
+        if moved:
+            for piece in moved:
+                leader[piece] = moved[0]
+            groups.append((b, moved[0]))
+    value_of = {piece: value for value, piece in groups}
+    pieces: list[float] = []
+    for piece, edge in enumerate(edges):
+        while piece != leader[piece]:
+            leader[piece] = piece = leader[leader[piece]]
+        if pieces and pieces[-1] == value_of[piece]:
+            pieces[-2] = edge
+        else:
+            pieces += [edge, value_of[piece]]
+    return [low, high, *pieces]
 
 
 def apply_pieces(pieces: list[float], u: float) -> float:

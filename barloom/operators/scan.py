@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,12 +60,15 @@ def summarise(table: pa.Table, scans: list[Smooth | Total], trends: list[Trend])
 def fold(summaries: pa.Table) -> pa.Table:
     """State before each slab of one symbol. One row per slab goes in: a century of
     minutes is about 1,200 rows."""
-    rows = summaries.sort_by(CHUNK).to_pylist()
-    carry = [0.0] * len(rows[0]["factors"])
-    upper = lower = [0.0] * len(rows[0]["upper"])
-    total = sum(row["bars"] for row in rows)
+    table = summaries.sort_by(CHUNK)
+    total = pc.sum(table["bars"]).as_py()
+    carry = upper = lower = None
     out = []
-    for row in rows:
+    for i in range(table.num_rows):
+        row = {name: table[name][i].as_py() for name in table.column_names}
+        if carry is None:
+            carry, upper = [0.0] * len(row["factors"]), [0.0] * len(row["upper"])
+            lower = upper
         out.append((row["symbol"], row[CHUNK], carry, upper, lower, total))
         carry = [f * y + t for f, t, y in zip(row["factors"], row["terms"], carry)]
         upper = [apply_pieces(p, u) for p, u in zip(row["upper"], upper)]
