@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import INTERVALS, next_period_start, ntz, period_start
+from barloom.operators.sets import join_symbols
 
 BAR_COLUMNS = ["symbol", "bucket", "open", "high", "low", "close", "volume", "delivery", "del_percent"]
 
@@ -135,7 +136,7 @@ def bars_with_fallback(candles: DataFrame, interval: str, as_of: datetime | None
     if INTERVALS[interval].timeframe == "1m":
         return wanted
     daily = candles.where(F.col("timeframe") == "day").select("symbol").distinct()
-    minutes = bars(candles.join(daily, "symbol", "left_anti"), "1m", as_of).withColumn("interval", F.lit("1m"))
+    minutes = bars(join_symbols(candles, daily, "left_anti"), "1m", as_of).withColumn("interval", F.lit("1m"))
     return wanted.unionByName(minutes)
 
 
@@ -145,7 +146,7 @@ def comparison_bars(candles: DataFrame, interval: str, as_of: datetime | None =
     if INTERVALS[interval].timeframe == "1m":
         return wanted
     daily = candles.where(F.col("timeframe") == "day").select("symbol").distinct()
-    minutes = bars(candles.join(daily, "symbol", "left_anti"), "1m", as_of)
+    minutes = bars(join_symbols(candles, daily, "left_anti"), "1m", as_of)
     return wanted.unionByName(roll_up(minutes, interval))
 
 

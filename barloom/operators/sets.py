@@ -6,6 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A set of symbols up to this size (some tens of megabytes) may be broadcast.
+SMALL_SET = 1_000_000
+
+
+def join_symbols(rows: DataFrame, symbols: DataFrame, how: str) -> DataFrame:
+    """Join candle rows with a set of symbols.
+
+    The set is counted first (one narrow column). A small one is broadcast, so that the
+    rows are not shuffled and a busy symbol stays spread out. Spark cannot know this
+    size when it plans, and would shuffle the rows before it finds out. A large set
+    takes the shuffle join, where adaptive execution splits skewed keys.
+    """
+    small = symbols.limit(SMALL_SET + 1).count() <= SMALL_SET
+    return rows.join(F.broadcast(symbols) if small else symbols, "symbol", how)
+
+
 def universe(candles: DataFrame) -> DataFrame:
     return candles.select("symbol").distinct()
 

@@ -427,7 +427,7 @@ def snk06(spark, sf_dir):
     path = stored(spark, sf_dir, "snk06")
     rows = v.candles(spark, sf_dir)
     affected = sets.universe(rows).where(F.col("symbol").isin("view", "2-HIGH"))
-    changed = rows.join(affected, "symbol", "left_semi").withColumn("close", F.col("close") * 2)
+    changed = sets.join_symbols(rows, affected, "left_semi").withColumn("close", F.col("close") * 2)
     tables.write_candles(changed, path)
     return tables.read_candles(spark, path).select("symbol", "timeframe", "timestamp", "close")
 

@@ -88,7 +88,7 @@ def flt05(spark, sf_dir):
     rows = v.candles(spark, sf_dir)
     listed = sets.universe(rows.where(F.col("timeframe") == "day"))
     minutes = rows.where(F.col("timeframe") == "1m").select("symbol", "timestamp", "close")
-    return minutes.join(listed, "symbol", "left_semi")
+    return sets.join_symbols(minutes, listed, "left_semi")
 
 
 @query(
@@ -195,9 +195,6 @@ def flt14(spark, sf_dir):
     )
 
 
-# No side below is broadcast by hint: Catalyst compares sizes and decides.
-
-
 @query(
     "join01_symbol_set",
     f"""{v.WITH_CANDLES}, ids AS (SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS id FROM (SELECT DISTINCT symbol FROM candles))
@@ -207,7 +204,7 @@ def join01(spark, sf_dir):
     from barloom.queries.indicators import win01
 
     rows = v.candles(spark, sf_dir).select("symbol", "timeframe", "timestamp", "close")
-    return rows.join(win01(spark, sf_dir), "symbol")
+    return sets.join_symbols(rows, win01(spark, sf_dir), "inner")
 
 
 @query(
@@ -216,7 +213,7 @@ def join01(spark, sf_dir):
         AND symbol IN (SELECT symbol FROM dm) GROUP BY 1""",
 )
 def join02(spark, sf_dir):
-    minutes = v.m1(spark, sf_dir).join(sets.universe(v.dm(spark, sf_dir)), "symbol", "left_semi")
+    minutes = sets.join_symbols(v.m1(spark, sf_dir), sets.universe(v.dm(spark, sf_dir)), "left_semi")
     return minutes.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
 
 

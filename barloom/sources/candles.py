@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import casts
 from barloom.functions.names import EQUITY_SUFFIX, strip_ticker
+from barloom.operators.sets import join_symbols
 
 DAILY_EQUITY = [
     "symbol", "series", "date1", "open_price", "high_price", "low_price", "close_price",
@@ -57,13 +58,12 @@ def daily_index(raw: DataFrame) -> DataFrame:
 def minutes(
     raw: DataFrame, suffix: str = EQUITY_SUFFIX, universe: DataFrame | None = None, require_suffix: bool = False
 ) -> DataFrame:
-    """Minute rows; with `universe`, only its symbols. The size of the universe decides
-    at run time whether it is broadcast."""
+    """Minute rows; with `universe`, only its symbols."""
     if require_suffix:
         raw = raw.where(F.col("ticker").rlike(suffix))
     named = raw.withColumn("symbol", strip_ticker(F.col("ticker"), suffix))
     if universe is not None:
-        named = named.join(universe, "symbol", "left_semi")
+        named = join_symbols(named, universe, "left_semi")
     stamp = F.concat(F.trim("date"), F.lit(" "), F.trim("time"))
     return named.select(
         "path",

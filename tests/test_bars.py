@@ -145,3 +145,16 @@ def test_latest_finite(spark):
     values = [1.0, 7.0, float("nan"), float("inf"), None]
     frame = spark.createDataFrame([("A", base + timedelta(days=i), x) for i, x in enumerate(values)], "symbol string, bucket timestamp_ntz, x double")
     assert al.latest_finite(frame, ["x"]).first()["x"] == 7.0
+
+
+def test_symbol_sets_are_broadcast_only_when_small(candles, monkeypatch):
+    from barloom.operators import sets
+
+    minutes = candles.where("timeframe = '1m'")
+    listed = sets.universe(candles.where("timeframe = 'day'"))
+    small = sets.join_symbols(minutes, listed, "left_semi")
+    monkeypatch.setattr(sets, "SMALL_SET", 1)
+    large = sets.join_symbols(minutes, listed, "left_semi")
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    assert small.count() == large.count() == 400
