@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import INTERVALS, next_period_start, ntz, period_start
+from barloom.functions.calendar import INTERVALS, ntz, period_start
 from barloom.operators.sets import join_symbols
 
 BAR_COLUMNS = ["symbol", "bucket", "open", "high", "low", "close", "volume", "delivery", "del_percent"]
@@ -164,10 +164,6 @@ def bar_cutoff(day_bars: DataFrame, interval: str, as_of: datetime) -> DataFrame
     return day_bars.withColumn("cutoff", F.coalesce(before, ntz(as_of)))
 
 
-def with_bar_end(rows: DataFrame, interval: str) -> DataFrame:
-    return rows.withColumn("bar_end", next_period_start(F.col("bucket"), interval))
-
-
 def up_to(rows: DataFrame, end: datetime) -> DataFrame:
     """Only bars an analysis at `end` may see; apply before any indicator."""
     return rows.where(F.col("bucket") <= ntz(end))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.sets import added_or_removed
 from barloom.sources.adapters import ADAPTERS
 
 PROCESSED, CACHED, DELETED, UPGRADED = "processed", "cached", "deleted", "cache fingerprint upgraded"
@@ -71,7 +70,3 @@ def summary(actions: DataFrame) -> DataFrame:
         F.count_if(action == DELETED).alias("deleted"),
         F.count_if(action.isin(CACHED, UPGRADED)).alias("unchanged"),
     )
-
-
-def universe_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    return added_or_removed(old, new, ["symbol"])
