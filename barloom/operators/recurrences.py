@@ -61,6 +61,12 @@ def compose(factor: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return factor, term
 
 
+def compose_all(factor: np.ndarray, term: np.ndarray) -> tuple[float, float]:
+    """The last of `compose`, in one sweep from the end."""
+    after = np.append(np.cumprod(factor[:0:-1])[::-1], 1.0)
+    return float(factor[0] * after[0]), float(term @ after)
+
+
 @dataclass(frozen=True)
 class Trend:
     """Bands that only tighten until the price crosses them, and the side it is on.

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from barloom.operators import indicators as ind
-from barloom.operators.recurrences import apply_pieces, band_pieces, compose, run_band, run_sides
+from barloom.operators.recurrences import apply_pieces, band_pieces, compose, compose_all, run_band, run_sides
 
 SCHEMA = "symbol string, bucket timestamp_ntz, open double, high double, low double, close double, volume bigint"
 
@@ -192,6 +192,8 @@ def test_compose_equals_the_run(pairs, start):
     for i, (f, t) in enumerate(pairs):
         y = f * y + t
         assert math.isclose(factor[i] * start + term[i], y, rel_tol=1e-9, abs_tol=1e-9)
+    whole, added = compose_all(np.array([f for f, _ in pairs]), np.array([t for _, t in pairs]))
+    assert math.isclose(whole * start + added, y, rel_tol=1e-9, abs_tol=1e-9)
 
 
 @settings(max_examples=200, deadline=None)
