@@ -67,8 +67,13 @@ def timeframe_rows(rows: DataFrame, timeframes: tuple[str, ...] = ("day", "1m"))
     return rows.agg(*counts).unpivot([], list(timeframes), "timeframe", "rows")
 
 
-def unexpected_files(inventory: DataFrame, pattern: str = r"\.parquet$") -> DataFrame:
-    return inventory.where(~F.col("file").rlike(pattern))
+# What a file of the candle table is called.
+TABLE_FILE = r"/timeframe=(day|1m)/symbol_group=[a-z0-9_]/symbol=[^/]+/[^/]+\.parquet$"
+
+
+def unexpected_files(listing: DataFrame, pattern: str = TABLE_FILE) -> DataFrame:
+    """Files (with `path`) that do not belong to the table."""
+    return listing.where(~F.col("path").rlike(pattern))
 
 
 def percent_mismatch(rows: DataFrame, tolerance: float = 0.01) -> DataFrame:

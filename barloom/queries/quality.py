@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.functions.names import symbol_group
+from barloom.functions.names import decode_symbol, symbol_group
 from barloom.operators import quality as ops
 from barloom.plans import changes
 from barloom.queries import views as v
@@ -114,11 +114,15 @@ def qlt07(spark, sf_dir):
     return ops.timeframe_rows(v.candles(spark, sf_dir))
 
 
-@query("qlt08_unexpected_files", f"{v.WITH_CANDLES} SELECT DISTINCT symbol, timeframe FROM candles WHERE symbol NOT LIKE '%i%'")
+@query("qlt08_unexpected_files", "SELECT DISTINCT o_orderpriority AS stray FROM orders")
 def qlt08(spark, sf_dir):
-    """Files outside the folders of symbols with an `i`: the pattern is a parameter."""
-    found = tables.inventory(spark, stored(spark, sf_dir, "qlt08"))
-    return ops.unexpected_files(found, r"symbol=[^/]*i[^/]*/[^/]*\.parquet$").select("symbol", "timeframe").distinct()
+    """Text files, one folder per priority, left in the table's folder."""
+    path = stored(spark, sf_dir, "qlt08")
+    strays = v.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("stray"))
+    strays.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("stray").csv(f"{path}/strays")
+    found = ops.unexpected_files(tables.listing(spark, path))
+    folder_name = F.regexp_extract("path", "/stray=([^/]+)/", 1)
+    return found.select(decode_symbol(folder_name).alias("stray")).distinct()
 
 
 @query("qlt09_outputs_exist", f"{v.WITH_CANDLES} SELECT count(*) AS rows, true AS has_files FROM candles")

@@ -67,6 +67,12 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy("file", "timeframe", "symbol").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """path, length and time of every file below `path`, whatever it is; nothing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", "modificationTime")
+
+
 def totals(files: DataFrame) -> DataFrame:
     return files.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
 

@@ -205,3 +205,21 @@ def test_sides_equal_the_run(rows, rising):
         side = not c < d if side else c > u
         wanted.append(side)
     assert run_sides(close, upper, lower, rising).tolist() == wanted
+
+
+def test_raw_rows_are_read_once(spark):
+    """All passes start from the same shuffled bars; no window holds a whole symbol's bars."""
+    from conftest import DATA
+
+    from barloom.operators import bars
+    from barloom.queries import views
+
+    rows = bars.aggregate_bars(views.m1(spark, DATA), "1m")
+    frame = ind.with_indicators(rows, SPECS, "1m", 1_440)
+    assert frame.count() > 0
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    per_symbol = [line for line in windows if "_chunk#" not in line.rsplit("], [", 2)[1]]
+    assert windows and all("collect_list(" in line for line in per_symbol)
