@@ -73,7 +73,7 @@ def is_zip(content: Column) -> Column:
 
 def header_line(content: Column) -> Column:
     """The first line of a text file, byte-order mark and line end removed."""
-    text = F.decode(F.substring(content, 1, 65_536), "utf-8")
+    text = F.substring(content, 1, 65_536).cast("string")
     line = F.substring_index(F.regexp_replace(text, "^﻿", ""), "\n", 1)
     return F.regexp_replace(line, "\r$", "")
 
@@ -94,7 +94,7 @@ def csv_members(content: bytes) -> tuple[zipfile.ZipFile, list[zipfile.ZipInfo]]
 
 
 def read_archive(path: str, content: bytes, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """The named columns (as text) of the one CSV in an archive, in batches."""
+    """The named columns (as text, empty cells NULL) of the one CSV in an archive, in batches."""
     archive, members = csv_members(content)
     if len(members) != 1:
         raise ValueError(f"Expected one CSV member in {path}; found {len(members)}")
@@ -106,7 +106,11 @@ def read_archive(path: str, content: bytes, columns: list[str]) -> Iterator[pa.R
             stream,
             read_options=pacsv.ReadOptions(column_names=names, block_size=8 << 20),
             convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.string() for c in names}, include_columns=columns, include_missing_columns=True
+                column_types={c: pa.string() for c in names},
+                include_columns=columns,
+                include_missing_columns=True,
+                null_values=[""],
+                strings_can_be_null=True,
             ),
         )
         for batch in reader:
@@ -243,7 +247,7 @@ def inspect(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[tupl
 
 
 def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns: list[str]) -> DataFrame:
-    """CSV files to (path, text columns) rows, columns found by name in each file.
+    """CSV files to (path, text columns) rows, columns found by name, empty cells NULL.
 
     Each group of files with the same header is one native CSV scan, which splits
     large files and prunes columns.
@@ -253,8 +257,10 @@ def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns:
         names = normalize_header(header)
         unique = [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
         schema = ", ".join(f"`{n}` string" for n in unique)
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(paths)
-        picked = [F.col(c) if c in unique else F.lit(None).cast("string").alias(c) for c in columns]
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"')
+        rows = reader.csv(paths)
+        none = F.lit(None).cast("string")
+        picked = [(F.nullif(F.col(c), F.lit("")) if c in unique else none).alias(c) for c in columns]
         scans.append(rows.select(clean_path(F.col("_metadata.file_path")).alias("path"), *picked))
     if not scans:
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["path", *columns]))

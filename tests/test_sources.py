@@ -38,6 +38,21 @@ def test_daily_equity_text_and_workbook(spark, tmp_path):
     assert found["ABC", datetime(2025, 1, 3)]["volume"] == 7
 
 
+def test_empty_cells_are_unknown(spark, tmp_path):
+    raw.write_day(tmp_path / "delivery_1.csv", [raw.day_row("A", volume="", qty="", per="")])
+    text = (tmp_path / "delivery_1.csv").read_text(encoding="utf-8")
+    extra = '"Q""X", EQ, 01-Jan-2025, 1, 1, 1, 1, 1, 1, 1,"",1,1,,\n'
+    # A byte that is no UTF-8 beyond the header must not matter to finding the header.
+    (tmp_path / "delivery_1.csv").write_bytes((text + extra).encode() + b"\xe9, BE, x\n")
+    found = rows_of(ADAPTERS["day"].read(spark, [str(tmp_path / "delivery_1.csv")], None))
+    assert {s for s, _ in found} == {"A", 'Q"X'}
+    assert all(r["volume"] is None and r["delivery"] is None for r in found.values())
+    lines = ["ABC.NSE,01/01/2025,09:15:59,100,101,99,100.5,,0"]
+    raw.write_zip(tmp_path / "a.zip", [("m.csv", raw.minute_csv(lines))])
+    minute = ADAPTERS["minute_idx"].read(spark, [str(tmp_path / "a.zip")], None).first()
+    assert minute["volume"] is None and minute["close"] == 100.5
+
+
 def test_bad_price_stops_the_source(spark, tmp_path):
     raw.write_day(tmp_path / "delivery_1.csv", [raw.day_row(close="abc")])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
