@@ -15,12 +15,18 @@ DAY_PATTERN = "d-MMM-yyyy"
 MINUTE_PATTERN = "d/M/yyyy H:m:s"
 
 
+def checked(text: Column, value: Column, kind: str) -> Column:
+    """`value`, but text that gave none stops the job, whether or not Spark is in ANSI mode."""
+    problem = F.raise_error(F.concat(F.lit(f"Not a {kind}: "), text)).cast(kind)
+    return F.coalesce(value, F.when(text.isNotNull(), problem))
+
+
 def lenient_double(text: Column) -> Column:
     return text.try_cast("double")
 
 
 def strict_double(text: Column) -> Column:
-    return text.cast("double")
+    return checked(text, lenient_double(text), "double")
 
 
 def lenient_bigint(text: Column) -> Column:
@@ -28,12 +34,11 @@ def lenient_bigint(text: Column) -> Column:
 
 
 def strict_bigint(text: Column) -> Column:
-    """Like `lenient_bigint`, but text that is no number stops the job."""
-    return F.coalesce(text.try_cast("bigint"), F.round(text.cast("double")).cast("bigint"))
+    return checked(text, lenient_bigint(text), "bigint")
 
 
 def strict_timestamp(text: Column, pattern: str) -> Column:
-    return F.to_timestamp_ntz(text, F.lit(pattern))
+    return checked(text, F.to_timestamp_ntz(text, F.lit(pattern)), "timestamp_ntz")
 
 
 def lenient_day(text: Column, patterns: tuple[str, ...] = INDEX_DATE_PATTERNS) -> Column:

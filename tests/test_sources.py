@@ -53,10 +53,16 @@ def test_empty_cells_are_unknown(spark, tmp_path):
     assert minute["volume"] is None and minute["close"] == 100.5
 
 
-def test_bad_price_stops_the_source(spark, tmp_path):
-    raw.write_day(tmp_path / "delivery_1.csv", [raw.day_row(close="abc")])
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        ADAPTERS["day"].read(spark, [str(tmp_path / "delivery_1.csv")], None).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", [{"close": "abc"}, {"volume": "many"}, {"date": " 2025-01-01"}])
+def test_bad_value_stops_the_source(spark, tmp_path, ansi, bad):
+    raw.write_day(tmp_path / "delivery_1.csv", [raw.day_row(**bad)])
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="Not a |CANNOT_PARSE_TIMESTAMP"):
+            ADAPTERS["day"].read(spark, [str(tmp_path / "delivery_1.csv")], None).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_daily_index(spark, tmp_path):
