@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.llm.line_dedup import line_dedup
 from barloom.llm.ngram_join import ngram_join
+from barloom.llm.quality import document_statistics, score, train
+from barloom.llm.store import Store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +20,19 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = Store(spark, "quality").put("stats", document_statistics(table(spark, sf_dir, "documents")))
+    return score(stats, train(stats, table(spark, sf_dir, "labels")))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB counterparts of the queries that SQL can express.
