@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.llm.line_dedup import line_dedup
+from barloom.llm.mixing import described, mix, rated
 from barloom.llm.ngram_join import ngram_join
+from barloom.llm.packing import pack
 from barloom.llm.quality import document_statistics, score, train
 from barloom.llm.store import Store
+from barloom.llm.token_scan import count_tokens, write_token_files
+
+#: Wanted shares of the languages' tokens.
+MIX_TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +33,35 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(stats, train(stats, table(spark, sf_dir, "labels")))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{Store(spark, 'token_files').base}/tokens"
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("piece_bpe_32k.model"))
+    counted = count_tokens(spark, path)
+    return counted.withColumn("file", F.substring_index("file", "/", -1))
+
+
+def domains(docs: DataFrame) -> list[str]:
+    """The languages that occur; few, whatever the number of documents."""
+    return sorted(r[0] for r in docs.select("lang").where("lang IS NOT NULL").distinct().collect())
+
+
+def labelled_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, domain): the language of the documents that the labels cover."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id")
+
+
+def op6_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    about = Store(spark, "mixing").put("about", described(docs))
+    model, rates = mix(about, labelled_domains(spark, docs, sf_dir), MIX_TARGETS)
+    return rated(about, model, rates)
+
+
+def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
@@ -32,6 +69,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_token_counts": op5_token_counts,
+    "op6_mix_to_targets": op6_mix_to_targets,
+    "op7_lexical_packing": op7_lexical_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
