@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm.html_extract import extract
+from barloom.llm.inverted_multi_index import nearest_neighbours
+from barloom.llm.licenses import scan_licenses
 from barloom.llm.line_dedup import line_dedup
 from barloom.llm.mixing import described, mix, rated
 from barloom.llm.ngram_join import ngram_join
+from barloom.llm.nn_descent import near_duplicates
 from barloom.llm.packing import pack
 from barloom.llm.quality import document_statistics, score, train
 from barloom.llm.store import Store
@@ -24,10 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_sort(F.array_distinct(F.col("matches.license"))).alias("licenses"), F.size("matches").alias("n_matches"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = Store(spark, "quality").put("stats", document_statistics(table(spark, sf_dir, "documents")))
     return score(stats, train(stats, table(spark, sf_dir, "labels")))
@@ -62,16 +75,28 @@ def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_wrappers": op1_html_wrappers,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_token_counts": op5_token_counts,
     "op6_mix_to_targets": op6_mix_to_targets,
     "op7_lexical_packing": op7_lexical_packing,
+    "op8_nn_descent": op8_nn_descent,
+    "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_line_dedup": op10_line_dedup,
 }
 
