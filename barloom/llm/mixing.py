@@ -18,6 +18,8 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.store import Store
+
 #: Pieces of text whose counts the classifier sees; those of a lower-cased text, in bytes.
 PIECES = ("é", "è", "ê", "ç", "ä", "ö", "ü", "ß", "ñ", "ó", "í", "th", "wh", "ei", "sch", "qu", "eau", "ción", "en", "on")
 
@@ -46,13 +48,23 @@ class Classifier:
     def __init__(self, domains: list[str], priors: list[float], logs: list[list[float]]):
         self.domains, self.priors, self.logs = domains, priors, logs
 
-    def posteriors(self, seen: Column) -> Column:
-        """Probabilities of the domains in order; a text without any piece gets the priors."""
-        total = F.aggregate(seen, F.lit(0.0), lambda a, x: a + x)
-        scale = F.when(total > EVIDENCE, F.lit(EVIDENCE) / total).otherwise(F.lit(1.0))
-        scores = F.array(*(F.lit(p) + scale * sum(seen[i] * F.lit(w) for i, w in enumerate(row)) for p, row in zip(self.priors, self.logs)))
-        raised = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-        return F.transform(raised, lambda e: e / F.aggregate(raised, F.lit(0.0), lambda a, x: a + x))
+    def with_posteriors(self, frame: DataFrame) -> DataFrame:
+        """`frame` with a column p0, p1, ... for each domain, from its column `counts`.
+
+        A text without any piece gets the priors. The steps are projections of their own, so
+        that each is computed once a row.
+        """
+        own, size = [f"`{c}`" for c in frame.columns], range(len(self.domains))
+        seen = F.col("counts")
+        total = sum(seen[i] for i in range(len(PIECES)))
+        frame = frame.select(*own, F.when(total > EVIDENCE, F.lit(EVIDENCE) / total).otherwise(F.lit(1.0)).alias("_scale"))
+        rows = zip(self.priors, self.logs)
+        frame = frame.select(*own, *((F.lit(p) + F.col("_scale") * sum(seen[i] * F.lit(w) for i, w in enumerate(row))).alias(f"_s{d}") for d, (p, row) in enumerate(rows)))
+        top = F.greatest(*(F.col(f"_s{d}") for d in size)) if len(size) > 1 else F.col("_s0")
+        frame = frame.select(*own, *(f"_s{d}" for d in size), top.alias("_top"))
+        frame = frame.select(*own, *(F.exp(F.col(f"_s{d}") - F.col("_top")).alias(f"_e{d}") for d in size))
+        frame = frame.select(*own, *(f"_e{d}" for d in size), sum(F.col(f"_e{d}") for d in size).alias("_sum"))
+        return frame.select(*own, *((F.col(f"_e{d}") / F.col("_sum")).alias(f"p{d}") for d in size))
 
 
 def learn(seen: DataFrame, labelled: DataFrame, domains: list[str]) -> Classifier:
@@ -79,16 +91,15 @@ class Rates:
     def __init__(self, steps: list[list[float]], floor: float = 0.0):
         self.steps, self.floor = steps, floor
 
-    def of(self, posteriors: Column) -> Column:
-        if not self.steps:
-            return F.lit(1.0)
-        moves = F.array(*(F.array(*(F.lit(float(e)) for e in step)) for step in self.steps))
-        dot = lambda e: F.aggregate(F.zip_with(posteriors, e, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        return F.aggregate(moves, F.lit(1.0), lambda r, e: F.greatest(F.lit(float(self.floor)), r - dot(e)))
+    def of(self, posteriors: list[Column]) -> Column:
+        rate = F.lit(1.0)
+        for step in self.steps:
+            rate = F.greatest(F.lit(float(self.floor)), rate - sum(p * F.lit(float(e)) for p, e in zip(posteriors, step)))
+        return rate
 
 
 def fit_rates(members: DataFrame, targets: Mapping[str, float], budget: float | None = None, floor: float = 0.0) -> Rates:
-    """Rates for `members` (n_tokens, posteriors in the order of `targets`).
+    """Rates for `members` (n_tokens, p0, p1, ... in the order of `targets`).
 
     Targets are shares of `budget` tokens; without one, of the fewest tokens at which no domain
     has to lose any. Minimises the sum over domains of squared errors, each scaled by its
@@ -100,7 +111,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], budget: float |
         raise ValueError("targets must be nonnegative and not all 0")
     shares = [w / sum(weights) for w in weights]
     size = len(shares)
-    p = [F.col("posteriors")[i] for i in range(size)]
+    p = [F.col(f"p{i}") for i in range(size)]
     n = F.col("n_tokens")
     gram = [[f"h{min(i, j)}_{max(i, j)}" for j in range(size)] for i in range(size)]
     first = members.agg(
@@ -122,8 +133,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], budget: float |
         if all(abs(errors[i]) <= TOLERANCE * max(goal[i], TOLERANCE * budget) for i in live):
             break
         steps.append([errors[i] * scale[i] / bound for i in range(size)])
-        rate = Rates(steps, floor).of(F.col("posteriors"))
-        got = members.select("n_tokens", "posteriors", rate.alias("rate")).agg(*(F.sum(n * p[i] * F.col("rate")).alias(f"s{i}") for i in range(size))).first()
+        got = members.withColumn("rate", Rates(steps, floor).of(p)).agg(*(F.sum(n * p[i] * F.col("rate")).alias(f"s{i}") for i in range(size))).first()
         now = [got[f"s{i}"] or 0.0 for i in range(size)]
     return Rates(steps, floor)
 
@@ -146,20 +156,22 @@ def mix(described_docs: DataFrame, labelled: DataFrame, targets: Mapping[str, fl
     often as they occur. Rates of an empty table are 1. Ties can't occur: all is sums.
     """
     model = learn(described_docs, labelled, list(targets))
-    members = described_docs.select("n_tokens", model.posteriors(F.col("counts")).alias("posteriors"))
-    return model, fit_rates(members, targets, budget, floor)
+    members = model.with_posteriors(described_docs).select("n_tokens", *(f"p{i}" for i in range(len(targets))))
+    return model, fit_rates(Store(described_docs.sparkSession, "mixing").put("members", members), targets, budget, floor)
 
 
 def rated(described_docs: DataFrame, model: Classifier, rates: Rates) -> DataFrame:
     """(doc_id, n_tokens, p_<domain>..., rate, copies) of every row."""
-    own = described_docs.select("doc_id", "n_tokens", model.posteriors(F.col("counts")).alias("p"))
-    named = own.select("doc_id", "n_tokens", *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)), rates.of(F.col("p")).alias("rate"))
+    p = [F.col(f"p{i}") for i in range(len(model.domains))]
+    own = model.with_posteriors(described_docs)
+    named = own.select("doc_id", "n_tokens", *(c.alias(f"p_{d}") for c, d in zip(p, model.domains)), rates.of(p).alias("rate"))
     return named.withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
 
 
 def repeated(docs: DataFrame, model: Classifier, rates: Rates, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of `docs`, each as often as its rate says, with all their columns."""
-    rate = rates.of(model.posteriors(counts(F.col(text_column))))
-    names = [f"`{c}`" for c in docs.columns]
-    times = docs.select(*names, copies(rate, F.col(id_column)).alias("_copies"))
-    return times.select(*names, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")).select(*names)
+    p = [F.col(f"p{i}") for i in range(len(model.domains))]
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    own = model.with_posteriors(docs.select(row, F.col(id_column).alias("key"), counts(F.col(text_column)).alias("counts")))
+    times = own.select("row", copies(rates.of(p), F.col("key")).alias("times"))
+    return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
