@@ -83,12 +83,19 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _pairs() -> frozenset[tuple[str, str]]:
+    """(chart interval, indicator timeframe) that go together."""
+    every = set(TIMEFRAME_RANK)
+    same = {(t, t) for t in INTERVALS}
+    intraday = {(c, t) for c in ("1m", "5m", "15m") for t in every if TIMEFRAME_RANK[c] <= TIMEFRAME_RANK[t]}
+    over_days = {("Day", t) for t in ("Week", "Month", "Quarter")}
+    # A Day chart shows everything coarser but years.
+    return frozenset(same | intraday | over_days)
+
+
+APPLICABLE = _pairs()
+
+
 def indicator_applies(chart: str, timeframe: str) -> bool:
     """May an indicator of `timeframe` be drawn over bars of interval `chart`?"""
-    if timeframe == "chart":
-        return True
-    if chart in ("1m", "5m", "15m"):
-        return TIMEFRAME_RANK.get(timeframe, -1) >= TIMEFRAME_RANK[chart]
-    if chart == "Day":
-        return timeframe in ("Day", "Week", "Month", "Quarter")
-    return timeframe == chart
+    return timeframe == "chart" or (chart, timeframe) in APPLICABLE

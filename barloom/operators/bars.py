@@ -13,8 +13,6 @@ from barloom.operators.sets import join_symbols
 BAR_COLUMNS = ["symbol", "bucket", "open", "high", "low", "close", "volume", "delivery", "del_percent"]
 
 DEFAULT_VISIBLE_BARS = 280
-MIN_VISIBLE_BARS = 10
-MAX_VISIBLE_BARS = 5000
 
 
 def opening(value: Column, order: Column) -> Column:
@@ -170,14 +168,12 @@ def up_to(rows: DataFrame, end: datetime) -> DataFrame:
 
 
 def visible(rows: DataFrame, count: int = DEFAULT_VISIBLE_BARS, end: datetime | None = None) -> DataFrame:
-    """The last `count` (10..5000) bars of every symbol, `slot` 1 being the oldest.
+    """The last `count` bars of every symbol, `slot` 1 being the oldest.
 
-    A descending rank with a limit, so Spark drops all but `count` rows per symbol
-    before the shuffle (window group limit); the remaining window is at most
-    `count` rows per symbol.
+    A descending rank with a limit: up to the session's
+    `spark.sql.optimizer.windowGroupLimitThreshold` (see `build_session`), Spark drops all
+    but `count` rows per symbol before the shuffle; beyond it the rows are the same.
     """
-    count = max(MIN_VISIBLE_BARS, min(MAX_VISIBLE_BARS, count))
-    allow_group_limit(rows, count)
     if end is not None:
         rows = up_to(rows, end)
     newest = Window.partitionBy("symbol").orderBy(F.desc("bucket"))
@@ -188,16 +184,5 @@ def visible(rows: DataFrame, count: int = DEFAULT_VISIBLE_BARS, end: datetime |
 
 def last_rows(rows: DataFrame, count: int, time: str) -> DataFrame:
     """The newest `count` rows of every symbol."""
-    allow_group_limit(rows, count)
     newest = Window.partitionBy("symbol").orderBy(F.desc(time))
     return rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= count).drop("_rank")
-
-
-def allow_group_limit(rows: DataFrame, count: int) -> None:
-    """Spark applies the pre-shuffle limit only up to a configured rank."""
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    conf = rows.sparkSession.conf
-    if int(conf.get(key, "1000")) < count:
-        conf.set(key, str(count))
-
-

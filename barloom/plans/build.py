@@ -146,7 +146,7 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
     try:
         report = run(spark, config, db)
     except Exception as error:
-        record_run(db, "FAILED", started, now(), str(error)[:500])
+        record_run(db, "FAILED", started, now(), str(error))
         raise
     record_run(db, "SUCCESS", started, now(), report.state)
     return report

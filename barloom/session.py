@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
 }
 
@@ -30,11 +32,14 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
 def scratch(spark: SparkSession, *parts: str) -> str:
     """A folder for written intermediate tables, under the cluster's `spark.checkpoint.dir`.
 
-    Only a session that names none (tests) gets a fresh local one, which is then
-    stored in the session so that every later call agrees.
+    Only a local session (tests) may name none: it gets a fresh local one, which is then
+    stored in the session so that every later call agrees. On a cluster that is an error, as
+    executors would not see the driver's folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="barloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     tail = [p if len(p) < 60 and "/" not in p else hashlib.sha1(p.encode()).hexdigest() for p in parts]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -19,8 +20,6 @@ from barloom.session import exists
 
 # The first bytes of every ZIP file, workbooks included.
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
-# A file above this is not read whole into a row; its size and time identify it.
-MAX_CONTENT = 1 << 30
 
 
 def file_name(path: Column) -> Column:
@@ -43,20 +42,16 @@ def fingerprints(files: DataFrame, version: int, by: str = "content") -> DataFra
     """Files with `fingerprint`.
 
     `by="content"` hashes every byte: right whatever happens to modification times.
-    `by="stat"` hashes size and time and reads no content. Files too large for one row
-    always go by stat.
+    `by="stat"` hashes size and time and reads no content. A file too large for one row
+    is an error with `by="content"`.
     """
     if by not in ("content", "stat"):
         raise ValueError(f"Unknown fingerprint: {by}")
-    limit = MAX_CONTENT if by == "content" else -1
-    whole = files.where(F.col("length") <= limit).withColumn(
-        "fingerprint", content_fingerprint(F.lit(version), F.col("content"))
-    )
-    stat = files.where(F.col("length") > limit).withColumn(
-        "fingerprint", stat_fingerprint(F.lit(version), F.col("length"), F.col("modificationTime"))
-    )
-    columns = ["path", "name", "length", "modificationTime", "fingerprint"]
-    return whole.select(*columns).unionByName(stat.select(*columns))
+    if by == "stat":
+        own = stat_fingerprint(F.lit(version), F.col("length"), F.col("modificationTime"))
+    else:
+        own = content_fingerprint(F.lit(version), F.col("content"))
+    return files.withColumn("fingerprint", own).select("path", "name", "length", "modificationTime", "fingerprint")
 
 
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -73,9 +68,8 @@ def is_zip(content: Column) -> Column:
 
 def header_line(content: Column) -> Column:
     """The first line of a text file, byte-order mark and line end removed."""
-    text = F.substring(content, 1, 65_536).cast("string")
-    line = F.substring_index(F.regexp_replace(text, "^﻿", ""), "\n", 1)
-    return F.regexp_replace(line, "\r$", "")
+    line = F.substring_index(content.cast("string"), "\n", 1)
+    return F.regexp_replace(F.regexp_replace(line, "^﻿", ""), "\r$", "")
 
 
 def normalize(raw: str) -> str:
@@ -85,7 +79,15 @@ def normalize(raw: str) -> str:
 
 
 def normalize_header(line: str) -> list[str]:
-    return [normalize(cell.strip().strip('"')) for cell in line.split(",")]
+    """Column names of a CSV header line, whose cells may be quoted and hold commas."""
+    return [normalize(cell) for cell in next(csv.reader([line], skipinitialspace=True), [])]
+
+
+def require(names: list[str], columns: list[str], path: str) -> None:
+    """A source without a needed column is an error, not a column of NULLs."""
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header gives {', '.join(names)}")
 
 
 def csv_members(content: bytes) -> tuple[zipfile.ZipFile, list[zipfile.ZipInfo]]:
@@ -100,6 +102,7 @@ def read_archive(path: str, content: bytes, columns: list[str]) -> Iterator[pa.R
         raise ValueError(f"Expected one CSV member in {path}; found {len(members)}")
     with archive.open(members[0]) as stream:
         names = normalize_header(stream.readline().decode("utf-8-sig").rstrip("\r\n"))
+        require(names, columns, path)
         if not stream.peek(1):
             return
         reader = pacsv.open_csv(
@@ -108,7 +111,6 @@ def read_archive(path: str, content: bytes, columns: list[str]) -> Iterator[pa.R
             convert_options=pacsv.ConvertOptions(
                 column_types={c: pa.string() for c in names},
                 include_columns=columns,
-                include_missing_columns=True,
                 null_values=[""],
                 strings_can_be_null=True,
             ),
@@ -214,6 +216,7 @@ def workbook_rows(workbooks: DataFrame, columns: list[str]) -> DataFrame:
             for path, content in zip(batch["path"], batch["content"]):
                 rows = sheet_rows(content.as_py())
                 names = [normalize(cell or "") for cell in next(rows, [])]
+                require(names, columns, path.as_py())
                 found = [dict(zip(names, row)) | {"path": path.as_py()} for row in rows]
                 yield pa.RecordBatch.from_pylist(found, kinds)
 
@@ -237,12 +240,10 @@ def inspect(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[tupl
     files = read_paths(spark, paths)
     content = F.col("content")
     line = F.when(~is_zip(content), header_line(content)).alias("header")
-    seen = files.where(F.col("length") <= MAX_CONTENT).select(line, "path")
+    seen = files.select(line, "path")
     grouped = seen.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     found = {row["header"]: row["paths"] for row in grouped}
     workbooks = found.pop(None, [])
-    for row in files.where(F.col("length") > MAX_CONTENT).select("path").collect():
-        found.setdefault(spark.read.text(row["path"]).first()["value"], []).append(row["path"])
     return workbooks, sorted(found.items())
 
 
@@ -255,12 +256,12 @@ def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns:
     scans = []
     for header, paths in groups:
         names = normalize_header(header)
+        require(names, columns, paths[0])
         unique = [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
         schema = ", ".join(f"`{n}` string" for n in unique)
         reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"')
         rows = reader.csv(paths)
-        none = F.lit(None).cast("string")
-        picked = [(F.nullif(F.col(c), F.lit("")) if c in unique else none).alias(c) for c in columns]
+        picked = [F.nullif(F.col(c), F.lit("")).alias(c) for c in columns]
         scans.append(rows.select(clean_path(F.col("_metadata.file_path")).alias("path"), *picked))
     if not scans:
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["path", *columns]))

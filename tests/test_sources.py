@@ -166,3 +166,23 @@ def test_header_names_agree(spark):
     found = [r[0] for r in frame.select(normalized_name(F.col("raw"))).collect()]
     assert found == [files.normalize(t) for t in texts]
     assert found == ["deliv_qty", "change", "pe", "turnover_rs_cr", "_close", "div_yield", "_52w_high", "index_name"]
+
+
+def test_a_source_without_a_needed_column_is_an_error(spark, tmp_path):
+    kept = [i for i, name in enumerate(raw.DAY_HEADER) if name.strip() != "CLOSE_PRICE"]
+    lines = [",".join(row[i] for i in kept) for row in (raw.DAY_HEADER, raw.day_row())]
+    (tmp_path / "delivery_1.csv").write_text("\n".join(lines) + "\n")
+    with pytest.raises(ValueError, match="delivery_1.csv has no column close_price"):
+        ADAPTERS["day"].read(spark, [str(tmp_path / "delivery_1.csv")], None)
+    raw.write_zip(tmp_path / "m.zip", [("a.csv", "Ticker,Date,Time,Open,High,Low,Close\nABC.NC.NSE,01/01/2025,09:15:59,1,1,1,1\n")])
+    with pytest.raises(Exception, match="has no column volume"):
+        files.archive_rows(files.read_paths(spark, [str(tmp_path / "m.zip")]), ["ticker", "volume"]).collect()
+
+
+def test_quoted_headers_and_wide_headers(spark, tmp_path):
+    assert files.normalize_header('"A, B",SYMBOL, "V"') == ["a_b", "symbol", "v"]
+    wide = ",".join(f"column_{i:06d}" for i in range(6000))
+    (tmp_path / "w.csv").write_text(f'"A, B",{wide},SYMBOL\nx,{"," * 6000}ABC\n')
+    workbooks, groups = files.inspect(spark, [str(tmp_path / "w.csv")])
+    assert workbooks == []
+    assert [r.symbol for r in files.csv_rows(spark, groups, ["symbol"]).collect()] == ["ABC"]
