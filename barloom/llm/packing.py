@@ -138,7 +138,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(word_bpe(tokenizer_path))
+        encoder = Encoder(word_bpe(tokenizer_path), folds=True)
         windows = Windows(TaskContext.get().partitionId() << 40)
         for batch in batches:
             for part in slices(batch, "text", SHARD_BYTES):

@@ -10,7 +10,7 @@ import numpy as np
 from barloom.llm.words import flat, word_bounds, word_hashes
 
 #: Words that one worker remembers; beyond it, it starts anew with the words at hand.
-REMEMBERED = 300_000
+REMEMBERED = 1_500_000
 
 
 def word_bpe(path: str) -> Callable[[list[str]], list[list[int]]]:
@@ -30,11 +30,39 @@ def piece_bpe(path: str) -> Callable[[list[str]], list[list[int]]]:
     return lambda words: model.encode(words, num_threads=1)
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = True
+
+
+def parted(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with the marks behind an ASCII letter at their end as words of their own."""
+    cut = ends.copy()
+    active = np.arange(len(ends))
+    while len(active):
+        active = active[(cut[active] - 1 > starts[active]) & _MARK[data[cut[active] - 1]]]
+        cut[active] -= 1
+    split = (cut < ends) & _LETTER[data[cut - 1]]
+    n = 1 + split
+    at = np.cumsum(n) - n
+    first, last = np.repeat(starts, n), np.repeat(ends, n)
+    last[at[split]] = cut[split]
+    first[at[split] + 1] = cut[split]
+    return first, last
+
+
 class Encoder:
-    """Encodes columns of texts word by word, words as parted by ASCII white space."""
+    """Encodes columns of texts word by word, words as parted by ASCII white space.
+
+    `folds` says that the tokenizer lower-cases and never joins a letter with the marks behind
+    it; then fewer different words remain. Texts that hold `<|` are taken as they are, as a
+    special token may stand there.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], folds: bool = False):
+        self.encode, self.folds = encode, folds
         self._forget()
 
     def _forget(self) -> None:
@@ -58,9 +86,13 @@ class Encoder:
         """
         data, offsets = flat(column)
         starts, ends, before = word_bounds(data, offsets)
+        if self.folds and len(starts) and b"<|" not in data.tobytes():
+            data = _LOWER[data]
+            starts, ends = parted(data, starts, ends)
+            before = np.searchsorted(starts, offsets)
         hashes = word_hashes(data, starts, ends)
         unique, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > REMEMBERED + len(unique) and len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
         at = np.searchsorted(self.known, unique)
         new = np.ones(len(unique), bool)
