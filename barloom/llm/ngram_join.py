@@ -14,6 +14,10 @@ Equal sets count as one class from the start. Signature groups are linked first
 around their smallest member; after the check, only groups that still span several components
 are compared pair by pair. No link between different components is missed that way, and a
 large family of near copies costs a star, not all its pairs.
+
+A candidate is first held against parity sketches: two bit strings in which each feature flips
+one bit differ in no more bits than the sets have different features, so pairs beyond the
+bound can't link. What is left is checked on the sets themselves.
 """
 
 from __future__ import annotations
@@ -21,14 +25,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.components import components
 from barloom.llm.store import Store, parts_for, text_bytes
-from barloom.llm.words import SHINGLE, mix, shingle_sets, slices
+from barloom.llm.words import mix, shingle_sets, slices
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
@@ -102,6 +105,21 @@ def signatures(s: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+#: Bits of a parity sketch: a power of two, about four a feature between these.
+SKETCH_BITS = 256, 4096
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the features in each cell of a power of two of cells."""
+    bits = min(max(SKETCH_BITS[0], 1 << (4 * len(s)).bit_length()), SKETCH_BITS[1])
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A sketch as it would be with `size` bytes."""
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+
+
 def _info(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
@@ -112,7 +130,7 @@ def _info(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(_signed(np.array([_fingerprint(s, 1) for s in sets], np.uint64))),
                     pa.array(_signed(np.array([_fingerprint(s, 2) for s in sets], np.uint64))),
-                    pa.array([np.packbits((np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).tobytes() for s in sets], pa.binary()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
                 schema=_INFO,
             )
@@ -211,24 +229,63 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _possible(n1, n2, apart):
-    """Whether sizes and the parity sketches' distance (never above the true one) allow a link."""
+    """Whether sizes and the sketches' distance (never above the true one) allow a link."""
     return (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (n1 + n2))
 
 
-def _cross_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a group in different components that sizes and sketches allow."""
-    group = group.sort_values("rep")
-    rep, comp, n = (group[c].to_numpy() for c in ("rep", "component", "n"))
-    bits = np.unpackbits(np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1), axis=1).astype(np.float32)
-    ones = bits.sum(1)
-    out = []
-    for at in range(0, len(rep), 512):
-        to = min(at + 512, len(rep))
-        apart = ones[at:to, None] + ones[None, :] - 2 * (bits[at:to] @ bits.T)
-        ok = _possible(n[at:to, None], n[None, :], apart) & (comp[at:to, None] != comp[None, :]) & (rep[at:to, None] < rep[None, :])
-        i, j = np.nonzero(ok)
-        out.append(pd.DataFrame({"a": rep[at + i], "b": rep[j]}))
-    return pd.concat(out)
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, n1, n2, s1, s2) that sizes and sketches allow."""
+    for batch in batches:
+        apart = []
+        for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+            size = min(len(x), len(y))
+            apart.append(int(np.bitwise_count(folded(np.frombuffer(x, np.uint8), size) ^ folded(np.frombuffer(y, np.uint8), size)).sum()))
+        kept = pa.array(_possible(batch.column(2).to_numpy(), batch.column(3).to_numpy(), np.array(apart)))
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], names=["a", "b"])
+
+
+def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (gid, rep, component, n, sketch), sorted by gid: pairs of a group in different
+    components that sizes and sketches allow. A pair of several groups is compared once.
+    """
+    columns: list[list] = [[], [], [], [], []]
+    for batch in batches:
+        for held, column in zip(columns, batch.columns):
+            held.append(column.to_numpy(zero_copy_only=False) if held is not columns[4] else np.array(column.to_pylist(), dtype=object))
+    if not columns[0]:
+        return
+    gid, rep, comp, n, bits = (np.concatenate(c) for c in columns)
+    reps, first, doc = np.unique(rep, return_index=True, return_inverse=True)
+    comp, n, bits = comp[first], n[first], bits[first]
+    size = np.array([len(x) for x in bits])
+    small = {int(w): np.stack([folded(np.frombuffer(x, np.uint8), w) if len(x) >= w else np.zeros(w, np.uint8) for x in bits]).view(np.uint64) for w in np.unique(size).tolist()}
+
+    def likely(codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        i, j = np.divmod(codes, len(reps))
+        width = np.minimum(size[i], size[j])
+        apart = np.zeros(len(codes), np.int64)
+        for w, folded_bits in small.items():
+            own = np.flatnonzero(width == w)
+            for at in range(0, len(own), 1 << 14):
+                some = own[at : at + (1 << 14)]
+                apart[some] = np.bitwise_count(folded_bits[i[some]] ^ folded_bits[j[some]]).sum(1, dtype=np.int64)
+        ok = _possible(n[i], n[j], apart)
+        yield pa.RecordBatch.from_arrays([pa.array(reps[i[ok]]), pa.array(reps[j[ok]])], names=["a", "b"])
+
+    codes, waiting = np.zeros(0, np.int64), []
+    cuts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1], True])
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        own = np.unique(doc[a:b])
+        for at in range(0, len(own), 1024):
+            i, j = np.meshgrid(own[at : at + 1024], own[at:], indexing="ij")
+            some = (i < j) & (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+            waiting.append(i[some] * len(reps) + j[some])
+        if sum(map(len, waiting[-64:])) > 1 << 18 or len(waiting) > 4096:
+            fresh = np.setdiff1d(np.concatenate(waiting), codes)
+            yield from likely(fresh)
+            codes, waiting = np.union1d(codes, fresh), []
+    if waiting:
+        yield from likely(np.setdiff1d(np.concatenate(waiting), codes))
 
 
 def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -253,33 +310,32 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     buckets = parts_for(spark, text_bytes(text, "text"), BUCKET_BYTES)
     blobs = text.where("doc_id IS NOT NULL").select("text").mapInArrow(_blobs(buckets), "bucket long, sets binary, counts binary, signatures binary")
     members = blobs.repartition(buckets, "bucket").mapInArrow(_groups, "gid long, fp long").distinct()
-    members = store.put("members", members.join(classes, "fp").select("gid", "rep", "n", "sketch"))
-
-    near = members.select("rep").distinct()
-    feats = store.put("feats", text.join(near, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_features, "rep long, features binary"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    members = store.put("members", members.join(classes.select("fp", "rep"), "fp").select("gid", "rep"))
+    sketches = classes.select("rep", "n", "sketch")
+
+    def verified(name: str, pairs: DataFrame) -> DataFrame:
+        """The links among `pairs`, on sets made anew from the texts of their documents alone."""
+        pairs = store.put(f"{name}-pairs", pairs)
+        ids = store.put(f"{name}-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        own = text.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        feats = store.put(f"{name}-feats", own.select("doc_id", "text").mapInArrow(_features, "rep long, features binary"))
         with_a = pairs.join(feats.select(F.col("rep").alias("a"), F.col("features").alias("x")), "a")
         with_b = with_a.join(feats.select(F.col("rep").alias("b"), F.col("features").alias("y")), "b")
-        return with_b.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long")
-
-    pivots = members.groupBy("gid").agg(F.min_by(F.struct("rep", "n", "sketch"), "rep").alias("p")).select("gid", "p.*")
-    stars = (
-        members.alias("m")
-        .join(pivots.alias("p"), "gid")
-        .where("m.rep > p.rep")
-        .select(F.col("p.rep").alias("a"), F.col("m.rep").alias("b"), F.col("p.n").alias("n1"), F.col("m.n").alias("n2"))
-        .where(f"100 * least(n1, n2) >= {PERCENT} * greatest(n1, n2)")
-        .select("a", "b")
-        .distinct()
-    )
-    linked = store.put("linked", verified(stars))
+        return store.put(f"{name}-links", with_b.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"))
+
+    pivots = members.groupBy("gid").agg(F.min("rep").alias("a"))
+    stars = members.join(pivots, "gid").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
+    stars = stars.join(sketches.toDF("a", "n1", "s1"), "a").join(sketches.toDF("b", "n2", "s2"), "b")
+    stars = stars.where(f"100 * least(n1, n2) >= {PERCENT} * greatest(n1, n2)").select("a", "b", "n1", "n2", "s1", "s2")
+    linked = verified("star", stars.mapInArrow(_likely, "a long, b long"))
     found = store.put("found", components(store, "first", linked))
 
     labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("gid").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("gid")
-    pairs = labelled.join(mixed, "gid").groupBy("gid").applyInPandas(_cross_pairs, "a long, b long").distinct()
-    more = store.put("more", verified(pairs.join(stars, ["a", "b"], "left_anti")))
+    spans = labelled.groupBy("gid").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("pivot")).where("c1 < c2").select("gid", "pivot")
+    mixed = labelled.join(spans, "gid").join(sketches, "rep").select("pivot", "gid", "rep", "component", "n", "sketch")
+    # Groups of one family have the same smallest member most of the time, so they meet in a task.
+    families = mixed.repartition(buckets, "pivot").sortWithinPartitions("gid").drop("pivot")
+    more = verified("cross", families.mapInArrow(_cross_pairs, "a long, b long").distinct())
     last = components(store, "last", linked.unionByName(more)).select(F.col("node").alias("rep"), "component")
 
     classes = classes.join(last, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
