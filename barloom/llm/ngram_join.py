@@ -39,6 +39,9 @@ PERCENT = 80
 #: Text bytes per signature bucket; a bucket's signatures take about as much memory.
 BUCKET_BYTES = 16 << 20
 
+#: Rows of one family's groups that a task compares.
+FAMILY_ROWS = 10_000
+
 _INFO = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64()), ("sketch", pa.binary())])
 _BLOB = pa.schema([("bucket", pa.int64()), ("sets", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary())])
 _MEMBER = pa.schema([("gid", pa.int64()), ("fp", pa.int64())])
@@ -331,10 +334,13 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     found = store.put("found", components(store, "first", linked))
 
     labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    spans = labelled.groupBy("gid").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("pivot")).where("c1 < c2").select("gid", "pivot")
-    mixed = labelled.join(spans, "gid").join(sketches, "rep").select("pivot", "gid", "rep", "component", "n", "sketch")
-    # Groups of one family have the same smallest member most of the time, so they meet in a task.
-    families = mixed.repartition(buckets, "pivot").sortWithinPartitions("gid").drop("pivot")
+    spans = labelled.groupBy("gid").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("rep").alias("pivot"), F.count("*").alias("m")).where("c1 < c2")
+    # Groups of one family have the same smallest member most of the time, so they meet in a
+    # task; a large family's groups are dealt to as many tasks as its rows ask for.
+    rows = spans.groupBy("pivot").agg(F.sum("m").alias("rows"))
+    parts = spans.join(rows, "pivot").select("gid", "pivot", F.pmod(F.xxhash64("gid"), F.ceil(F.col("rows") / FAMILY_ROWS)).alias("part"))
+    mixed = labelled.join(parts, "gid").join(sketches, "rep").select("pivot", "part", "gid", "rep", "component", "n", "sketch")
+    families = mixed.repartition(buckets, "pivot", "part").sortWithinPartitions("gid").drop("pivot", "part")
     more = verified("cross", families.mapInArrow(_cross_pairs, "a long, b long").distinct())
     last = components(store, "last", linked.unionByName(more)).select(F.col("node").alias("rep"), "component")
 
