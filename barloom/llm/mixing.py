@@ -26,7 +26,7 @@ PIECES = ("é", "è", "ê", "ç", "ä", "ö", "ü", "ß", "ñ", "ó", "í", "th"
 #: Counts beyond so many pieces weigh no more: posteriors of long texts stay soft.
 EVIDENCE = 12.0
 
-#: Steps at most; they end before when all errors are within TOLERANCE of the targets.
+#: Steps at most; they end before when all errors, or a step's changes, are within TOLERANCE of the targets.
 STEPS, TOLERANCE = 60, 1e-4
 
 
@@ -134,7 +134,10 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], budget: float |
             break
         steps.append([errors[i] * scale[i] / bound for i in range(size)])
         got = members.withColumn("rate", Rates(steps, floor).of(p)).agg(*(F.sum(n * p[i] * F.col("rate")).alias(f"s{i}") for i in range(size))).first()
-        now = [got[f"s{i}"] or 0.0 for i in range(size)]
+        last, now = now, [got[f"s{i}"] or 0.0 for i in range(size)]
+        if all(abs(now[i] - last[i]) <= TOLERANCE * max(goal[i], TOLERANCE * budget) for i in live):
+            # At the bound of the rates: further steps change nothing.
+            break
     return Rates(steps, floor)
 
 
