@@ -7,7 +7,8 @@ import duckdb
 import pytest
 from conftest import DATA
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from barloom.queries import ORACLES, QUERIES
 from check import compare, connect
 
 SLOW = ("inc03", "inc04", "inc09", "inc10", "inc11", "ext03")
@@ -18,13 +19,13 @@ def oracle() -> duckdb.DuckDBPyConnection:
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith(SLOW)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(SLOW)])
 def test_query_equals_sql(spark, oracle, name):
     assert compare(spark, oracle, DATA, name) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
