@@ -79,33 +79,51 @@ def parts_of(band: int) -> tuple[int, int]:
     return need + (need + 19) // 20 if need > 1 else need, need
 
 
-def signatures(s: np.ndarray) -> np.ndarray:
-    """PartEnum signatures of one set of mixed 64-bit features."""
-    n = len(s)
-    if n < 4:
-        return np.zeros(0, np.uint64)
-    out = []
-    lowest = max(4, -(-n * PERCENT // 100))
-    for band in range(int(band_of(np.array([lowest]))[0]), int(band_of(np.array([n]))[0]) + 1):
+def set_signatures(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """PartEnum signatures of each set of mixed 64-bit features, computed band by band for all sets.
+
+    Sets of fewer than four features have none: they link with equal sets only.
+    """
+    order = sorted((i for i, s in enumerate(sets) if len(s) >= 4), key=lambda i: len(sets[i]))
+    if not order:
+        return [np.zeros(0, np.uint64) for _ in sets]
+    sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    ends = np.r_[0, np.cumsum(sizes)]
+    features = np.concatenate([sets[i] for i in order])
+    mixed = mix(features, 7)
+    low, high = band_of(np.maximum(4, -(-sizes * PERCENT // 100))), band_of(sizes)
+    found, owners = [], []
+    for band in range(int(low[0]), int(high[-1]) + 1):
         parts, need = parts_of(band)
-        if not parts:
+        # Both ends of a set's bands grow with its size, so the sets of a band are neighbours.
+        a, b = int(np.searchsorted(high, band)), int(np.searchsorted(low, band, "right"))
+        if not parts or a >= b:
             continue
+        own = slice(int(ends[a]), int(ends[b]))
         # High bits choose the cell: the multiply-shift of 32 bits has no modulo bias to speak of.
-        cell = ((s >> np.uint64(32)) * np.uint64(3 * parts)) >> np.uint64(32)
-        cell = cell.astype(np.int64)
-        sums = np.zeros(3 * parts, np.uint64)
-        np.add.at(sums, cell, mix(s, 7))
-        full = np.bincount(cell, minlength=3 * parts).reshape(parts, 3) > 0
-        sums = mix(sums, 8).reshape(parts, 3)
+        cell = (((features[own] >> np.uint64(32)) * np.uint64(3 * parts)) >> np.uint64(32)).astype(np.int64)
+        cell += np.repeat(np.arange(b - a) * (3 * parts), sizes[a:b])
+        sums = np.zeros((b - a) * 3 * parts, np.uint64)
+        np.add.at(sums, cell, mixed[own])
+        full = (np.bincount(cell, minlength=len(sums)) > 0).reshape(b - a, parts, 3)
+        sums = mix(sums, 8).reshape(b - a, parts, 3)
         number = np.arange(parts, dtype=np.uint64) * np.uint64(3)
-        own = []
-        for j, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
-            sig = mix(sums[:, a] * np.uint64(3) + sums[:, b] + mix(number + np.uint64(j), 100 + band))
-            own.append((sig, full[:, a] | full[:, b]))
-        strong = own[0][1] & own[1][1] & own[2][1]
-        all_of_them = int(strong.sum()) < need
-        out += [sig if all_of_them else sig[kept] for sig, kept in own]
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        sig = np.empty((b - a, 3, parts), np.uint64)
+        some = np.empty((b - a, 3, parts), bool)
+        for j, (x, y) in enumerate(((0, 1), (0, 2), (1, 2))):
+            sig[:, j] = mix(sums[:, :, x] * np.uint64(3) + sums[:, :, y] + mix(number + np.uint64(j), 100 + band))
+            some[:, j] = full[:, :, x] | full[:, :, y]
+        kept = some | (some.all(1).sum(1) < need)[:, None, None]
+        found.append(sig[kept])
+        owners.append(np.repeat(np.arange(a, b), kept.sum((1, 2))))
+    out = [np.zeros(0, np.uint64) for _ in sets]
+    if found:
+        owner = np.concatenate(owners)
+        counts = np.bincount(owner, minlength=len(order))
+        flat = np.concatenate(found)[np.argsort(owner, kind="stable")]
+        for i, own in zip(order, np.split(flat, np.cumsum(counts)[:-1])):
+            out[i] = own
+    return out
 
 
 #: Bits of a parity sketch: a power of two, about four a feature between these.
@@ -164,11 +182,11 @@ def _blobs(buckets: int):
         size = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                for s in shingle_sets(part.column(0)):
-                    key = _fingerprint(s, 1)
-                    if len(s) >= 4 and key not in held:  # copies count once for each written batch
-                        held[key] = signatures(s)
-                        size += len(held[key])
+                fresh = {_fingerprint(s, 1): s for s in shingle_sets(part.column(0)) if len(s) >= 4}
+                fresh = {key: s for key, s in fresh.items() if key not in held}  # copies count once for each written batch
+                for key, own in zip(fresh, set_signatures(list(fresh.values()))):
+                    held[key] = own
+                    size += len(own)
                 if size >= 3 << 20:
                     yield from write(held)
                     held, size = {}, 0

@@ -74,18 +74,28 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial over random byte values, mixed with its length."""
+    """A 64-bit hash of each word's bytes: a polynomial over random byte values, mixed with its length.
+
+    All words come from one running sum over the bytes; the base is odd, so dividing by its
+    power at a word's start is exact modulo 2**64.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    position = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    powers = np.ones(int(lengths.max()), dtype=np.uint64)
-    powers[1:] = np.uint64(_BASE)
-    powers = np.multiply.accumulate(powers)
-    terms = _BYTE[data[position + np.repeat(starts, lengths)]] * powers[position]
-    return mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
+    step = 1 << (len(data).bit_length() + 1) // 2
+    turns = len(data) // step + 1
+    power = np.outer(_powers(pow(_BASE, step, 2**64), turns), _powers(_BASE, step)).reshape(-1)[: len(data)]
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * power, out=sums[1:])
+    inverse = pow(_BASE, -1, 2**64)
+    back = _powers(pow(inverse, step, 2**64), turns)[starts // step] * _powers(inverse, step)[starts % step]
+    return mix((sums[ends] - sums[starts]) * back + (ends - starts).astype(np.uint64))
 
 
 def lowered_words(column) -> tuple[np.ndarray, np.ndarray]:
