@@ -52,7 +52,36 @@ SENTENCES = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
     ],
     "cc-by": ["this work is licensed under a creative commons attribution <v> international license", "licensed under cc by <v>", "this work is licensed under cc by <v>", "spdx license identifier cc by <v>"],
-    "cc-by-sa": ["this work is licensed under a creative commons attribution sharealike <v> international license", "licensed under cc by sa <v>", "spdx license identifier cc by sa <v>"],
+    "cc-by-sa": [
+        "this work is licensed under a creative commons attribution sharealike <v> international license",
+        "licensed under cc by sa <v>",
+        "this work is licensed under cc by sa <v>",
+        "spdx license identifier cc by sa <v>",
+    ],
+    "cc-by-nc": [
+        "this work is licensed under a creative commons attribution noncommercial <v> international license",
+        "licensed under cc by nc <v>",
+        "this work is licensed under cc by nc <v>",
+        "spdx license identifier cc by nc <v>",
+    ],
+    "cc-by-nd": [
+        "this work is licensed under a creative commons attribution noderivatives <v> international license",
+        "licensed under cc by nd <v>",
+        "this work is licensed under cc by nd <v>",
+        "spdx license identifier cc by nd <v>",
+    ],
+    "cc-by-nc-sa": [
+        "this work is licensed under a creative commons attribution noncommercial sharealike <v> international license",
+        "licensed under cc by nc sa <v>",
+        "this work is licensed under cc by nc sa <v>",
+        "spdx license identifier cc by nc sa <v>",
+    ],
+    "cc-by-nc-nd": [
+        "this work is licensed under a creative commons attribution noncommercial noderivatives <v> international license",
+        "licensed under cc by nc nd <v>",
+        "this work is licensed under cc by nc nd <v>",
+        "spdx license identifier cc by nc nd <v>",
+    ],
     "cc-zero": ["to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "released under cc0 <v>", "spdx license identifier cc0 <v>"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
@@ -73,6 +102,10 @@ RULES = [
     ("LGPL", ["lgpl-notice"]),
     ("MPL", ["mpl-notice"]),
     ("CC-BY-SA", ["cc-by-sa"]),
+    ("CC-BY-NC", ["cc-by-nc"]),
+    ("CC-BY-ND", ["cc-by-nd"]),
+    ("CC-BY-NC-SA", ["cc-by-nc-sa"]),
+    ("CC-BY-NC-ND", ["cc-by-nc-nd"]),
     ("CC-BY", ["cc-by"]),
     ("CC0", ["cc-zero"]),
     ("Unlicense", ["unlicense"]),

@@ -50,3 +50,35 @@ def test_odd_rows(spark):
     got = [(r.doc_id, [m.license for m in r.matches]) for r in scan_licenses(docs).collect()]
     assert sorted(got, key=str) == sorted([(1, []), (2, []), (3, ["All-rights-reserved"]), (3, []), (None, ["MIT"])], key=str)
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_every_licence_line_of_the_table_is_found(spark):
+    wording = {
+        "GPL": r"This work is licensed under the GNU General Public License, version (\d+)\.",
+        "All-rights-reserved": r"All rights reserved\.",
+        "MIT": r"Released under the MIT License\.",
+        "Apache": r"Licensed under the Apache License, Version (\d\.\d)\.",
+        "CC-BY-NC": r"Licensed under CC BY-NC (\d\.\d)\.",
+    }
+    docs = spark.read.parquet(f"{DATA}/../sf0.01/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {r.doc_id: [m.license for m in r.matches] for r in scan_licenses(docs).collect()}
+    lines = 0
+    for i, t in text.items():
+        wanted = []
+        for line in t.split("\n"):
+            # No other wording occurs: a line that speaks of a licence ends in one of the five.
+            if re.search(r"licen[cs]|rights reserved|copyright|spdx", line, re.IGNORECASE):
+                name, m = next((name, m) for name, p in wording.items() if (m := re.search(rf"(?:^|[.!?:;]\s){p}$", line)))
+                wanted.append(f"{name}-{m.group(1)}" if m.groups() else name)
+        lines += len(wanted)
+        assert got[i] == wanted
+    assert lines == 46
+
+
+def test_each_creative_commons_variant_has_its_own_name():
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        for text in (f"Licensed under CC {kind} 4.0.", f"This work is licensed under CC {kind} 4.0."):
+            assert [m["license"] for m in scan(text)] == [f"CC-{kind}-4.0"]
+    full = "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."
+    assert [m["license"] for m in scan(full)] == ["CC-BY-NC-SA-4.0"]
