@@ -1,8 +1,10 @@
 """Operator 3: licence scan by sentence rules.
 
-Texts are split into sentences, a normalised sentence is mapped to the identifier of a known
-licence sentence, and the sequence of identifiers is matched against ordered rules: at each
-place the first rule that fits from there wins, and matching goes on behind it.
+Texts are split into segments at line feeds and marks. A run of segments of one paragraph whose
+normalised words are a known licence sentence gets its identifier, so wrapped lines, colons and
+abbreviations inside a sentence do not matter; the longest run wins. The sequence of identifiers
+is matched against ordered rules: at each place the first rule that fits from there wins, and
+matching goes on behind it.
 """
 
 from __future__ import annotations
@@ -33,14 +35,14 @@ SENTENCES = {
     "apache-as-is": [
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"
     ],
-    "gpl-notice": ["this work is licensed under the gnu general public license version <v>", "licensed under the gnu general public license version <v>", "released under the gnu general public license version <v>", "spdx license identifier gpl <v>"],
+    "gpl-notice": ["this work is licensed under the gnu general public license version <v>", "licensed under the gnu general public license version <v>", "released under the gnu general public license version <v>", "spdx license identifier gpl <v>", "spdx license identifier gpl <v> only", "spdx license identifier gpl <v> or later"],
     "gpl-grant": [
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version <v> of the license or at your option any later version"
     ],
     "gpl-warranty": [
         "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"
     ],
-    "lgpl-notice": ["licensed under the gnu lesser general public license version <v>", "this work is licensed under the gnu lesser general public license version <v>", "spdx license identifier lgpl <v>"],
+    "lgpl-notice": ["licensed under the gnu lesser general public license version <v>", "this work is licensed under the gnu lesser general public license version <v>", "spdx license identifier lgpl <v>", "spdx license identifier lgpl <v> only", "spdx license identifier lgpl <v> or later"],
     "mpl-notice": ["this source code form is subject to the terms of the mozilla public license v <v>", "licensed under the mozilla public license version <v>", "spdx license identifier mpl <v>"],
     "bsd-notice": ["released under the bsd license", "licensed under the bsd license", "spdx license identifier bsd <v> clause"],
     "bsd-grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
@@ -115,47 +117,82 @@ RULES = [
 #: Every known sentence has one of these, so a text without any has no match.
 _HINT = re.compile("licen[cs]e|licensed|released under|rights|permission|warranty|redistribut|compliance|copyright|software", re.IGNORECASE)
 
-#: A sentence ends at a line break, or at a mark before white space or the end.
-_END = re.compile(r"[.!?:;]+(?=\s|$)|\n+")
+#: A segment ends at a line feed, at a mark before white space or the end, and behind a list's `(a)`.
+_END = re.compile(r"[.!?:;]+(?=\s|$)|\n+|^[ \t]*\(?\w\)(?=\s)", re.MULTILINE)
 _VERSION = re.compile(r"\bv?\d+(?:\.\d+)*\b")
-_OTHER = re.compile(r"[^\w<>]+|_")
+_WORD = re.compile(r"<v>|[^\W_]+")
 
 _IDS = {text: name for name, texts in SENTENCES.items() for text in texts}
 
+#: Every beginning of a known sentence that ends with a word.
+_BEGINNINGS = {text[: m.start()] for text in _IDS for m in re.finditer(" ", text)}
+
 
 def normalise(sentence: str) -> tuple[str, str | None]:
     """(lower-cased words with one blank between, versions as `<v>`; the last version)."""
     versions = _VERSION.findall(sentence.lower())
-    words = _OTHER.sub(" ", _VERSION.sub("<v>", sentence.lower())).strip()
+    words = " ".join(_WORD.findall(_VERSION.sub("<v>", sentence.lower())))
     return words, versions[-1].removeprefix("v") if versions else None
 
 
-def sentences(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, text) of the sentences that are not blank."""
-    at = 0
+def segments(text: str) -> Iterator[tuple[int, int, str, str | None, int, int]]:
+    """(start, end, words, version, sentence, paragraph) of the segments that hold words.
+
+    `sentence` counts the marks and blank lines before, not the single line feeds; `paragraph`
+    the blank lines, where a line of comment signs alone is one too.
+    """
+    at = sentence = paragraph = 0
+    begins_line, pending = True, False
     for mark in [*_END.finditer(text), None]:
         end = mark.start() if mark else len(text)
-        if text[at:end].strip():
-            yield at, end, text[at:end]
-        at = mark.end() if mark else end
+        words, version = normalise(text[at:end])
+        if words:
+            yield at, end, words.replace("licence", "license"), version, sentence, paragraph
+            pending = True
+        if mark is None:
+            return
+        feeds = mark.group().count("\n")
+        blank = feeds > 1 or feeds and begins_line and not words
+        paragraph += bool(blank)
+        if pending and (blank or not feeds):
+            sentence, pending = sentence + 1, False
+        begins_line, at = bool(feeds), mark.end()
+
+
+def known(text: str) -> Iterator[tuple[int, int, str, str | None, int, int]]:
+    """(first sentence, last sentence, identifier, version, start, end) of the known sentences."""
+    parts = list(segments(text))
+    i = 0
+    while i < len(parts):
+        words = version = best = None
+        for j in range(i, len(parts)):
+            if parts[j][5] != parts[i][5]:
+                break
+            words = f"{words} {parts[j][2]}" if words else parts[j][2]
+            version = parts[j][3] or version
+            if words in _IDS:
+                best = j, version, _IDS[words]
+            if words not in _BEGINNINGS:
+                break
+        if best:
+            j, version, name = best
+            yield parts[i][4], parts[j][4], name, version, parts[i][0], parts[j][1]
+            i = j
+        i += 1
 
 
 def scan(text: str | None) -> list[dict]:
     """Matches of one text: licence with version, first and last place, sentence identifiers."""
     if not text or not _HINT.search(text):
         return []
-    found = []
-    for n, (start, end, sentence) in enumerate(sentences(text)):
-        words, version = normalise(sentence)
-        if name := _IDS.get(words) or _IDS.get(words.replace("licence", "license")):
-            found.append((n, name, version, start, end))
+    found = list(known(text))
     out, at = [], 0
     while at < len(found):
         for licence, wanted in RULES:
             own = found[at : at + len(wanted)]
-            if [x[1] for x in own] == wanted and all(b[0] - a[0] <= GAP + 1 for a, b in zip(own, own[1:])):
-                version = next((x[2] for x in own if x[2] and licence[:2] != "BS"), None)
-                out.append({"license": f"{licence}-{version}" if version else licence, "start": own[0][3], "end": own[-1][4], "sentences": wanted})
+            if [x[2] for x in own] == wanted and all(b[0] - a[1] <= GAP + 1 for a, b in zip(own, own[1:])):
+                version = next((x[3] for x in own if x[3] and licence[:2] != "BS"), None)
+                out.append({"license": f"{licence}-{version}" if version else licence, "start": own[0][4], "end": own[-1][5], "sentences": wanted})
                 at += len(wanted)
                 break
         else:
