@@ -40,3 +40,12 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, oracle, name):
         assert compare(spark, oracle, DATA, name) == ""
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_small_result_stays_off_the_driver(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows went to the driver")
+
+    for name in ("toPandas", "toArrow", "collect"):
+        monkeypatch.setattr(type(spark.range(0)), name, refused)
+    QUERIES["snk12_small_result"](spark, DATA)
