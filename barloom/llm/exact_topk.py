@@ -21,6 +21,9 @@ from barloom.llm.store import Store, shuffle_partitions
 #: Most vectors of a shard and queries of a block, queries multiplied at once, lists merged into one.
 SHARD, BLOCK, STRIP, FAN = 8192, 8192, 256, 32
 
+#: Smaller shards than this aren't made to occupy more tasks: each gives a list a query.
+LEAST = 512
+
 _HIT = "query_id long, node long, vec_id long, score long"
 
 
@@ -130,7 +133,8 @@ def exact_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: floa
     number = F.monotonically_increasing_id().alias("number")
     v = store.put("vectors", whole_vectors(vectors, id_column, vector_column, scale).select("*", number))
     q = store.put("queries", whole_vectors(queries, id_column, vector_column, scale).select("*", number))
-    shards = max(-(-v.count() // SHARD), 2 * shuffle_partitions(spark))
+    n = v.count()
+    shards = max(-(-n // SHARD), min(-(-n // LEAST), 2 * shuffle_partitions(spark)), 1)
     blocks = max(-(-q.count() // BLOCK), 1)
 
     # Consecutive numbers go to different shards, and so to different tasks.
