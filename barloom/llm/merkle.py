@@ -183,6 +183,7 @@ def manifest(spark: SparkSession, leaves: DataFrame) -> DataFrame:
     store = Store(spark, "merkle")
     tree = F.coalesce(F.concat(F.lit("+"), F.col("source").cast("string")), F.lit("")).alias("tree")
     rows = leaves.select(tree, F.col("doc_id").cast("long").alias("doc_id"), F.col("leaf").alias("node"), "claimed")
+    rows = store.put("leaves-hashed", rows)  # sorting by ranges reads its input twice
     levels, subroots = _stored_levels(store, "leaves", _placed(store, "leaves-in-order", rows, ["doc_id", "node", "claimed"]), "doc_id", "claimed")
 
     sources = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("name"), "node")
