@@ -47,6 +47,11 @@ def contains_text(symbol: Column, needle: str) -> Column:
     return F.contains(F.upper(symbol), F.upper(F.trim(F.lit(needle))))
 
 
+def content_prefix(version: int) -> bytes:
+    """What a content fingerprint hashes before the file's bytes."""
+    return f"adapter:{version}\0".encode()
+
+
 def content_fingerprint(version: Column, content: Column) -> Column:
     """sha256 over `adapter:<version>`, a zero byte, and the file's bytes."""
     prefix = F.encode(F.concat(F.lit("adapter:"), version.cast("string")), "utf-8")

@@ -1,7 +1,7 @@
 """Sources (SRC), sinks (SNK) and extension points (EXT) on files derived from the tables.
 
-Raw files are written by Spark from `orders` and `events`, in the formats the
-adapters read; archives are built in rows and unpacked from rows.
+Raw files are written by Spark from `orders`, `events` and `pages`, in the formats the
+adapters read, and then read through the adapters.
 """
 
 from __future__ import annotations
@@ -12,13 +12,13 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from barloom.functions.names import INDEX_SUFFIX, cache_id, decode_symbol, source_key, symbol_group
+from barloom.functions.names import cache_id, decode_symbol, source_key, symbol_group
 from barloom.operators import sets
 from barloom.queries import views as v
 from barloom.queries.registry import query
 from barloom.schema import CANDLE_COLUMNS, PARTITION_COLUMNS
-from barloom.session import scratch
-from barloom.sources import candles, files, tables
+from barloom.session import delete, scratch
+from barloom.sources import files, streams, tables
 from barloom.sources.adapters import ADAPTERS
 
 CANDLE_LIST = "timeframe, symbol, timestamp, open, high, low, close, volume, delivery, del_percent"
@@ -42,6 +42,21 @@ def listed(spark, path, glob="*.csv"):
     return [row["path"] for row in files.list_files(spark, path, glob).select("path").collect()]
 
 
+def put_files(spark, sf_dir, name, rows):
+    """Rows (name, content) as files of a folder, each written by the task that holds its row."""
+    path = folder(spark, sf_dir, name)
+    delete(spark, path)
+
+    def put(batches):
+        for batch in batches:
+            for title, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist()):
+                streams.put(f"{path}/{title}", content)
+            yield batch.select(["name"])
+
+    rows.select("name", "content").mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
+    return path
+
+
 def raw_daily(spark, sf_dir):
     """`orders` in the shape of a daily equity file: one line per order."""
     key, price, customer = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_custkey").cast("string")
@@ -89,15 +104,15 @@ SHEET_ROWS = 500
 
 
 def workbooks(spark, sf_dir):
-    """Daily lines as workbooks of at most 500 rows, (path, content) rows."""
+    """Daily lines as workbooks of at most 500 rows, (name, content) rows."""
     cells = plain_daily(spark, sf_dir)
     names = [c for c in cells.columns if c != "book"]
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         content = sheet_bytes(names, group[names].values.tolist())
-        return pd.DataFrame({"path": [f"delivery_{group['book'].iloc[0]}.csv"], "content": [content]})
+        return pd.DataFrame({"name": [f"delivery_{group['book'].iloc[0]}.csv"], "content": [content]})
 
-    return cells.groupBy("book").applyInPandas(pack, "path string, content binary")
+    return cells.groupBy("book").applyInPandas(pack, "name string, content binary")
 
 
 def plain_daily(spark, sf_dir):
@@ -158,8 +173,8 @@ def sheet_bytes(names, rows):
        FROM orders WHERE o_orderkey % 4 <> 2""",
 )
 def src02(spark, sf_dir):
-    books = workbooks(spark, sf_dir).where(files.is_zip(F.col("content")))
-    return candles.daily_equity(files.workbook_rows(books, candles.DAILY_EQUITY)).drop("path")
+    path = put_files(spark, sf_dir, "src02", workbooks(spark, sf_dir))
+    return ADAPTERS["day"].read(spark, listed(spark, path), None).drop("path")
 
 
 @query(
@@ -199,10 +214,14 @@ ARCHIVE_ROWS = 5_000
 MINUTE_HEADER = "Ticker,Date,Time,Open,High,Low,Close,Volume,Open Interest"
 
 
-def archives(spark, sf_dir, suffix, extra_members=0):
-    """Minute lines as ZIP archives of at most 5,000 rows each, (path, content) rows.
+DERIVATIVES_HEADER = "TradDt,TckrSymb,OpnPric,HghPric,LwPric,ClsPric"
+
 
-    Every second member name is in a folder, which does not count as a member.
+def archives(spark, sf_dir, name, suffix, extra_members=0, other_header=MINUTE_HEADER):
+    """Files of minute lines as ZIP archives of at most 5,000 rows each.
+
+    The member is in a folder, which does not count as a member. Every second archive has
+    `extra_members` more and `other_header`.
     """
     event = F.col("event_id")
     line = F.concat_ws(
@@ -221,12 +240,13 @@ def archives(spark, sf_dir, suffix, extra_members=0):
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("data/", "")
-            archive.writestr("data/minute.csv", "\n".join([MINUTE_HEADER, *group["line"]]) + "\n")
+            header = other_header if number % 2 else MINUTE_HEADER
+            archive.writestr("data/minute.csv", "\n".join([header, *group["line"]]) + "\n")
             for i in range(extra_members if number % 2 else 0):
                 archive.writestr(f"more_{i}.csv", MINUTE_HEADER + "\n")
-        return pd.DataFrame({"path": [f"{number}.zip"], "content": [out.getvalue()]})
+        return pd.DataFrame({"name": [f"{number}.zip"], "content": [out.getvalue()]})
 
-    return lines.groupBy("archive").applyInPandas(pack, "path string, content binary")
+    return put_files(spark, sf_dir, name, lines.groupBy("archive").applyInPandas(pack, "name string, content binary"))
 
 
 def minutes_sql(symbol: str, where: str = "true") -> str:
@@ -236,14 +256,14 @@ def minutes_sql(symbol: str, where: str = "true") -> str:
 
 @query("src04_minute_zip", minutes_sql("symbol", "symbol IN (SELECT symbol FROM dm)"))
 def src04(spark, sf_dir):
-    raw = files.archive_rows(archives(spark, sf_dir, ".NC.NSE"), candles.MINUTE)
-    return candles.minutes(raw, universe=sets.universe(v.dm(spark, sf_dir))).drop("path")
+    paths = listed(spark, archives(spark, sf_dir, "src04", ".NC.NSE"), "*.zip")
+    return ADAPTERS["minute"].read(spark, paths, sets.universe(v.dm(spark, sf_dir))).drop("path")
 
 
 @query("src05_minute_index_zip", minutes_sql("symbol"))
 def src05(spark, sf_dir):
-    raw = files.archive_rows(archives(spark, sf_dir, ".NSE_IDX"), candles.MINUTE)
-    return candles.minutes(raw, INDEX_SUFFIX).drop("path")
+    paths = listed(spark, archives(spark, sf_dir, "src05", ".NSE_IDX"), "*.zip")
+    return ADAPTERS["minute_idx"].read(spark, paths, None).drop("path")
 
 
 @query(
@@ -253,8 +273,9 @@ def src05(spark, sf_dir):
         (event_id // {ARCHIVE_ROWS}) % 2 = 0 AS accepted FROM events GROUP BY event_id // {ARCHIVE_ROWS}""",
 )
 def src06(spark, sf_dir):
-    seen = files.archive_members(archives(spark, sf_dir, ".NSE", extra_members=2))
-    return seen.select("path", "members", (F.col("members") == 1).alias("accepted"))
+    path = archives(spark, sf_dir, "src06", ".NSE", extra_members=2)
+    seen = files.archive_members(files.list_files(spark, path, "*.zip"))
+    return seen.select(files.file_name(F.col("path")).alias("path"), "members", (F.col("members") == 1).alias("accepted"))
 
 
 def table_path(spark, sf_dir, name, rows, compression="zstd"):
@@ -273,23 +294,18 @@ PARTITION_SQL = f"{v.WITH_CANDLES}, parts AS (SELECT DISTINCT timeframe, symbol
 
 @query(
     "src07_source_discovery",
-    """SELECT DISTINCT 'day:' || o_orderpriority || '.csv' AS source_key, true AS has_fingerprint FROM orders
-       ORDER BY source_key""",
+    r"""WITH found AS (SELECT o_orderpriority AS name, string_agg(o_orderkey::VARCHAR, chr(10) ORDER BY o_orderkey) AS content
+                       FROM orders GROUP BY 1)
+        SELECT 'day:delivery_' || name || '.csv' AS source_key, 'day' AS kind,
+               sha256(encode('adapter:2') || '\x00'::BLOB || encode(content)) AS fingerprint FROM found""",
 )
 def src07(spark, sf_dir):
-    # One folder per priority, so that the listing depends on the data.
-    path = folder(spark, sf_dir, "src07")
-    rows = v.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("name"))
-    write = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("name")
-    write.csv(path)
-    found = files.fingerprints(
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).drop("name").withColumn(
-            "name", F.concat(decode_symbol(F.regexp_extract("path", "name=([^/]+)/", 1)), F.lit(".csv"))
-        ),
-        2,
-    )
-    keys = found.groupBy(source_key("day", F.col("name")).alias("source_key"))
-    return keys.agg(F.min(F.length("fingerprint") == 64).alias("has_fingerprint")).orderBy("source_key")
+    # One file per priority, so that the listing depends on the data, and one that the glob leaves out.
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda k: k.cast("string")), "\n")
+    orders = v.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.encode(lines, "utf-8").alias("content"))
+    names = F.explode(F.array(F.concat(F.lit("delivery_"), "o_orderpriority", F.lit(".csv")), F.lit("other.csv")))
+    path = put_files(spark, sf_dir, "src07", orders.select(names.alias("name"), "content"))
+    return ADAPTERS["day"].discover(spark, path).select("source_key", "kind", "fingerprint")
 
 
 @query(
@@ -360,12 +376,15 @@ def src13(spark, sf_dir):
 
 @query(
     "src14_derivatives_gate",
-    f"""SELECT CAST(event_id // {ARCHIVE_ROWS} AS VARCHAR) || '.zip' AS path, true AS has_csv, '{MINUTE_HEADER}' AS header,
-        regexp_matches('{MINUTE_HEADER}', '(?i)TckrSymb|SYMBOL') AND regexp_matches('{MINUTE_HEADER}', '(?i)OpnPric|OPEN') AS header_ok
-        FROM events GROUP BY 1""",
+    f"""SELECT *, regexp_matches(header, '(?i)TckrSymb|SYMBOL') AND regexp_matches(header, '(?i)OpnPric|OPEN') AS header_ok FROM (
+          SELECT CAST(event_id // {ARCHIVE_ROWS} AS VARCHAR) || '.zip' AS path, true AS has_csv,
+                 CASE WHEN (event_id // {ARCHIVE_ROWS}) % 2 = 0 THEN '{MINUTE_HEADER}' ELSE '{DERIVATIVES_HEADER}' END AS header
+          FROM events GROUP BY event_id // {ARCHIVE_ROWS})""",
 )
 def src14(spark, sf_dir):
-    return files.derivatives_gate(archives(spark, sf_dir, ".NSE"))
+    path = archives(spark, sf_dir, "src14", ".NSE", other_header=DERIVATIVES_HEADER)
+    found = files.derivatives_gate(files.list_files(spark, path, "*.zip"))
+    return found.withColumn("path", files.file_name(F.col("path")))
 
 
 @query("snk01_source_cache", f"WITH {DAILY_SQL} SELECT 'day' AS kind, count(*) AS rows, min(timestamp) AS first, max(timestamp) AS last FROM daily")
@@ -474,14 +493,21 @@ def snk10(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def page_files(spark, sf_dir, name):
+    """The pages as files named by their number."""
+    named = F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name")
+    return put_files(spark, sf_dir, name, v.table(spark, sf_dir, "pages").select(named, F.encode("html", "utf-8").alias("content")))
+
+
+def page_number(path):
+    return F.regexp_extract(path, r"(\d+)\.html$", 1).cast("bigint")
+
+
 @query("snk11_checksums", "SELECT page_id AS path, octet_length(encode(html)) AS length, sha256(html) AS sha256 FROM pages")
 def snk11(spark, sf_dir):
-    pages = v.table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("path"),
-        F.octet_length("html").cast("bigint").alias("length"),
-        F.encode("html", "utf-8").alias("content"),
-    )
-    return files.checksums(pages)
+    path = page_files(spark, sf_dir, "snk11")
+    found = files.checksums(files.list_files(spark, path, "*.html"))
+    return found.withColumn("path", page_number(F.col("path")))
 
 
 @query(

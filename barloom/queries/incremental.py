@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.functions.names import content_fingerprint, source_key
+from barloom.functions.names import source_key
 from barloom.operators import sets
 from barloom.plans import build as builds
 from barloom.plans import changes
 from barloom.plans.config import BuildConfig, resolve
 from barloom.queries import views as v
-from barloom.queries.files import DAILY_SQL, folder, raw_daily, write_csv
+from barloom.queries.files import DAILY_SQL, folder, page_files, page_number, raw_daily, write_csv
 from barloom.queries.registry import query
 from barloom.queries.relational import ACTIONS_SQL, SOURCES_SQL, sources
 from barloom.session import delete, hadoop_path
-from barloom.sources import tables
+from barloom.sources import files, tables
 from barloom.sources.adapters import ADAPTERS
 
 
@@ -23,11 +23,8 @@ from barloom.sources.adapters import ADAPTERS
     r"""SELECT 'page:' || page_id AS source_key, sha256(encode('adapter:3') || '\x00'::BLOB || encode(html)) AS fingerprint FROM pages""",
 )
 def inc01(spark, sf_dir):
-    pages = v.table(spark, sf_dir, "pages")
-    return pages.select(
-        source_key("page", F.col("page_id").cast("string")).alias("source_key"),
-        content_fingerprint(F.lit(3), F.encode("html", "utf-8")).alias("fingerprint"),
-    )
+    found = files.fingerprints(files.list_files(spark, page_files(spark, sf_dir, "inc01"), "*.html"), 3)
+    return found.select(source_key("page", page_number(F.col("path")).cast("string")).alias("source_key"), "fingerprint")
 
 
 @query("inc02_source_actions", f"WITH {ACTIONS_SQL} SELECT action, kind, count(*) AS n FROM actions GROUP BY 1, 2")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import csv
-import io
 import re
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -15,11 +15,14 @@ import pyarrow.csv as pacsv
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.functions.names import HEADER_KEYWORDS, content_fingerprint, stat_fingerprint
+from barloom.functions.names import HEADER_KEYWORDS, content_prefix, stat_fingerprint
 from barloom.session import exists
+from barloom.sources.streams import first_line, opened, sha256_of, with_columns
 
 # The first bytes of every ZIP file, workbooks included.
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
+#: Rows of a workbook that are held at once.
+SHEET_BATCH = 10_000
 
 
 def file_name(path: Column) -> Column:
@@ -27,49 +30,67 @@ def file_name(path: Column) -> Column:
 
 
 def list_files(spark: SparkSession, folder: str | None, glob: str, optional: bool = False) -> DataFrame:
-    """path, name, length, modificationTime and (read only if used) content."""
+    """path, name, length and modificationTime of the files in a folder; nothing is read."""
     if folder is None or not exists(spark, folder):
         if not optional:
             raise FileNotFoundError(f"Missing source folder: {folder}")
-        schema = "path string, modificationTime timestamp, length long, content binary"
-        files = spark.createDataFrame([], schema)
+        files = spark.createDataFrame([], "path string, modificationTime timestamp, length long")
     else:
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.withColumn("name", file_name(F.col("path")))
+    return files.select("path", file_name(F.col("path")).alias("name"), "length", "modificationTime")
 
 
 def fingerprints(files: DataFrame, version: int, by: str = "content") -> DataFrame:
     """Files with `fingerprint`.
 
-    `by="content"` hashes every byte: right whatever happens to modification times.
-    `by="stat"` hashes size and time and reads no content. A file too large for one row
-    is an error with `by="content"`.
+    `by="content"` hashes every byte, whatever the size: right whatever happens to
+    modification times. `by="stat"` hashes size and time and opens no file.
     """
     if by not in ("content", "stat"):
         raise ValueError(f"Unknown fingerprint: {by}")
     if by == "stat":
-        own = stat_fingerprint(F.lit(version), F.col("length"), F.col("modificationTime"))
-    else:
-        own = content_fingerprint(F.lit(version), F.col("content"))
-    return files.withColumn("fingerprint", own).select("path", "name", "length", "modificationTime", "fingerprint")
+        return files.withColumn("fingerprint", stat_fingerprint(F.lit(version), F.col("length"), F.col("modificationTime")))
+    prefix = content_prefix(version)
+
+    def look(path: str) -> dict:
+        with opened(path) as stream:
+            return {"fingerprint": sha256_of(stream, prefix)}
+
+    return with_columns(files, look, "fingerprint string")
 
 
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths)
+    """path and length of the named files."""
+    return spark.read.format("binaryFile").load(paths).select("path", "length")
 
 
 def checksums(files: DataFrame) -> DataFrame:
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    def look(path: str) -> dict:
+        with opened(path) as stream:
+            return {"sha256": sha256_of(stream)}
 
+    return with_columns(files.select("path", "length"), look, "sha256 string")
 
-def is_zip(content: Column) -> Column:
-    return F.substring(content, 1, 4) == F.lit(bytearray(ZIP_MAGIC))
 
+def header_text(line: bytes) -> str:
+    """A header line as text, byte-order mark and line end removed."""
+    return line.decode("utf-8-sig", "replace").rstrip("\r\n")
 
-def header_line(content: Column) -> Column:
-    """The first line of a text file, byte-order mark and line end removed."""
-    line = F.substring_index(content.cast("string"), "\n", 1)
-    return F.regexp_replace(F.regexp_replace(line, "^﻿", ""), "\r$", "")
+
+def sniffed(files: DataFrame) -> DataFrame:
+    """Files with `workbook` (a ZIP file, whatever its name) and, for text, its `header`.
+
+    Only the head of a file is read.
+    """
+
+    def look(path: str) -> dict:
+        with opened(path) as stream:
+            if stream.read(len(ZIP_MAGIC)) == ZIP_MAGIC:
+                return {"workbook": True, "header": None}
+            stream.seek(0)
+            return {"workbook": False, "header": header_text(first_line(stream))}
+
+    return with_columns(files, look, "workbook boolean, header string")
 
 
 def normalize(raw: str) -> str:
@@ -90,63 +111,68 @@ def require(names: list[str], columns: list[str], path: str) -> None:
         raise ValueError(f"{path} has no column {', '.join(missing)}; its header gives {', '.join(names)}")
 
 
-def csv_members(content: bytes) -> tuple[zipfile.ZipFile, list[zipfile.ZipInfo]]:
-    archive = zipfile.ZipFile(io.BytesIO(content))
-    return archive, [member for member in archive.infolist() if not member.is_dir()]
+def csv_members(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+    return [member for member in archive.infolist() if not member.is_dir()]
+
 
+def read_archive(path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The named columns (as text, empty cells NULL) of the one CSV in an archive, in batches.
 
-def read_archive(path: str, content: bytes, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """The named columns (as text, empty cells NULL) of the one CSV in an archive, in batches."""
-    archive, members = csv_members(content)
-    if len(members) != 1:
-        raise ValueError(f"Expected one CSV member in {path}; found {len(members)}")
-    with archive.open(members[0]) as stream:
-        names = normalize_header(stream.readline().decode("utf-8-sig").rstrip("\r\n"))
+    The archive is sought and the member decompressed as a stream: neither is held.
+    """
+    with opened(path) as source, zipfile.ZipFile(source) as archive:
+        members = csv_members(archive)
+        if len(members) != 1:
+            raise ValueError(f"Expected one CSV member in {path}; found {len(members)}")
+        with archive.open(members[0]) as stream:
+            header = first_line(stream)
+        names = normalize_header(header_text(header))
         require(names, columns, path)
-        if not stream.peek(1):
-            return
-        reader = pacsv.open_csv(
-            stream,
-            read_options=pacsv.ReadOptions(column_names=names, block_size=8 << 20),
-            convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.string() for c in names},
-                include_columns=columns,
-                null_values=[""],
-                strings_can_be_null=True,
-            ),
-        )
-        for batch in reader:
-            texts = [batch.column(i).cast(pa.string()) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([pa.array([path] * batch.num_rows, pa.string()), *texts], ["path", *columns])
+        with archive.open(members[0]) as stream:
+            stream.read(len(header) + 1)
+            if not stream.peek(1):
+                return
+            reader = pacsv.open_csv(
+                stream,
+                read_options=pacsv.ReadOptions(column_names=names, block_size=8 << 20),
+                convert_options=pacsv.ConvertOptions(
+                    column_types={c: pa.string() for c in names},
+                    include_columns=columns,
+                    null_values=[""],
+                    strings_can_be_null=True,
+                ),
+            )
+            for batch in reader:
+                texts = [batch.column(i).cast(pa.string()) for i in range(len(columns))]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * batch.num_rows, pa.string()), *texts], ["path", *columns])
 
 
 def archive_rows(archives: DataFrame, columns: list[str]) -> DataFrame:
-    """(path, content) archives to (path, text columns) rows, decompressed as a stream."""
+    """Archives (path) to (path, text columns) rows, decompressed as a stream."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                yield from read_archive(path.as_py(), content.as_py(), columns)
+            for path in batch["path"].to_pylist():
+                yield from read_archive(path, columns)
 
     schema = ", ".join(f"`{c}` string" for c in ["path", *columns])
-    return archives.select("path", "content").mapInArrow(unpack, schema)
+    return archives.select("path").mapInArrow(unpack, schema)
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
     """path, number of file members, the first CSV member's header line."""
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                archive, members = csv_members(content.as_py())
-                named = [m for m in members if m.filename.lower().endswith(".csv")]
-                header = archive.open(named[0]).readline().decode("utf-8-sig").rstrip("\r\n") if named else None
-                rows.append({"path": path.as_py(), "members": len(members), "header": header})
-            kinds = pa.schema([("path", pa.string()), ("members", pa.int64()), ("header", pa.string())])
-            yield pa.RecordBatch.from_pylist(rows, kinds)
+    def look(path: str) -> dict:
+        with opened(path) as source, zipfile.ZipFile(source) as archive:
+            members = csv_members(archive)
+            named = [m for m in members if m.filename.lower().endswith(".csv")]
+            header = None
+            if named:
+                with archive.open(named[0]) as stream:
+                    header = header_text(first_line(stream))
+            return {"members": len(members), "header": header}
 
-    return archives.select("path", "content").mapInArrow(look, "path string, members long, header string")
+    return with_columns(archives.select("path"), look, "members long, header string")
 
 
 def derivatives_gate(archives: DataFrame) -> DataFrame:
@@ -181,9 +207,8 @@ def active_sheet(book: zipfile.ZipFile) -> str:
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
-def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+def sheet_rows(book: zipfile.ZipFile) -> Iterator[list[str | None]]:
     """Cell values (of formulas, their last result) of the active sheet, row by row."""
-    book = zipfile.ZipFile(io.BytesIO(content))
     shared: list[str] = []
     if "xl/sharedStrings.xml" in book.namelist():
         strings = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
@@ -208,20 +233,21 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
 
 
 def workbook_rows(workbooks: DataFrame, columns: list[str]) -> DataFrame:
-    """(path, content) workbooks to (path, text columns) rows; the first row names the columns."""
+    """Workbooks (path) to (path, text columns) rows; the first row names the columns."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema([(c, pa.string()) for c in ["path", *columns]])
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                rows = sheet_rows(content.as_py())
-                names = [normalize(cell or "") for cell in next(rows, [])]
-                require(names, columns, path.as_py())
-                found = [dict(zip(names, row)) | {"path": path.as_py()} for row in rows]
-                yield pa.RecordBatch.from_pylist(found, kinds)
+            for path in batch["path"].to_pylist():
+                with opened(path) as source, zipfile.ZipFile(source) as book:
+                    rows = sheet_rows(book)
+                    names = [normalize(cell or "") for cell in next(rows, [])]
+                    require(names, columns, path)
+                    while some := list(islice(rows, SHEET_BATCH)):
+                        yield pa.RecordBatch.from_pylist([dict(zip(names, row)) | {"path": path} for row in some], kinds)
 
     schema = ", ".join(f"`{c}` string" for c in ["path", *columns])
-    return workbooks.select("path", "content").mapInArrow(unpack, schema)
+    return workbooks.select("path").mapInArrow(unpack, schema)
 
 
 def clean_path(path: Column) -> Column:
@@ -237,10 +263,7 @@ def inspect(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[tupl
     """
     if not paths:
         return [], []
-    files = read_paths(spark, paths)
-    content = F.col("content")
-    line = F.when(~is_zip(content), header_line(content)).alias("header")
-    seen = files.select(line, "path")
+    seen = sniffed(read_paths(spark, paths))
     grouped = seen.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     found = {row["header"]: row["paths"] for row in grouped}
     workbooks = found.pop(None, [])
@@ -251,7 +274,8 @@ def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns:
     """CSV files to (path, text columns) rows, columns found by name, empty cells NULL.
 
     Each group of files with the same header is one native CSV scan, which splits
-    large files and prunes columns.
+    large files and prunes columns; only files whose header has a line end inside quotes
+    are read whole by a task each.
     """
     scans = []
     for header, paths in groups:
@@ -260,7 +284,7 @@ def csv_rows(spark: SparkSession, groups: list[tuple[str, list[str]]], columns:
         unique = [n if n and n not in names[:i] else f"_unused_{i}" for i, n in enumerate(names)]
         schema = ", ".join(f"`{n}` string" for n in unique)
         reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"')
-        rows = reader.csv(paths)
+        rows = reader.option("multiLine", "\n" in header).csv(paths)
         picked = [F.nullif(F.col(c), F.lit("")).alias(c) for c in columns]
         scans.append(rows.select(clean_path(F.col("_metadata.file_path")).alias("path"), *picked))
     if not scans:
