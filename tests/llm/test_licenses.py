@@ -18,6 +18,7 @@ def test_documents_equal_a_plain_search(spark):
         "All-rights-reserved": r"All rights reserved",
         "MIT": r"Released under the MIT License",
         "Apache": r"Licensed under the Apache License, Version (\d\.\d)",
+        "CC-BY-NC": r"Licensed under CC BY-NC (\d\.\d)",
     }
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     text = {r.doc_id: r.text for r in docs.collect()}
