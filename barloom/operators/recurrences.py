@@ -142,6 +142,25 @@ def apply_pieces(pieces: list[float], u: float) -> float:
     return next(value for edge, value in zip(pieces[2::2], pieces[3::2]) if u < edge)
 
 
+def compose_pieces(first: list[float], then: list[float]) -> list[float]:
+    """The pieces of `then` after `first`: one slab's bands after an earlier slab's."""
+    (low, high), (below, above) = first[:2], then[:2]
+    found = [(edge, apply_pieces(then, value)) for edge, value in zip(first[2::2], first[3::2])]
+    kept = max(low, below), min(high, above)
+    if low <= high:  # what the first slab keeps meets the second one's edges
+        ends = high if kept[0] > kept[1] else np.inf
+        found += [(edge, value) for edge, value in zip(then[2::2], then[3::2]) if low < edge <= ends]
+        if kept[0] > kept[1]:
+            found.append((np.inf, apply_pieces(then, high)))
+    pieces: list[float] = []
+    for edge, value in found:
+        if pieces and pieces[-1] == value:
+            pieces[-2] = edge
+        else:
+            pieces += [edge, value]
+    return [*(kept if kept[0] <= kept[1] else (np.inf, -np.inf)), *pieces]
+
+
 def run_band(before: np.ndarray, basic: np.ndarray, u: float) -> np.ndarray:
     out = np.empty(len(basic))
     for i, (p, b) in enumerate(zip(before.tolist(), basic.tolist())):

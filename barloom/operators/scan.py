@@ -1,17 +1,17 @@
 """Recurrences over every symbol's bars, slab by slab, with exact carries.
 
 Pass 1 sums up each slab as a function of the state before it; the few numbers per
-slab are folded per symbol; the last pass runs each slab from its exact state. The
-sides of trends need the finished bands, hence one pass in between. All passes read
-the same shuffled input, which Spark computes once (exchange reuse).
+slab are composed in a tree (`operators.tree`), which gives the state before each; the
+last pass runs each slab from its exact state. The sides of trends need the finished
+bands, hence one pass and one tree in between. All passes read the same shuffled input,
+which Spark computes once (exchange reuse).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,18 +23,28 @@ from barloom.operators.recurrences import (
     band_pieces,
     compose,
     compose_all,
+    compose_pieces,
     numbers,
     run_band,
     run_sides,
 )
 from barloom.operators.slabs import CHUNK
+from barloom.operators.tree import Row, states_before
 
 KEY = f"symbol string, {CHUNK} int"
 SUMMARY = f"{KEY}, bars long, factors array<double>, terms array<double>, upper array<array<double>>, lower array<array<double>>"
-STATE = f"{KEY}, carry array<double>, upper array<double>, lower array<double>, symbol_bars long"
-SIDES = f"{STATE}, from_falling array<boolean>, from_rising array<boolean>"
+SIDES = f"{KEY}, from_falling array<boolean>, from_rising array<boolean>"
 
-DOUBLES = pa.list_(pa.float64())
+DOUBLES, FLAGS = pa.list_(pa.float64()), pa.list_(pa.bool_())
+PIECES = pa.list_(DOUBLES)
+KINDS = {
+    pa.string(): "string", pa.int32(): "int", pa.int64(): "long",
+    DOUBLES: "array<double>", FLAGS: "array<boolean>", PIECES: "array<array<double>>",
+}
+PART = pa.schema([("bars", pa.int64()), ("factors", DOUBLES), ("terms", DOUBLES), ("upper", PIECES), ("lower", PIECES)])
+STATE = pa.schema([("carry", DOUBLES), ("upper", DOUBLES), ("lower", DOUBLES), ("symbol_bars", pa.int64())])
+SIDES_PART = pa.schema([("from_falling", FLAGS), ("from_rising", FLAGS)])
+SIDES_STATE = pa.schema([("rising", FLAGS)])
 
 
 def in_order(table: pa.Table) -> pa.Table:
@@ -60,25 +70,40 @@ def summarise(table: pa.Table, scans: list[Smooth | Total], trends: list[Trend])
     )
 
 
-def fold(summaries: pa.Table) -> pa.Table:
-    """State before each slab of one symbol. One row per slab goes in: a century of
-    minutes is about 1,200 rows."""
-    table = summaries.sort_by(CHUNK)
-    total = pc.sum(table["bars"]).as_py()
-    carry = upper = lower = None
-    out = []
-    for i in range(table.num_rows):
-        row = {name: table[name][i].as_py() for name in table.column_names}
-        if carry is None:
-            carry, upper = [0.0] * len(row["factors"]), [0.0] * len(row["upper"])
-            lower = upper
-        out.append((row["symbol"], row[CHUNK], carry, upper, lower, total))
-        carry = [f * y + t for f, t, y in zip(row["factors"], row["terms"], carry)]
-        upper = [apply_pieces(p, u) for p, u in zip(row["upper"], upper)]
-        lower = [apply_pieces(p, u) for p, u in zip(row["lower"], lower)]
-    kinds = [pa.string(), pa.int32(), DOUBLES, DOUBLES, DOUBLES, pa.int64()]
-    names = ["symbol", CHUNK, "carry", "upper", "lower", "symbol_bars"]
-    return pa.table([pa.array(column, kind) for column, kind in zip(zip(*out), kinds)], names)
+def after(first: Row, second: Row) -> Row:
+    """Two neighbouring parts of a symbol's bars as one."""
+    steps = list(zip(first["factors"], first["terms"], second["factors"], second["terms"]))
+    return {
+        "bars": first["bars"] + second["bars"],
+        "factors": [g * f for f, _, g, _ in steps],
+        "terms": [g * t + u for _, t, g, u in steps],
+        **{side: [compose_pieces(p, q) for p, q in zip(first[side], second[side])] for side in ("upper", "lower")},
+    }
+
+
+def advance(state: Row, part: Row) -> Row:
+    return {
+        "carry": [f * y + t for f, t, y in zip(part["factors"], part["terms"], state["carry"])],
+        **{side: [apply_pieces(p, u) for p, u in zip(part[side], state[side])] for side in ("upper", "lower")},
+        "symbol_bars": state["symbol_bars"],
+    }
+
+
+def fresh(whole: Row) -> Row:
+    """The state before a symbol's first bar; it counts for nothing there."""
+    zeros = [0.0] * len(whole["upper"])
+    return {"carry": [0.0] * len(whole["factors"]), "upper": zeros, "lower": zeros, "symbol_bars": whole["bars"]}
+
+
+def sides_after(first: Row, second: Row) -> Row:
+    return {
+        start: [rise if up else fall for up, fall, rise in zip(first[start], second["from_falling"], second["from_rising"])]
+        for start in ("from_falling", "from_rising")
+    }
+
+
+def advance_sides(state: Row, part: Row) -> Row:
+    return {"rising": [rise if up else fall for up, fall, rise in zip(state["rising"], part["from_falling"], part["from_rising"])]}
 
 
 def bands(table: pa.Table, trend: Trend, upper: float, lower: float) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +111,7 @@ def bands(table: pa.Table, trend: Trend, upper: float, lower: float) -> tuple[np
 
 
 def summarise_sides(table: pa.Table, state: pa.Table, trends: list[Trend]) -> pa.Table:
-    """The slab's state, and the side each trend ends on from either side."""
+    """The side each trend ends on from either side."""
     table, start = in_order(table), state.to_pylist()[0]
     close = numbers(table, "close")
     ends: dict[bool, list[bool]] = {False: [], True: []}
@@ -94,8 +119,7 @@ def summarise_sides(table: pa.Table, state: pa.Table, trends: list[Trend]) -> pa
         both = bands(table, trend, upper, lower)
         for side, found in ends.items():
             found.append(bool(run_sides(close, *both, side)[-1]))
-    state = state.append_column("from_falling", pa.array([ends[False]]))
-    return state.append_column("from_rising", pa.array([ends[True]]))
+    return one_row(table, from_falling=pa.array([ends[False]], FLAGS), from_rising=pa.array([ends[True]], FLAGS))
 
 
 def finish(table: pa.Table, start: dict, scans: list[Smooth | Total], trends: list[Trend]) -> pa.Table:
@@ -117,38 +141,20 @@ def run_scans(rows: DataFrame, scans: list[Smooth | Total], trends: list[Trend],
     schema = T.StructType([*rows.schema.fields, *added])
     slabs = rows.groupBy("symbol", CHUNK)
     if days is None:
-        fresh = {
-            "carry": [0.0] * len(scans),
-            "upper": [0.0] * len(trends),
-            "lower": [0.0] * len(trends),
-            "rising": [True] * len(trends),
-        }
-        return slabs.applyInArrow(
-            lambda table: finish(table, {**fresh, "symbol_bars": table.num_rows}, scans, trends), schema
-        )
+        first = {"carry": [0.0] * len(scans), "upper": [0.0] * len(trends), "lower": [0.0] * len(trends)}
+        first["rising"] = [True] * len(trends)
+        return slabs.applyInArrow(lambda table: finish(table, {**first, "symbol_bars": table.num_rows}, scans, trends), schema)
     summary = slabs.applyInArrow(lambda table: summarise(table, scans, trends), SUMMARY)
-    state = summary.groupBy("symbol").applyInArrow(fold, STATE)
+    state = states_before(summary, days, after, advance, fresh, PART, STATE, KINDS)
     if trends:
         ends = slabs.cogroup(state.groupBy("symbol", CHUNK)).applyInArrow(
             lambda table, start: summarise_sides(table, start, trends), SIDES
         )
-        state = fold_sides(ends, len(trends))
+        rising = {"rising": [True] * len(trends)}
+        sides = states_before(ends, days, sides_after, advance_sides, lambda _: rising, SIDES_PART, SIDES_STATE, KINDS)
+        state = state.join(sides, ["symbol", CHUNK])
     else:
         state = state.withColumn("rising", F.array().cast("array<boolean>"))
     return slabs.cogroup(state.groupBy("symbol", CHUNK)).applyInArrow(
         lambda table, start: finish(table, start.to_pylist()[0], scans, trends), schema
     )
-
-
-def fold_sides(ends: DataFrame, trends: int) -> DataFrame:
-    """Adds the side before each slab; symbols start rising."""
-    earlier = Window.partitionBy("symbol").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    past = F.collect_list(F.arrays_zip("from_falling", "from_rising")).over(earlier)
-    rising = F.aggregate(
-        past,
-        F.array(*[F.lit(True)] * trends),
-        lambda side, part: F.zip_with(
-            side, part, lambda up, ends: F.when(up, ends["from_rising"]).otherwise(ends["from_falling"])
-        ),
-    )
-    return ends.withColumn("rising", rising).drop("from_falling", "from_rising")

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -10,7 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from barloom.operators import indicators as ind
-from barloom.operators.recurrences import apply_pieces, band_pieces, compose, compose_all, run_band, run_sides
+from barloom.operators import tree
+from barloom.operators.recurrences import apply_pieces, band_pieces, compose, compose_all, compose_pieces, run_band, run_sides
 
 SCHEMA = "symbol string, bucket timestamp_ntz, open double, high double, low double, close double, volume bigint"
 
@@ -144,6 +146,34 @@ def test_indicators_match_sequential_formulas(spark, interval, minutes, chunk_ba
                 assert same(value, wanted), (symbol, spec.name, r[1], value, wanted)
 
 
+def test_five_thousand_slabs_of_one_symbol(spark):
+    """A bar a day in slabs of a day: states come down a tree of two levels."""
+    part = [(*r[:1], datetime(2000, 1, 1) + timedelta(days=i), *r[2:]) for i, r in enumerate(series("S", 5_000, 9, 1))]
+    specs = [ind.Ema(50), ind.Rsi(14), ind.SuperTrend(2, 1.0), ind.Vwap("Quarter")]
+    frame = ind.with_indicators(spark.createDataFrame(part, SCHEMA).repartition(4), specs, "1m", 1_440)
+    found = {r["bucket"]: r for r in frame.collect()}
+    for spec in specs:
+        for r, wanted in zip(part, expected(part, spec)):
+            assert same(found[r[1]][spec.name], wanted), (spec.name, r[1])
+    # What is partitioned by symbol alone has a bounded frame.
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and re.search(r"\], \[symbol#\d+\], \[", line)]
+    assert windows and not any("unboundedpreceding" in line for line in windows)
+    assert plan.count("_parent") and tree.depth(1, tree.FAN) == 2 and tree.depth(30, tree.FAN) == 1
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_deep_trees_give_the_same_rows(spark, monkeypatch, fan):
+    monkeypatch.setattr(tree, "FAN", fan)
+    monkeypatch.setattr(tree, "DAYS", 27 if fan == 3 else 15)  # three to four levels; the top takes what is left
+    part = series("S", 60, 4, 1)
+    specs = [ind.Ema(5), ind.SuperTrend(3, 0.5), ind.SuperTrend(10, 3.0), ind.Vwap("Week")]
+    found = {r["bucket"]: r for r in ind.with_indicators(spark.createDataFrame(part, SCHEMA), specs, "1m", 1_440).collect()}
+    for spec in specs:
+        for r, wanted in zip(part, expected(part, spec)):
+            assert same(found[r[1]][spec.name], wanted), (spec.name, r[1])
+
+
 def test_atr_and_window_vwap(spark):
     part = series("S", 300, 7, 1)
     rows = spark.createDataFrame(part, SCHEMA).repartition(3)
@@ -184,6 +214,20 @@ def test_band_pieces_equal_the_run(pairs, start):
         assert apply_pieces(band_pieces(before, basic), u) == run_band(before, basic, u)[-1]
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(steps, min_size=1, max_size=6))
+def test_composed_pieces_equal_the_run(parts):
+    whole = None
+    for pairs in parts:
+        one = band_pieces(*(np.array(x, float) for x in zip(*pairs)))
+        whole = one if whole is None else compose_pieces(whole, one)
+    before, basic = (np.array(x, float) for x in zip(*(pair for pairs in parts for pair in pairs)))
+    for u in [*range(-8, 9), *(i + 0.5 for i in range(-8, 8))]:
+        assert apply_pieces(whole, float(u)) == run_band(before, basic, float(u))[-1]
+    values = whole[3::2]
+    assert all(a != b for a, b in zip(values, values[1:]))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 1), st.floats(-5, 5)), min_size=1, max_size=40), st.floats(-9, 9))
 def test_compose_equals_the_run(pairs, start):
