@@ -1,8 +1,12 @@
 """The incremental build: source files to candle table, only what changed.
 
-Folders under the database: `candles` (the result), `cache` (normalised rows per
-source), `universe`, `state/build=N` (manifest; its `meta` is written last and is the
-commit), `runs`, `work` (written tables that several steps of one build share).
+Folders under the database: `candles` (the result, in versions: `sources.versions`), `cache`
+(normalised rows per source), `universe`, `state/build=N` (manifest; its `meta` is written
+last and is the commit), `runs`, `work` (written tables that several steps of one build
+share).
+
+New sources add folders with their own rows to `candles`. Only where rows of changed or
+deleted sources are to go, or an output is lost, the year they are in is written again.
 
 Before a build changes the cache it notes, under its own number, which sources and
 outputs it is about to touch. If it dies, the next build starts from the last committed
@@ -13,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +28,7 @@ from barloom.plans import changes
 from barloom.plans.config import BuildConfig
 from barloom.schema import CANDLE_COLUMNS
 from barloom.session import delete, exists, hadoop_path
-from barloom.sources import tables
+from barloom.sources import tables, versions
 from barloom.sources.adapters import ADAPTERS
 from barloom.sources.files import file_name
 
@@ -69,6 +74,12 @@ class Database:
         numbers = [int(name.split("=")[1]) for name in names if name.startswith("build=")]
         return sorted(n for n in numbers if exists(self.spark, f"{self.root}/state/build={n}/meta/_SUCCESS"))
 
+    def cache_folders(self) -> DataFrame:
+        """(kind, cache_id) of the cached sources, from the folders' names; no file is opened."""
+        names = versions.children(self.spark, self.cache, "kind=*/cache_id=*")
+        rows = [tuple(part.split("=", 1)[1] for part in name.split("/")) for name in names]
+        return self.spark.createDataFrame(rows, "kind string, cache_id string")
+
     def meta(self) -> dict:
         builds = self.builds()
         if not builds:
@@ -82,12 +93,9 @@ class Database:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/state/build={builds[-1]}/sources")
 
-    def expected(self) -> DataFrame:
-        """(timeframe, symbol) outputs the last build promised."""
-        builds = self.builds()
-        if not builds:
-            return self.spark.createDataFrame([], "timeframe string, symbol string")
-        return self.spark.read.parquet(f"{self.root}/state/build={builds[-1]}/outputs")
+    def live(self) -> DataFrame:
+        """The list of the table's newest version."""
+        return versions.listed(self.spark, self.candles, versions.current(self.spark, self.candles))
 
     def next_build(self) -> str:
         builds = self.builds()
@@ -96,6 +104,9 @@ class Database:
     def touch(self, name: str, frame: DataFrame) -> None:
         frame.write.mode("append").parquet(f"{self.next_build()}/touched_{name}")
 
+    def has_touched(self, name: str) -> bool:
+        return exists(self.spark, f"{self.next_build()}/touched_{name}")
+
     def touched(self, name: str, schema: str) -> DataFrame:
         path = f"{self.next_build()}/touched_{name}"
         if not exists(self.spark, path):
@@ -111,7 +122,7 @@ class Database:
         return self.spark.read.schema("symbol string").parquet(self.universe)
 
     def stored(self) -> DataFrame:
-        if not exists(self.spark, self.candles):
+        if versions.current(self.spark, self.candles) is None:
             return self.spark.createDataFrame([], tables.TABLE_SCHEMA)
         return tables.read_candles(self.spark, self.candles)
 
@@ -131,20 +142,22 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
         raise ValueError("refresh and verify_only exclude each other")
     db = Database(spark, config.database_dir)
     if verify_only:
-        rows, files = verify(db)
+        rows, files = verify(db, versions.folders(db.live()))
         return BuildReport("VERIFIED", rows, files, {}, 0, 0)
+    meta = db.meta()
     for adapter in ADAPTERS.values():
         folder = config.folder(adapter.kind)
         found = adapter.optional if folder is None else adapter.folder_may_be_missing or exists(spark, folder)
         if not found:
             raise FileNotFoundError(f"Missing {adapter.kind} source folder: {folder}")
-    if refresh or db.meta()["version"] != VERSION:
+    if refresh or meta["version"] != VERSION:
         for name in ("candles", "cache", "universe", "state", "work"):
             delete(spark, f"{db.root}/{name}")
+        meta = db.meta()
     started = now()
     record_run(db, "RUNNING", started, None, "build in progress")
     try:
-        report = run(spark, config, db)
+        report = run(spark, config, db, meta)
     except Exception as error:
         record_run(db, "FAILED", started, now(), str(error))
         raise
@@ -152,56 +165,59 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
     return report
 
 
-def run(spark: SparkSession, config: BuildConfig, db: Database) -> BuildReport:
-    meta = db.meta()
-    old_scheme = meta["scheme"] != SCHEME
+def run(spark: SparkSession, config: BuildConfig, db: Database, meta: dict) -> BuildReport:
     drop_orphans(db)
-    manifest = with_cache_state(db)
-
+    actions = actions_of(spark, config, db, with_cache_state(db), meta["scheme"] != SCHEME)
+    counts = action_counts(actions)
     daily_kinds, intraday_kinds = ["day", "day_idx"], ["minute", "minute_idx"]
-    daily = actions_of(spark, config, db, manifest, daily_kinds, old_scheme, ())
-    counts = action_counts(daily)
-    if has_work(counts):
-        replace_rows(spark, db, daily, daily_kinds, None)
+    if has_work(counts, daily_kinds):
+        replace_rows(spark, db, actions, daily_kinds, None)
 
     digest = meta["universe"]
-    if has_work(counts) or digest is None:
+    if has_work(counts, daily_kinds) or digest is None:
         members = universe(db.cached().where(F.col("kind") == "day"))
         members.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(db.universe)
         digest = set_digest(db.members(), "symbol").first()["digest"]
-    forced = tuple(a.kind for a in ADAPTERS.values() if a.needs_universe and digest != meta["universe"])
-    intraday = actions_of(spark, config, db, manifest, intraday_kinds, old_scheme, forced)
-    intraday_counts = action_counts(intraday)
-    if has_work(intraday_counts):
-        replace_rows(spark, db, intraday, intraday_kinds, db.members())
-
-    for action, number in intraday_counts.items():
-        counts[action] = counts.get(action, 0) + number
-    actions = daily.unionByName(intraday)
-    rewritten, removed = export(db, dirty_outputs(db, actions), config.compression)
-    rows, files = verify(db)
+    forced = [a.kind for a in ADAPTERS.values() if a.needs_universe and digest != meta["universe"]]
+    if forced:
+        actions = db.written("forced_actions", changes.reprocessed(actions, forced))
+        counts = action_counts(actions)
+    if has_work(counts, intraday_kinds):
+        replace_rows(spark, db, actions, intraday_kinds, db.members())
+
+    live = db.live()
+    chosen = versions.folders(live)
+    rewritten = removed = 0
+    if has_work(counts) or db.has_touched("outputs") or versions.gone(spark, db.candles, chosen) or (db.builds() and not chosen):
+        rewritten, removed, live = export(db, dirty_outputs(db, actions, chosen), actions, config.compression)
+        chosen = versions.folders(live)
+    rows, files = verify(db, chosen)
     changed = bool(rewritten or removed or has_work(counts))
-    if changed or changes.UPGRADED in counts or digest != meta["universe"]:
-        commit(db, actions, digest)
-    return BuildReport("UPDATED" if changed else "NO SOURCE CHANGES", rows, files, counts, rewritten, removed)
+    totals: dict[str, int] = {}
+    for (_, action), number in counts.items():
+        totals[action] = totals.get(action, 0) + number
+    if changed or changes.UPGRADED in totals or digest != meta["universe"]:
+        commit(db, actions, digest, live if rewritten or removed else None)
+    return BuildReport("UPDATED" if changed else "NO SOURCE CHANGES", rows, files, totals, rewritten, removed)
 
 
-def action_counts(actions: DataFrame) -> dict[str, int]:
-    return {row["action"]: row["count"] for row in actions.groupBy("action").count().collect()}
+def action_counts(actions: DataFrame) -> dict[tuple[str, str], int]:
+    """Sources by kind and action; one row a source is little enough for one task."""
+    rows = actions.coalesce(1).groupBy("kind", "action").count().collect()
+    return {(row["kind"], row["action"]): row["count"] for row in rows}
 
 
-def has_work(counts: dict[str, int]) -> bool:
-    return any(action in counts for action in changes.WORK)
+def has_work(counts: dict[tuple[str, str], int], kinds: list[str] | None = None) -> bool:
+    return any(action in changes.WORK and (kinds is None or kind in kinds) for kind, action in counts)
 
 
 def drop_orphans(db: Database) -> None:
     """Remove cached rows no committed manifest knows (a build died after writing them)."""
-    held = db.cached().select("kind", "cache_id").distinct()
-    orphans = held.join(db.manifest(), ["kind", "cache_id"], "left_anti")
+    orphans = db.cache_folders().join(db.manifest(), ["kind", "cache_id"], "left_anti")
     folders = orphans.collect()
     if not folders:
         return
-    db.touch("outputs", tables.partitions(in_folders(db.cached(), orphans)))
+    db.touch("outputs", outputs_of(in_folders(db.cached(), orphans)))
     for row in folders:
         delete(db.spark, db.cache_folder(row["kind"], row["cache_id"]))
 
@@ -209,38 +225,27 @@ def drop_orphans(db: Database) -> None:
 def with_cache_state(db: Database) -> DataFrame:
     """The manifest with `has_cache`: a source's rows are still there (or there were none
     to keep) and no unfinished build touched them."""
-    held = db.cached().select("kind", "cache_id").distinct().withColumn("_held", F.lit(True))
+    held = db.cache_folders().withColumn("_held", F.lit(True))
     pending = db.touched("sources", "source_key string").withColumn("_pending", F.lit(True))
     joined = db.manifest().join(held, ["kind", "cache_id"], "left").join(pending, "source_key", "left")
     has_cache = F.coalesce(F.col("_held"), F.col("rows") == 0, F.lit(False)) & F.col("_pending").isNull()
     return joined.withColumn("has_cache", has_cache).drop("_held", "_pending")
 
 
-def actions_of(
-    spark: SparkSession,
-    config: BuildConfig,
-    db: Database,
-    manifest: DataFrame,
-    kinds: list[str],
-    old_scheme: bool,
-    forced: tuple[str, ...],
-) -> DataFrame:
-    """Classified sources of some kinds, written down: hashing reads every file once."""
-    found = [ADAPTERS[kind].discover(spark, config.folder(kind), config.fingerprint) for kind in kinds]
-    discovered = found[0]
-    for more in found[1:]:
-        discovered = discovered.unionByName(more)
-    known = manifest.where(F.col("kind").isin(kinds))
-    return db.written(f"actions_{kinds[0]}", changes.classify(discovered, known, old_scheme, forced))
+def actions_of(spark: SparkSession, config: BuildConfig, db: Database, manifest: DataFrame, old_scheme: bool) -> DataFrame:
+    """All classified sources, written down: hashing reads every file once."""
+    found = [a.discover(spark, config.folder(a.kind), config.fingerprint) for a in ADAPTERS.values()]
+    return db.written("actions", changes.classify(reduce(DataFrame.unionByName, found), manifest, old_scheme))
 
 
 def replace_rows(
     spark: SparkSession, db: Database, actions: DataFrame, kinds: list[str], members: DataFrame | None
 ) -> None:
     """Bring the cache up to date, after noting what that touches."""
+    actions = actions.where(F.col("kind").isin(kinds))
     work = actions.where(F.col("action").isin(*changes.WORK))
     folders = work.where(F.col("old_cache_id").isNotNull()).select("kind", F.col("old_cache_id").alias("cache_id"))
-    db.touch("outputs", tables.partitions(in_folders(db.cached(), folders)))
+    db.touch("outputs", outputs_of(in_folders(db.cached(), folders)))
     db.touch("sources", work.select("source_key"))
     refresh_cache(spark, db, actions, kinds, members)
 
@@ -277,61 +282,101 @@ def refresh_cache(
         )
 
 
-def dirty_outputs(db: Database, actions: DataFrame) -> DataFrame:
-    """Outputs to write again: those of changed sources before and after, and those the
-    last build promised but that are not there."""
-    if db.builds() and not exists(db.spark, db.candles):
-        missing = tables.partitions(db.cached())
+OUTPUT = ["timeframe", "period", "symbol"]
+OUTPUT_SCHEMA = "timeframe string, period string, symbol string"
+
+
+def outputs_of(rows: DataFrame) -> DataFrame:
+    return rows.select("timeframe", versions.period_of(F.col("timestamp")).alias("period"), "symbol").distinct()
+
+
+def dirty_outputs(db: Database, actions: DataFrame, chosen: list[versions.Folder]) -> DataFrame:
+    """(timeframe, period, symbol, again): what changed sources held before and hold now, and
+    what the table's list names but isn't there. `again` is false for what only gets new rows."""
+    if db.builds() and versions.current(db.spark, db.candles) is None:
+        missing = outputs_of(db.cached())
     else:
-        missing = db.expected().join(tables.partitions(db.stored()), ["timeframe", "symbol"], "left_anti")
-    before = db.touched("outputs", "timeframe string, symbol string")
+        missing = versions.of_folders(db.live(), versions.gone(db.spark, db.candles, chosen)).select(*OUTPUT)
+    before = db.touched("outputs", OUTPUT_SCHEMA).unionByName(missing).withColumn("again", F.lit(True))
     work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
-    after = in_folders(db.cached(), work)
-    return db.written("dirty", changes.affected_symbols(before, after).unionByName(missing).distinct())
-
-
-def export(db: Database, dirty: DataFrame, compression: str) -> tuple[int, int]:
-    """Rewrite the dirty outputs from the cache; remove those without any row left."""
-    frames = [row["timeframe"] for row in dirty.select("timeframe").distinct().collect()]
-    if not frames:
-        return 0, 0
-    keys = ["timeframe", "symbol"]
-    kinds = [a.kind for a in ADAPTERS.values() if a.timeframe in frames]
-    rows = db.cached().where(F.col("kind").isin(kinds)).join(dirty, keys, "left_semi")
-    held = tables.partitions(rows).withColumn("held", F.lit(True))
-    outputs = db.written("outputs", dirty.join(held, keys, "left"))
+    after = outputs_of(in_folders(db.cached(), work)).withColumn("again", F.lit(False))
+    return db.written("dirty", before.unionByName(after).groupBy(*OUTPUT).agg(F.max("again").alias("again")))
+
+
+def export(db: Database, dirty: DataFrame, actions: DataFrame, compression: str) -> tuple[int, int, DataFrame]:
+    """Write new folders for the dirty outputs: outputs written, outputs without any row left,
+    and the list of the version to come. Nothing that a reader may be reading changes."""
+    spark, live = db.spark, db.live()
+    # One row for each year and timeframe.
+    periods = {(row["timeframe"], row["period"]): row["again"] for row in dirty.groupBy("timeframe", "period").agg(F.max("again").alias("again")).collect()}
+    if not periods:
+        return 0, 0, live
+    again = [key for key, whole in periods.items() if whole]
+    added = {key for key, whole in periods.items() if not whole}
+    merged = versions.mergeable(versions.folders(live), added)
+
+    of_period = ["timeframe", "period"]
+    keys = spark.createDataFrame(again, "timeframe string, period string")
+    cached = db.cached().withColumn("period", versions.period_of(F.col("timestamp")))
+    if again:  # bounds that the scan can hold against the files' statistics
+        years = sorted(period for _, period in again)
+        kinds = [a.kind for a in ADAPTERS.values() if a.timeframe in {frame for frame, _ in again}]
+        first, last = (F.lit(f"{year}-{day}").cast("timestamp_ntz") for year, day in ((years[0], "01-01 00:00:00"), (years[-1], "12-31 23:59:59.999999")))
+        whole = cached.where(F.col("kind").isin(kinds) & F.col("timestamp").between(first, last)).join(keys, of_period, "left_semi")
+    else:
+        whole = cached.limit(0)
+    work = actions.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
+    fresh = in_folders(cached, work).join(keys, of_period, "left_anti")
+    columns = ["timeframe", "symbol", *CANDLE_COLUMNS]
+    rows = whole.select(*columns).unionByName(fresh.select(*columns))
+    if merged:
+        rows = rows.unionByName(versions.read_folders(spark, db.candles, merged).select(*columns))
+
+    new = versions.write(rows, db.candles, tables.codec(compression), tables.ROWS_PER_FILE)
+    kept = live.join(keys, of_period, "left_anti")
+    if merged:
+        kept = versions.of_folders(kept, merged, "left_anti")
+    live = db.written("live", kept.unionByName(new))
+    pairs = live.select("timeframe", "symbol").distinct().withColumn("held", F.lit(True))
+    outputs = dirty.select("timeframe", "symbol").distinct().join(pairs, ["timeframe", "symbol"], "left")
     counts = {row["held"]: row["count"] for row in outputs.groupBy("held").count().collect()}
-    tables.write_candles(rows, db.candles, compression)
-    removed = tables.drop_partitions(db.spark, db.candles, outputs.where(F.col("held").isNull())) if None in counts else 0
-    return counts.get(True, 0), removed
+    return counts.get(True, 0), counts.get(None, 0), live
 
 
-def verify(db: Database) -> tuple[int, int]:
-    """(rows, files) of the table, from file footers; an empty table is an error."""
-    if not exists(db.spark, db.candles):
-        raise RuntimeError("No candle files found")
-    found = tables.totals(tables.inventory(db.spark, db.candles)).first()
-    if not found["files"]:
+def verify(db: Database, chosen: list[versions.Folder]) -> tuple[int, int]:
+    """(rows, files) of a version, from its files' footers; an empty table or a file that
+    doesn't hold what the list says is an error."""
+    listed = sum(folder.rows for folder in chosen)
+    found = tables.totals(tables.footers(db.spark, [folder.path(db.candles) for folder in chosen])).first() if chosen else None
+    if not found or not found["files"]:
         raise RuntimeError("No candle files found")
+    if found["rows"] != listed:
+        raise RuntimeError(f"The files hold {found['rows']} rows, their list says {listed}")
     return found["rows"], found["files"]
 
 
-def commit(db: Database, actions: DataFrame, digest: str) -> None:
-    """Write the manifest of this build; `meta` comes last and makes it count."""
+def commit(db: Database, actions: DataFrame, digest: str, live: DataFrame | None) -> None:
+    """Publish the table's new version, if any, and write the manifest of this build; `meta`
+    comes last and makes it count. A build that dies between the two is made again."""
     target = db.next_build()
-    live = actions.where(F.col("action") != changes.DELETED)
-    read = live.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
+    listed = actions.where(F.col("action") != changes.DELETED)
+    read = listed.where(F.col("action") == changes.PROCESSED).select("kind", "cache_id")
     counted = in_folders(db.cached(), read).groupBy("kind", "cache_id").agg(F.count(F.lit(1)).alias("new_rows"))
     fresh = F.col("action") == changes.PROCESSED
     rows = F.when(fresh, F.coalesce("new_rows", F.lit(0))).otherwise(F.col("old_rows"))
     folder = F.when(fresh, F.col("cache_id")).otherwise(F.col("old_cache_id"))
-    sources = live.join(counted, ["kind", "cache_id"], "left").select(
+    sources = listed.join(counted, ["kind", "cache_id"], "left").select(
         "source_key", "kind", folder.alias("cache_id"), "fingerprint", rows.alias("rows")
     )
     sources.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/sources")
-    tables.partitions(db.stored()).write.mode("overwrite").parquet(f"{target}/outputs")
+    if live is not None:
+        versions.publish(db.spark, db.candles, live)
     meta = one_row(db.spark, META_SCHEMA, VERSION, SCHEME, digest)
     meta.write.mode("overwrite").parquet(f"{target}/meta")
+    for number in db.builds()[: -versions.KEPT]:
+        delete(db.spark, f"{db.root}/state/build={number}")
+    if live is not None:
+        versions.vacuum(db.spark, db.candles)
 
 
 def now() -> datetime:

@@ -44,6 +44,12 @@ def classify(
     return both.withColumn("action", action).withColumn("kind", F.coalesce("kind", "old_kind")).drop("old_kind")
 
 
+def reprocessed(actions: DataFrame, kinds: list[str]) -> DataFrame:
+    """Classified sources, those of some kinds processed again unless they are gone."""
+    again = F.col("kind").isin(kinds) & (F.col("action") != DELETED)
+    return actions.withColumn("action", F.when(again, F.lit(PROCESSED)).otherwise(F.col("action")))
+
+
 def timeframe_of(kind: Column) -> Column:
     pairs = [F.lit(x) for a in ADAPTERS.values() for x in (a.kind, a.timeframe)]
     return F.create_map(*pairs)[kind]

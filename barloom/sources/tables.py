@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.names import decode_symbol, encode_symbol, symbol_group
 from barloom.schema import CANDLE_COLUMNS, CANDLE_SCHEMA, PARTITION_COLUMNS, TABLE_SCHEMA
 from barloom.session import delete, exists, hadoop_path
+from barloom.sources import versions
+from barloom.sources.streams import opened, with_columns
 
 # Accepted compression names and what Spark calls them.
 CODECS = {"zstd": "zstd", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4", "uncompressed": "none"}
@@ -46,11 +49,18 @@ def write_candles(rows: DataFrame, path: str, compression: str = "zstd", rows_pe
 
 
 def read_candles(spark: SparkSession, path: str) -> DataFrame:
-    """The candle table; filters on timeframe and symbol prune whole folders."""
-    return spark.read.schema(TABLE_SCHEMA).parquet(path)
+    """The candle table; filters on timeframe and symbol prune whole folders.
+
+    Of a table with versions (a build's), the newest one when this is called.
+    """
+    number = versions.current(spark, path)
+    return spark.read.schema(TABLE_SCHEMA).parquet(path) if number is None else versions.read(spark, path, number)
 
 
 def read_symbol(spark: SparkSession, path: str, symbol: str, timeframe: str) -> DataFrame:
+    number = versions.current(spark, path)
+    if number is not None:
+        return versions.read_symbol(spark, path, number, symbol, timeframe).select(*CANDLE_COLUMNS)
     rows = read_candles(spark, path)
     one = (F.col("timeframe") == timeframe) & (F.col("symbol") == symbol)
     return rows.where(one & (F.col("symbol_group") == symbol_group(F.lit(symbol)))).select(*CANDLE_COLUMNS)
@@ -73,6 +83,17 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
+def footers(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """path and rows of every Parquet file below some folders, from the footers alone."""
+
+    def look(path: str) -> dict:
+        with opened(path) as stream:
+            return {"rows": pq.read_metadata(stream).num_rows}
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return with_columns(found.load(folders).select("path"), look, "rows long")
+
+
 def totals(files: DataFrame) -> DataFrame:
     return files.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))
 
