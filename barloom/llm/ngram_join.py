@@ -42,6 +42,9 @@ BUCKET_BYTES = 16 << 20
 #: Rows of one family's groups that a task compares.
 FAMILY_ROWS = 10_000
 
+#: Rows of a block of a larger group, documents of a tile's side, compared pairs that a task remembers.
+GROUP_ROWS, TILE, SEEN = 2048, 1024, 1 << 22
+
 _INFO = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64()), ("sketch", pa.binary())])
 _BLOB = pa.schema([("bucket", pa.int64()), ("sets", pa.binary()), ("counts", pa.binary()), ("signatures", pa.binary())])
 _MEMBER = pa.schema([("gid", pa.int64()), ("fp", pa.int64())])
@@ -265,48 +268,64 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(kept) for i in (0, 1)], names=["a", "b"])
 
 
+def _tiles(unit: np.ndarray, side: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents to compare with documents, at most `TILE` each, of every unit in turn."""
+    cuts = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(1), True])
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        left = np.unique(doc[a:b][side[a:b] != 1])
+        right = np.unique(doc[a:b][side[a:b] != 0])
+        for at in range(0, len(left), TILE):
+            for to in range(at if side[a] == 2 else 0, len(right), TILE):
+                yield left[at : at + TILE], right[to : to + TILE]
+
+
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (gid, rep, component, n, sketch), sorted by gid: pairs of a group in different
-    components that sizes and sketches allow. A pair of several groups is compared once.
+    """From (gid, i, j, side, rep, component, n, sketch), sorted by the first three: pairs of a
+    unit in different components that sizes and sketches allow.
+
+    A unit is a group, or two blocks of a large one. Pairs are made tile by tile and forgotten;
+    of the last `SEEN` ones is known that they were compared, so a pair of several groups mostly
+    is compared once.
     """
-    columns: list[list] = [[], [], [], [], []]
+    columns: list[list] = [[] for _ in range(8)]
     for batch in batches:
         for held, column in zip(columns, batch.columns):
-            held.append(column.to_numpy(zero_copy_only=False) if held is not columns[4] else np.array(column.to_pylist(), dtype=object))
+            held.append(column.to_numpy(zero_copy_only=False) if held is not columns[7] else np.array(column.to_pylist(), dtype=object))
     if not columns[0]:
         return
-    gid, rep, comp, n, bits = (np.concatenate(c) for c in columns)
+    gid, low, high, side, rep, comp, n, bits = (np.concatenate(c) for c in columns)
     reps, first, doc = np.unique(rep, return_index=True, return_inverse=True)
     comp, n, bits = comp[first], n[first], bits[first]
     size = np.array([len(x) for x in bits])
     small = {int(w): np.stack([folded(np.frombuffer(x, np.uint8), w) if len(x) >= w else np.zeros(w, np.uint8) for x in bits]).view(np.uint64) for w in np.unique(size).tolist()}
 
     def likely(codes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        i, j = np.divmod(codes, len(reps))
-        width = np.minimum(size[i], size[j])
-        apart = np.zeros(len(codes), np.int64)
-        for w, folded_bits in small.items():
-            own = np.flatnonzero(width == w)
-            for at in range(0, len(own), 1 << 14):
-                some = own[at : at + (1 << 14)]
-                apart[some] = np.bitwise_count(folded_bits[i[some]] ^ folded_bits[j[some]]).sum(1, dtype=np.int64)
-        ok = _possible(n[i], n[j], apart)
-        yield pa.RecordBatch.from_arrays([pa.array(reps[i[ok]]), pa.array(reps[j[ok]])], names=["a", "b"])
-
-    codes, waiting = np.zeros(0, np.int64), []
-    cuts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1], True])
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        own = np.unique(doc[a:b])
-        for at in range(0, len(own), 1024):
-            i, j = np.meshgrid(own[at : at + 1024], own[at:], indexing="ij")
-            some = (i < j) & (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
-            waiting.append(i[some] * len(reps) + j[some])
-        if sum(map(len, waiting[-64:])) > 1 << 18 or len(waiting) > 4096:
-            fresh = np.setdiff1d(np.concatenate(waiting), codes)
+        for start in range(0, len(codes), 1 << 18):
+            i, j = np.divmod(codes[start : start + (1 << 18)], len(reps))
+            width = np.minimum(size[i], size[j])
+            apart = np.zeros(len(i), np.int64)
+            for w, folded_bits in small.items():
+                own = np.flatnonzero(width == w)
+                for at in range(0, len(own), 1 << 14):
+                    some = own[at : at + (1 << 14)]
+                    apart[some] = np.bitwise_count(folded_bits[i[some]] ^ folded_bits[j[some]]).sum(1, dtype=np.int64)
+            ok = _possible(n[i], n[j], apart)
+            yield pa.RecordBatch.from_arrays([pa.array(reps[i[ok]]), pa.array(reps[j[ok]])], names=["a", "b"])
+
+    seen, waiting, held = np.zeros(0, np.int64), [], 0
+    for left, right in _tiles(np.stack([gid, low, high], axis=1), side, doc):
+        i, j = np.meshgrid(left, right, indexing="ij")
+        some = (i != j) & (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+        i, j = i[some], j[some]
+        waiting.append(np.minimum(i, j) * len(reps) + np.maximum(i, j))
+        held += len(i)
+        if held > 1 << 18 or len(waiting) > 4096:
+            fresh = np.setdiff1d(np.concatenate(waiting), seen)
             yield from likely(fresh)
-            codes, waiting = np.union1d(codes, fresh), []
+            seen = np.union1d(seen, fresh) if len(seen) + len(fresh) <= SEEN else fresh
+            waiting, held = [], 0
     if waiting:
-        yield from likely(np.setdiff1d(np.concatenate(waiting), codes))
+        yield from likely(np.setdiff1d(np.concatenate(waiting), seen))
 
 
 def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -356,9 +375,14 @@ def ngram_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     # Groups of one family have the same smallest member most of the time, so they meet in a
     # task; a large family's groups are dealt to as many tasks as its rows ask for.
     rows = spans.groupBy("pivot").agg(F.sum("m").alias("rows"))
-    parts = spans.join(rows, "pivot").select("gid", "pivot", F.pmod(F.xxhash64("gid"), F.ceil(F.col("rows") / FAMILY_ROWS)).alias("part"))
-    mixed = labelled.join(parts, "gid").join(sketches, "rep").select("pivot", "part", "gid", "rep", "component", "n", "sketch")
-    families = mixed.repartition(buckets, "pivot", "part").sortWithinPartitions("gid").drop("pivot", "part")
+    parts = spans.join(rows, "pivot").select("gid", "pivot", F.pmod(F.xxhash64("gid"), F.ceil(F.col("rows") / FAMILY_ROWS)).alias("part"), F.ceil(F.col("m") / GROUP_ROWS).alias("k"))
+    mixed = labelled.join(parts, "gid").join(sketches, "rep")
+    # A large group's members are dealt to k blocks, and each pair of blocks is a task's unit.
+    own = F.pmod(F.xxhash64("rep"), F.col("k"))
+    dealt = mixed.select("pivot", "part", "gid", "rep", "component", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")
+    dealt = dealt.select("pivot", "part", "gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side, "rep", "component", "n", "sketch")
+    families = dealt.repartition(buckets, "pivot", "part", "i", "j").sortWithinPartitions("gid", "i", "j").drop("pivot", "part")
     more = verified("cross", families.mapInArrow(_cross_pairs, "a long, b long").distinct())
     last = components(store, "last", linked.unionByName(more)).select(F.col("node").alias("rep"), "component")
 
