@@ -1,10 +1,14 @@
-"""Operator 10: line deduplication by content-defined chunks of lines.
+"""Operator 10: line deduplication by chunks of lines.
 
-A text is its lines between line feeds. A rolling hash over the hashes of two successive lines
-chooses the chunk boundaries, so the same lines are cut alike wherever they stand. A line of
-`LONG_WORDS` words or more fills several lines of a page; it is a chunk of its own. Chunks of
-several lines and such long lines are dropped wherever the same bytes occurred before, in the
-order of doc_id and position; single short lines stay.
+A text is its lines between line feeds; lines without words don't count. A rolling hash over the
+hashes of two successive lines names the chunk that opens at the first of them, so the same lines
+give the same chunks wherever they stand. A line of `LONG_WORDS` words or more fills several
+lines of a page and is a chunk of its own. Chunks whose bytes occurred before, in the order of
+doc_id and position, lose their lines.
+
+Every line opens a chunk. Boundaries that a hash picks sparsely depend on the foreign lines around
+a passage, and passages of a few lines fell between them; overlapping chunks reach a repeated
+passage's first and last line without looking at its neighbours.
 """
 
 from __future__ import annotations
@@ -21,64 +25,72 @@ from barloom.llm.words import flat, mix, slices, word_bounds, word_hashes
 
 LONG_WORDS = 20
 
-#: One in so many places between short lines is a boundary.
-SPARSENESS = 4
-
-_SALT = 0x632BE59BD9B4E019
 
+class Lines:
+    """Lines of a column of texts; those with words are numbered through all texts.
 
-class Chunks:
-    """Chunks of a column of texts: byte bounds, two hashes and whether they count as several lines."""
+    A chunk's place is twice the number of its first line in its text, plus one if it has two lines.
+    """
 
     def __init__(self, column):
-        data, offsets = flat(column)
-        self.data, self.offsets = data, offsets
-        feeds = np.flatnonzero(data == 10)
-        # Every text has one line more than line feeds; the feed ends its line.
-        n_feeds = np.diff(np.searchsorted(feeds, offsets))
+        self.data, offsets = flat(column)
         self.texts = len(offsets) - 1
+        feeds = np.flatnonzero(self.data == 10)
+        # Every text has one line more than line feeds; the feed ends its line.
+        of_text = np.diff(np.searchsorted(feeds, offsets)) + 1
         ends = np.sort(np.concatenate([feeds + 1, offsets[1:]]), kind="stable")
-        doc = np.repeat(np.arange(self.texts), n_feeds + 1)
-        starts = np.empty_like(ends)
-        starts[1:] = ends[:-1]
-        starts[:1] = 0
-        first = np.r_[True, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, bool)
-        last = np.r_[first[1:], True] if len(doc) else first
-        body = ends - (~last)  # without the line feed
-        words = np.searchsorted(word_bounds(data, offsets)[0], np.stack([starts, body]))
-        long = words[1] - words[0] >= LONG_WORDS
-        filled = body > starts
-        h = np.zeros(len(ends), np.uint64)
-        h[filled] = word_hashes(data, starts[filled], body[filled])
-        before = np.r_[np.uint64(0), h[:-1]] if len(h) else h
-        fresh = first | np.r_[False, long[:-1]] if len(h) else first
-        before = np.where(fresh, np.uint64(0), before)
-        rolling = mix(h * np.uint64(3) + before, 21)
-        cut = long | last | np.r_[long[1:], False] | (rolling % np.uint64(SPARSENESS) == 0) if len(h) else first
-        opens = np.flatnonzero(first | np.r_[False, cut[:-1]]) if len(h) else np.zeros(0, np.int64)
-        closes = np.flatnonzero(cut)
-        self.doc, self.start, self.end, self.stop = doc[opens], starts[opens], ends[closes], body[closes]
-        self.several = (closes > opens) | long[opens] if len(h) else np.zeros(0, bool)
-        self.several &= np.array([np.any(filled[a : b + 1]) for a, b in zip(opens, closes)], bool) if len(h) else False
-        place = np.arange(len(h)) - (np.repeat(opens, closes - opens + 1) if len(h) else 0)
-        odd = place.astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        lines = (closes - opens + 1).astype(np.uint64)
-        one, two = (np.add.reduceat(mix(h, s) * odd, opens) if len(h) else h for s in (22, 23))
-        self.h1, self.h2 = mix(one + lines, 24), mix(two + lines, 25)
-        self.pos = (np.arange(len(opens)) - np.searchsorted(self.doc, self.doc)).astype(np.int64)
-
-    def text(self, i: int) -> bytes:
-        return self.data[self.start[i] : self.stop[i]].tobytes()
+        text = np.repeat(np.arange(self.texts), of_text)
+        last = np.zeros(len(ends), bool)
+        last[np.cumsum(of_text) - 1] = True
+        self.all_start = np.concatenate([np.zeros(1, ends.dtype), ends])[: len(ends)]
+        self.all_stop = ends - ~last
+        self.all_first = np.concatenate([np.zeros(1, np.int64), np.cumsum(of_text)])
+        words = word_bounds(self.data, offsets)[0]
+        count = np.searchsorted(words, self.all_stop) - np.searchsorted(words, self.all_start)
+        filled = count > 0
+        #: The last line with words up to each line.
+        self.owner = np.cumsum(filled) - 1
+        self.text, self.start, self.stop = text[filled], self.all_start[filled], self.all_stop[filled]
+        self.first = np.searchsorted(self.text, np.arange(self.texts + 1))
+        self.hash = word_hashes(self.data, self.start, self.stop)
+        long = count[filled] >= LONG_WORDS
+        self.single = np.flatnonzero(long)
+        self.double = np.flatnonzero((self.text[1:] == self.text[:-1]) & ~(long[1:] & long[:-1]))
+
+    def keys(self, line: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the chunks that open at `line`, of one line or of two."""
+        second = self.hash[np.minimum(line + two, len(self.hash) - 1)]
+        rolled = [mix(self.hash[line], s) * np.uint64(3) + np.where(two, mix(second, s + 1), np.uint64(0)) for s in (21, 23)]
+        return mix(rolled[0], 25).view(np.int64), mix(rolled[1], 26).view(np.int64)
+
+    def bytes(self, line: int, two: bool) -> bytes:
+        return b"\n".join(self.data[self.start[i] : self.stop[i]].tobytes() for i in range(line, line + 1 + two))
+
+    def without(self, text: int, places: list[int]) -> bytes:
+        """A text without the lines of the chunks at `places` and the blank lines after each of them."""
+        place = np.asarray(places, np.int64)
+        gone = np.zeros(len(self.text) + 1, bool)  # the last one stands for no line
+        line = self.first[text] + (place >> 1)
+        gone[line] = True
+        gone[line + (place & 1)] = True
+        rows = np.arange(self.all_first[text], self.all_first[text + 1])
+        owner = self.owner[rows]
+        kept = rows[~gone[np.where(owner < self.first[text], len(self.text), owner)]]
+        return b"\n".join(self.data[self.all_start[i] : self.all_stop[i]].tobytes() for i in kept)
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            c = Chunks(part.column(2))
-            at = np.flatnonzero(c.several)
-            rows = pa.array(c.doc[at])
+            c = Lines(part.column(2))
+            line = np.concatenate([c.single, c.double])
+            two = np.arange(len(line)) >= len(c.single)
+            h1, h2 = c.keys(line, two)
+            rows = c.text[line]
+            place = 2 * (line - c.first[rows]) + two
+            rows = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c.h1[at].view(np.int64)), pa.array(c.h2[at].view(np.int64)), part.column(0).take(rows), part.column(1).take(rows), pa.array(c.pos[at])],
+                [pa.array(h1), pa.array(h2), part.column(0).take(rows), part.column(1).take(rows), pa.array(place)],
                 names=["h1", "h2", "id", "row", "pos"],
             )
 
@@ -87,76 +99,72 @@ def _repeated_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """(h1, h2, bytes) of the chunks at the listed places, each text once a slice."""
     for batch in batches:
         for part in slices(batch, "text"):
-            c = Chunks(part.column(0))
-            firsts = np.searchsorted(c.doc, np.arange(c.texts))
-            out = {}
-            for i, places in enumerate(part.column(1).to_pylist()):
-                for pos in places or ():
-                    k = firsts[i] + pos
-                    out[int(c.h1[k].view(np.int64)), int(c.h2[k].view(np.int64)), c.text(k)] = None
+            c = Lines(part.column(0))
+            lists = part.column(1).to_pylist()
+            place = np.array([p for places in lists for p in places], np.int64)
+            line = np.repeat(c.first[:-1], [len(places) for places in lists]) + (place >> 1)
+            two = (place & 1).astype(bool)
+            h1, h2 = c.keys(line, two)
+            out = {(a, b, c.bytes(i, t)): None for a, b, i, t in zip(h1.tolist(), h2.tolist(), line.tolist(), two.tolist())}
             columns = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], names=["h1", "h2", "bytes"])
 
 
-def _without(text: int, places: int, schema: pa.Schema):
-    """Rewrites texts without the chunks at the listed positions; other columns pass."""
+def _without(text: int, schema: pa.Schema):
+    """Rewrites texts without the chunks at the places in the last column; other columns pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, schema.field(text).name):
-                column = part.column(text)
-                touched = [i for i, p in enumerate(part.column(places).to_pylist()) if p]
+            for part in slices(batch, f"c{text}"):
+                column, lists = part.column(text), part.column(len(schema)).to_pylist()
+                touched = [i for i, places in enumerate(lists) if places]
                 if touched:
-                    c = Chunks(column.take(pa.array(touched)))
-                    firsts = np.r_[np.searchsorted(c.doc, np.arange(c.texts)), len(c.doc)]
+                    c = Lines(column.take(pa.array(touched)))
                     values = column.to_pylist()
                     for j, i in enumerate(touched):
-                        gone = set(part.column(places)[i].as_py())
-                        kept = [k for k in range(firsts[j], firsts[j + 1]) if k - firsts[j] not in gone]
-                        # The feed after a chunk goes with it; the last kept one ends without.
-                        whole = b"".join(c.data[c.start[k] : c.end[k]].tobytes() for k in kept[:-1]) + (c.text(kept[-1]) if kept else b"")
-                        values[i] = whole.decode("utf-8", "replace")
+                        values[i] = c.without(j, lists[i]).decode("utf-8", "replace")
                     column = pa.array(values, schema.field(text).type)
-                yield pa.RecordBatch.from_arrays([column if i == text else part.column(i) for i in range(places)], schema=schema)
+                yield pa.RecordBatch.from_arrays([column if i == text else part.column(i) for i in range(len(schema))], schema=schema)
 
     return run
 
 
 def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`docs` with every later copy of a repeated chunk cut out of its text; all rows stay.
+    """`docs` without the lines of later copies of repeated chunks; all rows stay.
 
-    The copy of the smallest (doc_id, position) stays; a null id comes last. Rows of equal id and
-    text count as one document and come back alike. Null and empty texts pass; a text whose
-    chunks all occurred before becomes empty. Further columns pass unchanged.
+    The copy of the smallest (doc_id, position) stays; a null id comes last. So the first occurrence
+    of any line stays. Blank lines go with the line before them. Rows of equal id and text count
+    as one document and come back alike. Null and empty texts pass; a text whose lines all go
+    becomes empty. Further columns, whatever their names, pass unchanged.
     """
     spark = docs.sparkSession
     store = Store(spark, "line_dedup")
-    own = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(text_column).alias("row"), F.col(text_column).alias("text"))
-    found = store.put("found", own.mapInArrow(_found, "h1 long, h2 long, id long, row long, pos long").distinct())
+    at = docs.columns.index(text_column)
+    # Columns by number: no name of the user's meets one of the operator's.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    text = F.col(f"c{at}")
+    keyed = plain.withColumns({"id": F.coalesce(F.col(f"c{docs.columns.index(id_column)}").cast("long"), F.lit(2**63 - 1)), "row": F.xxhash64(text)})
+    found = store.put("found", keyed.select("id", "row", text.alias("text")).mapInArrow(_found, "h1 long, h2 long, id long, row long, pos long").distinct())
     place = F.struct("id", "row", "pos")
     groups = found.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min(place).alias("kept")).where("copies > 1")
     groups = store.put("groups", groups.select("h1", "h2", "kept"))
     repeated = store.put("repeated", found.join(groups, ["h1", "h2"]).select("h1", "h2", "id", "row", "pos", (place != F.col("kept")).alias("later")))
 
     def with_places(name: str, places: DataFrame) -> DataFrame:
-        """Rows with the sorted positions `at` (later copies) and `all` of their repeated chunks."""
+        """Rows with the sorted places `later` (later copies) and `all` of their repeated chunks."""
         lists = places.groupBy("id", "row").agg(
-            F.sort_array(F.collect_list("pos")).alias("_all"), F.sort_array(F.collect_list(F.when(F.col("later"), F.col("pos")))).alias("_at")
+            F.sort_array(F.collect_list("pos")).alias("all"), F.sort_array(F.collect_list(F.when(F.col("later"), F.col("pos")))).alias("later")
         )
-        keyed = docs.withColumn("_id", F.coalesce(F.col(id_column).cast("long"), F.lit(2**63 - 1))).withColumn("_row", F.xxhash64(text_column))
-        joined = keyed.join(lists.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "_at", "_all"), ["_id", "_row"], "left")
-        return store.put(name, joined.select(*(F.col(f"`{c}`") for c in docs.columns), "_at", "_all"))
+        return store.put(name, keyed.join(lists, ["id", "row"], "left").select(*plain.columns, "later", "all"))
 
     marked = with_places("marked", repeated)
-    texts = marked.where("_all IS NOT NULL").select(F.col(text_column).alias("text"), "_all").mapInArrow(_repeated_texts, "h1 long, h2 long, bytes binary")
+    texts = marked.where("`all` IS NOT NULL").select(text.alias("text"), "all").mapInArrow(_repeated_texts, "h1 long, h2 long, bytes binary")
     # Equal hashes of different bytes: such groups keep all their copies.
     different = store.put("different", texts.distinct().groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"))
     if not different.isEmpty():
         marked = with_places("again", repeated.join(different, ["h1", "h2"], "left_anti"))
-    marked = marked.select(*(F.col(f"`{c}`") for c in docs.columns), "_at")
-    at = docs.columns.index(text_column)
     arrow = pa.schema([(f.name, t) for f, t in zip(docs.schema.fields, _arrow_types(docs))])
-    return marked.mapInArrow(_without(at, len(docs.columns), arrow), docs.schema)
+    return marked.select(*plain.columns, "later").mapInArrow(_without(at, arrow), docs.schema)
 
 
 def _arrow_types(frame: DataFrame) -> list[pa.DataType]:

@@ -1,25 +1,35 @@
 import random
-
-from barloom.llm.line_dedup import Chunks, line_dedup
+import re
 
 import pyarrow as pa
+import pytest
 
+from barloom.llm.line_dedup import Lines, line_dedup
 
-def pieces(text):
-    c = Chunks(pa.array([text], pa.string()))
-    return [(bool(c.several[i]), c.data[c.start[i] : c.end[i]].tobytes().decode(), c.text(i)) for i in range(len(c.doc))]
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute(rows):
-    seen, out = set(), {}
+    """Texts by id, from the definition alone: one pass over all chunks in order of id and position."""
+    seen, gone = set(), set()
     for d, text in sorted(rows):
-        kept = []
-        for several, whole, body in pieces(text):
-            if several and body in seen:
-                continue
-            seen.add(body)
-            kept.append((whole, body.decode()))
-        out[d] = "".join(w for w, _ in kept[:-1]) + (kept[-1][1] if kept else "")
+        filled = [(i, line, len(WORD.findall(line)) >= 20) for i, line in enumerate(text.split("\n")) if WORD.search(line)]
+        for k, (i, line, long) in enumerate(filled):
+            chunks = [((i,), line)] if long else []
+            if k + 1 < len(filled) and not (long and filled[k + 1][2]):
+                chunks.append(((i, filled[k + 1][0]), line + "\n" + filled[k + 1][1]))
+            for places, body in chunks:
+                if body in seen:
+                    gone |= {(d, p) for p in places}
+                seen.add(body)
+    out = {}
+    for d, text in rows:
+        kept, drops = [], False
+        for i, line in enumerate(text.split("\n")):
+            drops = (d, i) in gone if WORD.search(line) else drops
+            if not drops:
+                kept.append(line)
+        out[d] = "\n".join(kept)
     return out
 
 
@@ -32,19 +42,42 @@ def test_equals_brute_force(spark):
         own = [f"own {d} {i}" + " z" * rng.randint(0, 30) for i in range(rng.randint(1, 8))]
         at = rng.randrange(len(own) + 1)
         rows.append((d, "\n".join(own[:at] + (passage if rng.random() < 0.5 else []) + own[at:] + rng.sample(lines, 3))))
+    rows += [(100, "a\na\na\n\n \na"), (101, "\n\nb\n"), (102, "é x\r\n\nü y\r\n"), (103, "é x\r\nü y\r"), (104, "\x0b\né x\r\n\n\nü y\r\n\nz")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r.doc_id: r.text for r in line_dedup(docs).collect()}
     assert got == brute(rows)
     assert sum(len(t) for t in got.values()) < sum(len(t) for _, t in rows)
 
 
-def test_chunks_cover_the_text_and_do_not_depend_on_neighbours():
-    texts = ["", "\n", "a\nb\n\nc", "x " * 30 + "\n" + "y " * 40, "é\n" * 9, None]
-    c = Chunks(pa.array(texts, pa.string()))
+@pytest.mark.parametrize("size", [3, 5, 8, 15])
+def test_passages_of_short_lines_go_whole(spark, size):
+    """Later copies lose every line, wherever they stand; the lines around them stay."""
+    rng = random.Random(size)
+
+    def line(words):
+        return " ".join(str(rng.randrange(10**6)) for _ in range(words))
+
+    rows, expected = [], {}
+    for p in range(30):
+        passage = [line(12) for _ in range(size)]
+        for copy in range(3):
+            own = [line(rng.randint(1, 18)) for _ in range(rng.randint(0, 9))]
+            at = rng.randint(0, len(own))
+            rows.append((3 * p + copy, "\n".join(own[:at] + passage + own[at:])))
+            expected[3 * p + copy] = rows[-1][1] if copy == 0 else "\n".join(own)
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.text for r in line_dedup(docs).collect()} == expected
+
+
+def test_lines_cover_the_text():
+    texts = ["", "\n", "a\nb\n\nc", "x " * 30 + "\n" + "y " * 40, "é\n" * 9, None, " \n\t"]
+    c = Lines(pa.array(texts, pa.string()))
     for i, t in enumerate(texts):
-        mine = [c.data[c.start[k] : c.end[k]].tobytes().decode() for k in range(len(c.doc)) if c.doc[k] == i]
-        assert "".join(mine) == (t or "")
-        assert mine == [p[1] for p in pieces(t or "")]
+        assert c.without(i, []).decode() == (t or "")
+    assert c.without(2, [1]) == b"c"
+    assert c.without(3, [0, 2]) == b""
+    assert Lines(pa.array([], pa.string())).texts == 0
 
 
 def test_odd_rows(spark):
@@ -56,3 +89,14 @@ def test_odd_rows(spark):
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(2, "head\ntail"), (1, long), (2, "head\ntail"), (None, ""), (5, None), (6, ""), (7, "short"), (8, "short")], key=str)
     assert line_dedup(docs.limit(0)).count() == 0
+
+
+def test_columns_with_clashing_names_pass(spark):
+    names = ["_id", "_row", "_at", "_all", "id", "row", "pos", "later", "all", "h1", "c0", "c1", "bytes", "copies", "kept"]
+    rows = [(d, "same line\nsecond line\n" + str(d), *(f"{n} {d}" for n in names)) for d in range(4)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    out = line_dedup(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert r.text == ("same line\nsecond line\n0" if r.doc_id == 0 else str(r.doc_id))
+        assert [r[n] for n in names] == [f"{n} {r.doc_id}" for n in names]
