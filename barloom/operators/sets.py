@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.ranks import dense_ids
+
 
 # A set of symbols up to this size (some tens of megabytes) may be broadcast.
 SMALL_SET = 1_000_000
@@ -33,19 +35,8 @@ def added_or_removed(old: DataFrame, new: DataFrame, keys: list[str] | None = No
 
 
 def surrogate_ids(symbols: DataFrame) -> DataFrame:
-    """Distinct symbols with their rank from 0 in binary order.
-
-    Ranks are counted per two-character prefix; only the table of prefixes is ordered
-    as a whole.
-    """
-    prefixed = symbols.withColumn("_prefix", F.substring("symbol", 1, 2))
-    sizes = prefixed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy("_prefix").orderBy("symbol")) - 1
-    return prefixed.withColumn("_within", within).join(offsets, "_prefix").select(
-        "symbol", (F.col("_offset") + F.col("_within")).alias("id")
-    )
+    """Distinct symbols with their rank from 0 in binary order."""
+    return dense_ids(symbols, "symbol")
 
 
 def symbol_list_digest(symbols: DataFrame) -> DataFrame:
