@@ -8,6 +8,8 @@ share).
 New sources add folders with their own rows to `candles`. Only where rows of changed or
 deleted sources are to go, or an output is lost, the year they are in is written again.
 
+With `consumer_dir` configured, a build also keeps one file per symbol and timeframe there.
+
 Before a build changes the cache it notes, under its own number, which sources and
 outputs it is about to touch. If it dies, the next build starts from the last committed
 manifest, takes those sources as unread and those outputs as dirty.
@@ -31,10 +33,13 @@ from barloom.session import delete, exists, hadoop_path
 from barloom.sources import tables, versions
 from barloom.sources.adapters import ADAPTERS
 from barloom.sources.files import file_name
+from barloom.sources.streams import put
 
 # Manifest version and the name of its fingerprints.
 VERSION = 2
 SCHEME = "sha256-content-v1"
+# Mark of a consumer layout that was written whole once.
+WHOLE = "_WHOLE"
 
 CACHE_SCHEMA = (
     "source_key string, timeframe string, symbol string, timestamp timestamp_ntz, open double, high double, "
@@ -153,6 +158,8 @@ def build(spark: SparkSession, config: BuildConfig, refresh: bool = False, verif
     if refresh or meta["version"] != VERSION:
         for name in ("candles", "cache", "universe", "state", "work"):
             delete(spark, f"{db.root}/{name}")
+        if config.consumer_dir:
+            delete(spark, f"{config.consumer_dir}/{WHOLE}")
         meta = db.meta()
     started = now()
     record_run(db, "RUNNING", started, None, "build in progress")
@@ -188,10 +195,14 @@ def run(spark: SparkSession, config: BuildConfig, db: Database, meta: dict) -> B
     live = db.live()
     chosen = versions.folders(live)
     rewritten = removed = 0
+    dirty = None
     if has_work(counts) or db.has_touched("outputs") or versions.gone(spark, db.candles, chosen) or (db.builds() and not chosen):
-        rewritten, removed, live = export(db, dirty_outputs(db, actions, chosen), actions, config.compression)
+        dirty = dirty_outputs(db, actions, chosen)
+        rewritten, removed, live = export(db, dirty, actions, config.compression)
         chosen = versions.folders(live)
     rows, files = verify(db, chosen)
+    if config.consumer_dir:
+        export_flat(db, config, dirty, live, chosen)
     changed = bool(rewritten or removed or has_work(counts))
     totals: dict[str, int] = {}
     for (_, action), number in counts.items():
@@ -343,6 +354,27 @@ def export(db: Database, dirty: DataFrame, actions: DataFrame, compression: str)
     return counts.get(True, 0), counts.get(None, 0), live
 
 
+def export_flat(db: Database, config: BuildConfig, dirty: DataFrame | None, live: DataFrame, chosen: list[versions.Folder]) -> None:
+    """Bring the consumer layout up to date with the version to come: the files of dirty outputs
+    are replaced or, without any row left, deleted. A layout without its mark is written whole, and
+    files of the layout's form that it shouldn't have go; other files in the folder stay.
+
+    It happens before the commit, so a build that dies here finds the same outputs dirty again.
+    """
+    spark, target = db.spark, config.consumer_dir
+    pair = ["timeframe", "symbol"]
+    rows = versions.read_folders(spark, db.candles, chosen)
+    held = tables.flat_files(live.select(*pair).distinct())
+    if not exists(spark, f"{target}/{WHOLE}"):
+        tables.write_flat(rows, target, config.compression)
+        tables.drop_files(target, tables.listed_flat(spark, target).join(held, "file", "left_anti"))
+        put(f"{target}/{WHOLE}", b"")
+    elif dirty is not None:
+        outputs = dirty.select(*pair).distinct()
+        tables.write_flat(rows.join(outputs, pair, "left_semi"), target, config.compression)
+        tables.drop_files(target, tables.flat_files(outputs).join(held, "file", "left_anti"))
+
+
 def verify(db: Database, chosen: list[versions.Folder]) -> tuple[int, int]:
     """(rows, files) of a version, from its files' footers; an empty table or a file that
     doesn't hold what the list says is an error."""

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, fields
 
 from barloom.sources.tables import codec
 
-PATH_KEYS = ("database_dir", "day_source", "day_index_source", "minute_source", "minute_index_source")
+PATH_KEYS = ("database_dir", "consumer_dir", "day_source", "day_index_source", "minute_source", "minute_index_source")
 # Which adapter reads which configured folder.
 SOURCE_KEYS = {"day": "day_source", "day_idx": "day_index_source", "minute": "minute_source", "minute_idx": "minute_index_source"}
 
@@ -17,6 +17,7 @@ SOURCE_KEYS = {"day": "day_source", "day_idx": "day_index_source", "minute": "mi
 class BuildConfig:
     """`fingerprint` is `content` (hash every file on every build) or `stat` (size and time).
 
+    `consumer_dir`, if named, gets the consumer layout as well: one file per symbol and timeframe.
     `spark_conf` holds the chosen profile: settings for whoever starts the session.
     """
 
@@ -25,6 +26,7 @@ class BuildConfig:
     minute_source: str
     day_index_source: str | None = None
     minute_index_source: str | None = None
+    consumer_dir: str | None = None
     compression: str = "zstd"
     fingerprint: str = "content"
     profile: str = "local"

@@ -336,12 +336,12 @@ def src09(spark, sf_dir):
 
 @query(
     "src10_flat_layout",
-    f"{v.WITH_CANDLES} SELECT {CANDLE_LIST} FROM candles WHERE timeframe = 'day'",
+    f"{v.WITH_CANDLES} SELECT {CANDLE_LIST} FROM candles",
 )
 def src10(spark, sf_dir):
     path = folder(spark, sf_dir, "src10")
     tables.write_flat(v.candles(spark, sf_dir), path)
-    return tables.read_flat(spark, path, "day").drop("filename")
+    return tables.read_flat(spark, path, "day").unionByName(tables.read_flat(spark, path, "1m")).drop("filename")
 
 
 @query(
@@ -464,7 +464,7 @@ def snk07(spark, sf_dir):
 
 @query("snk08_published_whole", f"{v.WITH_CANDLES} SELECT timeframe, symbol, count(*) AS rows FROM candles GROUP BY 1, 2")
 def snk08(spark, sf_dir):
-    """Publishing twice by rename leaves exactly the second version."""
+    """Files put in place twice leave exactly the second rows."""
     path = folder(spark, sf_dir, "snk08")
     rows = v.candles(spark, sf_dir)
     tables.write_flat(rows.where(F.col("timeframe") == "day"), path)

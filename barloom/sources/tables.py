@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.names import decode_symbol, encode_symbol, symbol_group
 from barloom.schema import CANDLE_COLUMNS, CANDLE_SCHEMA, PARTITION_COLUMNS, TABLE_SCHEMA
-from barloom.session import delete, exists, hadoop_path
+from barloom.session import delete, exists
 from barloom.sources import versions
-from barloom.sources.streams import opened, with_columns
+from barloom.sources.flat import FlatFiles
+from barloom.sources.streams import located, opened, with_columns
 
 # Accepted compression names and what Spark calls them.
 CODECS = {"zstd": "zstd", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4", "uncompressed": "none"}
@@ -128,28 +132,48 @@ def drop_partitions(spark: SparkSession, path: str, stale: DataFrame) -> int:
     return len(folders)
 
 
+def flat_files(pairs: DataFrame) -> DataFrame:
+    """`file` of (timeframe, symbol) pairs: `<group>/<symbol>/<timeframe>.parquet`."""
+    return pairs.select(flat_file().alias("file"))
+
+
+def flat_file() -> Column:
+    symbol = F.col("symbol")
+    return F.concat_ws("/", symbol_group(symbol), encode_symbol(symbol), F.concat("timeframe", F.lit(".parquet")))
+
+
+def listed_flat(spark: SparkSession, path: str) -> DataFrame:
+    """`file` of what a consumer layout holds; no file is opened."""
+    found = spark.read.format("binaryFile").load(f"{path}/[a-z0-9_]/*/*.parquet")
+    return found.select(F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1).alias("file"))
+
+
 def write_flat(rows: DataFrame, path: str, compression: str = "zstd") -> None:
-    """The consumer layout `<group>/<symbol>/<timeframe>.parquet`.
+    """The consumer layout: one file per symbol and timeframe that occurs in `rows`, no others.
 
-    Spark writes a staging table; its finished partition folders are then renamed
-    into place, one rename per symbol and timeframe, so readers never see half a
-    symbol. Each `.parquet` is a folder of part files.
+    One shuffle brings a file's rows together in order; the task that has them streams them
+    out and puts the file in place (`sources.flat`). A file is one symbol's history by the
+    layout's own rule; the candle table is the form that splits it.
     """
     spark = rows.sparkSession
-    staging = f"{path}/_staging"
-    delete(spark, staging)
-    write_candles(rows, staging, compression)
-    parent = F.regexp_replace("file", "/[^/]*$", "")
-    target = F.concat_ws(
-        "/", F.lit(path), symbol_group(F.col("symbol")), encode_symbol(F.col("symbol")), F.concat("timeframe", F.lit(".parquet"))
-    )
-    moves = inventory(spark, staging).select(parent.alias("source"), target.alias("target")).distinct()
-    for row in moves.collect():
-        fs, goal = hadoop_path(spark, row["target"])
-        fs.mkdirs(goal.getParent())
-        fs.delete(goal, True)
-        fs.rename(hadoop_path(spark, row["source"])[1], goal)
-    delete(spark, staging)
+    spark.dataSource.register(FlatFiles)
+    keyed = rows.select(flat_file().alias("file"), *CANDLE_COLUMNS)
+    ordered = keyed.repartition("file").sortWithinPartitions("file", "timestamp")
+    ordered.write.format(FlatFiles.name()).mode("append").option("path", path).option("compression", codec(compression)).save()
+
+
+def drop_files(path: str, files: DataFrame) -> None:
+    """Delete the named files below `path` where they exist; tasks do it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                system, file = located(f"{path}/{name}")
+                if system.get_file_info(file).is_file:
+                    system.delete_file(file)
+            yield batch
+
+    files.select("file").mapInArrow(run, "file string").write.format("noop").mode("overwrite").save()
 
 
 def read_flat(spark: SparkSession, path: str, timeframe: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 import raw
@@ -191,3 +192,52 @@ def test_missing_folder_and_bad_codec(spark, world):
     (world / "bad.json").write_text(json.dumps(raw_config | {"compression": "rar"}))
     with pytest.raises(ValueError):
         load_config(str(world / "bad.json"))
+
+
+def flat_files(config):
+    root = config.consumer_dir
+    found = [os.path.relpath(os.path.join(folder, f), root) for folder, _, names in os.walk(root) for f in names]
+    return {f: os.stat(os.path.join(root, f)).st_mtime_ns for f in found if f.endswith(".parquet") and not os.path.basename(f).startswith(".")}
+
+
+def test_build_keeps_the_consumer_layout(spark, world):
+    raw_config = json.loads((world / "config.json").read_text())
+    build(spark, load_config(str(world / "config.json"), "ci"))
+    # Named later: a build without changes writes the whole layout.
+    (world / "config.json").write_text(json.dumps({**raw_config, "consumer_dir": "flat"}))
+    config = load_config(str(world / "config.json"), "ci")
+    assert build(spark, config).state == "NO SOURCE CHANGES"
+    first = flat_files(config)
+    assert set(first) == {"a/ABC/day.parquet", "a/ABC/1m.parquet", "n/NIFTY%2050/day.parquet"}
+    assert spark.read.parquet(f"{config.consumer_dir}/a/ABC/day.parquet").first()["close"] == 105
+    build(spark, config)
+    assert flat_files(config) == first
+
+    # Another year and another symbol: only the files of symbols with new rows are replaced, whole.
+    raw.write_day(world / "day" / "delivery_02-Jan-2026.csv", [raw.day_row(date=" 02-Jan-2026"), raw.day_row("NEW", date=" 02-Jan-2026")])
+    build(spark, config)
+    second = flat_files(config)
+    assert {f for f in second if second[f] != first.get(f)} >= {"a/ABC/day.parquet", "n/NEW/day.parquet"}
+    assert second["n/NIFTY%2050/day.parquet"] == first["n/NIFTY%2050/day.parquet"]
+    stamps = [str(r["timestamp"])[:10] for r in spark.read.parquet(f"{config.consumer_dir}/a/ABC/day.parquet").collect()]
+    assert stamps == ["2025-01-01", "2026-01-02"]
+
+    # The source goes: so does the symbol that only it held.
+    (world / "day" / "delivery_02-Jan-2026.csv").unlink()
+    build(spark, config)
+    assert set(flat_files(config)) == set(first)
+
+    # A refresh forgets what was dirty: it drops what the layout shouldn't hold, and nothing else.
+    stale = world / "flat" / "z" / "ZZZ"
+    stale.mkdir(parents=True)
+    (stale / "day.parquet").write_bytes(b"old")
+    (world / "flat" / "notes.txt").write_text("mine")
+    build(spark, config, refresh=True)
+    assert (world / "flat" / "notes.txt").exists()
+    assert set(flat_files(config)) == set(first)
+    assert spark.read.parquet(f"{config.consumer_dir}/a/ABC/day.parquet").count() == 1
+
+    flat = tables.read_flat(spark, config.consumer_dir, "day").unionByName(tables.read_flat(spark, config.consumer_dir, "1m"))
+    assert sorted(tuple(map(str, r)) for r in flat.select(*tables.read_candles(spark, f"{config.database_dir}/candles").columns[:8]).collect()) == sorted(
+        tuple(map(str, r[:8])) for r in tables.read_candles(spark, f"{config.database_dir}/candles").collect()
+    )

@@ -11,6 +11,7 @@ from barloom.plans.specs import DEFAULT_CONFIG, load_specs, with_higher_timefram
 from barloom.sources import tables
 
 SCHEMA = "symbol string, timeframe string, timestamp timestamp_ntz, open double, high double, low double, close double, volume bigint, delivery bigint, del_percent double"
+SCHEMA_NAMES = [part.split(" ")[0] for part in SCHEMA.split(", ")]
 ODD = ["M&M", "NIFTY 50", "A/B", "007", "50%", "x~y(z)", "Ä", "A+B", "-DASH"]
 
 
@@ -27,7 +28,7 @@ def test_odd_symbols_survive_both_layouts(spark, tmp_path):
     for symbol in ODD:
         assert tables.read_symbol(spark, str(tmp_path / "t"), symbol, "day").count() == 3
     tables.write_flat(rows, str(tmp_path / "flat"))
-    assert os.path.isdir(tmp_path / "flat" / "n" / "NIFTY%2050" / "day.parquet")
+    assert os.path.isfile(tmp_path / "flat" / "n" / "NIFTY%2050" / "day.parquet")
     flat = tables.read_flat(spark, str(tmp_path / "flat"), "day")
     assert {r["symbol"] for r in flat.select("symbol").distinct().collect()} == set(ODD)
     tables.drop_partitions(spark, str(tmp_path / "t"), spark.createDataFrame([("day", "A/B"), ("day", "50%")], "timeframe string, symbol string"))
@@ -35,6 +36,47 @@ def test_odd_symbols_survive_both_layouts(spark, tmp_path):
     assert left == set(ODD) - {"A/B", "50%"}
 
 
+def test_flat_files_are_whole_sorted_and_replaced(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    rows = rows_for(ODD, 30) + rows_for(["AA"], 25_000) + rows_for(ODD, 4, "1m")
+    tables.write_flat(spark.createDataFrame(rows, SCHEMA).repartition(7), path)
+    files = {os.path.relpath(f, path) for f in glob.glob(f"{path}/**/*", recursive=True) if os.path.isfile(f)}
+    assert len(files) == 2 * len(ODD) + 1 and not any(os.path.basename(f).startswith("_") for f in files)
+    stamps = [r[0] for r in spark.read.parquet(f"{path}/a/AA/day.parquet").select("timestamp").collect()]
+    assert len(stamps) == 25_000 and stamps == sorted(stamps)
+    assert sorted(map(tuple, tables.read_flat(spark, path, "1m").select(*SCHEMA_NAMES).collect())) == sorted(rows_for(ODD, 4, "1m"))
+    # Written again with fewer rows: that file is replaced, the others stay.
+    tables.write_flat(spark.createDataFrame(rows_for(["AA"], 2), SCHEMA), path, "lz4")
+    assert spark.read.parquet(f"{path}/a/AA/day.parquet").count() == 2
+    assert tables.read_flat(spark, path, "day").count() == 30 * len(ODD) + 2
+    pairs = spark.createDataFrame([("day", "AA"), ("day", "never there")], "timeframe string, symbol string")
+    assert {r["file"] for r in tables.listed_flat(spark, path).collect()} == files
+    tables.drop_files(path, tables.flat_files(pairs))
+    assert tables.read_flat(spark, path, "day").count() == 30 * len(ODD)
+    tables.write_flat(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"))
+    assert not glob.glob(str(tmp_path / "none" / "*"))
+
+
+def test_a_failed_file_leaves_the_old_one(tmp_path):
+    import pyarrow as pa
+
+    from barloom.sources.flat import FlatWriter
+
+    def batches(n, fails):
+        yield pa.RecordBatch.from_pydict({"file": ["a/A/day.parquet"] * n, "close": [1.0] * n})
+        if fails:
+            raise RuntimeError("lost")
+
+    writer = FlatWriter(str(tmp_path), "zstd")
+    assert (writer.write(batches(3, False)).files, writer.write(batches(5, False)).rows) == (1, 5)
+    with pytest.raises(RuntimeError):
+        writer.write(batches(9, True))
+    assert os.listdir(tmp_path / "a" / "A") == ["day.parquet"]
+    import pyarrow.parquet as pq
+
+    assert pq.read_metadata(tmp_path / "a" / "A" / "day.parquet").num_rows == 5
+
+
 def test_symbol_read_prunes_folders(spark, tmp_path):
     tables.write_candles(spark.createDataFrame(rows_for(["AA", "BB"]), SCHEMA), str(tmp_path))
     plan = tables.read_symbol(spark, str(tmp_path), "AA", "day").where(F.col("timestamp") >= F.lit("2024-01-02").cast("timestamp_ntz"))
