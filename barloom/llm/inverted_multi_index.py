@@ -24,6 +24,9 @@ from barloom.llm.vectors import as_doubles, matrix
 #: Vectors that the codebooks are fitted on, centroids of a half, vectors of one block of a list.
 SAMPLE, CENTROIDS, BLOCK = 10_000, 512, 4096
 
+#: Queries that are compared with a block at once, and queries (about) that one task holds.
+TILE, QUERIES = 256, 16_384
+
 #: Queries of the calibration, and the share of their true neighbours that it has to reach.
 PROBES, WANTED = 48, 0.97
 
@@ -109,36 +112,42 @@ def _search(k: int):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         if not vectors.num_rows or not queries.num_rows:
             return _hits([])
-        order = np.argsort(vectors["c2"].to_numpy(), kind="stable")
-        ids, c2 = vectors["vec_id"].to_numpy()[order], vectors["c2"].to_numpy()[order]
-        x = matrix(vectors["vector"].combine_chunks())[order]
+        ids, c2 = vectors["vec_id"].to_numpy(), vectors["c2"].to_numpy()
+        x = matrix(vectors["vector"].combine_chunks())
         q_ids, q = queries["query_id"].to_numpy(), matrix(queries["query"].combine_chunks())
         lists = [np.asarray(cells.values) for cells in queries["cells"].combine_chunks()]
-        by_cell: dict[int, list[int]] = {}
-        for n, cells in enumerate(lists):
-            for c in cells.tolist():
-                by_cell.setdefault(c, []).append(n)
-        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in lists]
-        cuts = np.flatnonzero(np.r_[True, c2[1:] != c2[:-1], True])
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            for at in range(0, len(own := by_cell.get(int(c2[a]), [])), 256):
-                some = own[at : at + 256]
-                products = _exact(q[some], x[a:b])
-                for n, scores in zip(some, products):
-                    keep = _top(ids[a:b], scores, k + 1)
-                    found[n].append((ids[a:b][keep], scores[keep]))
+        # Queries that visit alike cells share a tile, so that a tile meets few vectors that it needn't.
+        order = sorted(range(len(lists)), key=lambda n: (len(lists[n]), lists[n][:4].tolist()))
         out = []
-        for n, parts in enumerate(found):
-            if parts:
-                i, s = (np.concatenate([p[e] for p in parts]) for e in (0, 1))
-                keep = i != q_ids[n]
-                best = _top(i[keep], s[keep], k)
-                out.append((int(q_ids[n]), i[keep][best], s[keep][best]))
+        for at in range(0, len(order), TILE):
+            tile = order[at : at + TILE]
+            cells = np.unique(np.concatenate([lists[n] for n in tile]))
+            visited = np.zeros((len(tile), len(cells)), bool)
+            for row, n in enumerate(tile):
+                visited[row, np.searchsorted(cells, lists[n])] = True
+            near = np.flatnonzero(np.isin(c2, cells))
+            out += _tile(q_ids[tile], q[tile], ids[near], x[near], visited[:, np.searchsorted(cells, c2[near])], k)
         return _hits(out)
 
     return run
 
 
+def _tile(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, visited: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Each query's `k` best of the vectors it visits; a matrix product finds who can be among them."""
+    # A product of either kind is off by far less than this, so no vector of the best is left out.
+    slack = 1e-12 * np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() if len(x) else 0.0)
+    rough = np.where(visited & (ids[None, :] != q_ids[:, None]), q @ x.T, -np.inf)
+    edge = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q), -np.inf)
+    out = []
+    for n in range(len(q)):
+        some = np.flatnonzero((rough[n] >= edge[n] - slack[n]) & (rough[n] > -np.inf))
+        if len(some):
+            scores = _exact(q[n : n + 1], x[some])[0]
+            best = _top(ids[some], scores, k)
+            out.append((int(q_ids[n]), ids[some][best], scores[best]))
+    return out
+
+
 def _brute(q_ids: np.ndarray, q: np.ndarray, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,5 +239,10 @@ def nearest_neighbours(
 
     visits = queries.mapInArrow(plan, "query_id long, query binary, c1 int, block int, cells array<int>")
     parts = lists.withColumn("block", F.pmod(F.xxhash64("vec_id"), of_list).cast("int"))
-    found = parts.groupBy("c1", "block").cogroup(visits.groupBy("c1", "block")).applyInArrow(lambda v, u: _search(k)(v, u), hits)
+    # Queries are dealt to groups of bounded size, so that a list meets them in several tasks.
+    turns = -(-queries.count() // QUERIES)
+    parts = parts.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    visits = visits.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
+    keys = ["c1", "block", "turn"]
+    found = parts.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(lambda v, u: _search(k)(v, u), hits)
     return _best(found, k).select("query_id", "rank", "vec_id", "score")

@@ -1,6 +1,7 @@
 import numpy as np
 from conftest import DATA
 
+from barloom.llm import inverted_multi_index
 from barloom.llm.inverted_multi_index import Index, nearest_neighbours
 
 
@@ -49,6 +50,15 @@ def test_ties_repeats_and_useless_vectors(spark):
     assert [i for i, _ in found(nearest_neighbours(few))[0]] == [1, 2]
 
 
+def test_rows_do_not_depend_on_tiles_and_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    e = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(1500, 8)))], "vec_id long, embedding array<double>")
+    whole = found(nearest_neighbours(e))
+    monkeypatch.setattr(inverted_multi_index, "QUERIES", 10)
+    monkeypatch.setattr(inverted_multi_index, "TILE", 3)
+    assert found(nearest_neighbours(e)) == whole
+
+
 def test_traversal_is_ordered_and_complete():
     rng = np.random.default_rng(0)
     index = Index(rng.normal(size=(6, 3)), rng.normal(size=(5, 3)))
