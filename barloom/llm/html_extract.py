@@ -16,8 +16,12 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from operator import add
 from zlib import adler32, crc32
 
 import pyarrow as pa
@@ -44,10 +48,18 @@ FURNITURE_NAMES = frozenset(
     "disqus footer masthead copyright legal pagination pager skip toolbar topbar".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_NAMED = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
-_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE) for tag in RAW}
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.IGNORECASE) for tag in RAW}
+
+#: Levels of elements that become levels of the tree (browsers stop there as well): deeper ones become
+#: siblings, in page order. Cells of a table of one exact alignment; longer lists are cut at anchors.
+DEPTH, CELLS = 512, 1 << 20
+
+# Each level takes a few Python frames, which use no C stack.
+RECURSION = 20_000
 
 #: Merged wrappers of one task that are held at once, and wrappers merged by one call.
 HELD_HOSTS, FAN_IN = 2000, 64
@@ -73,65 +85,137 @@ def _key(tag: str, attributes: str) -> str:
     return tag + "".join(f".{w}" for w in sorted(words))
 
 
+def tokens(html: str) -> Iterator[tuple[str, bool, str]]:
+    """(tag, whether it ends, attributes) and ("", False, text), in one pass over the page.
+
+    A `<` that opens no mark-up is text, and so is all after the last `>` but for a comment. A quote
+    that is never closed is an ordinary character: its tag ends at the next `>`.
+    """
+    at, plain, cdata = 0, 0, True
+    while (start := html.find("<", at)) >= 0:
+        if start > at:
+            yield "", False, html[at:start]
+        at = start
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            at = end + 3 if end >= 0 else len(html)
+            continue
+        if cdata and html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at)
+            cdata = end >= 0
+            if cdata:
+                yield "", False, html[at + 9 : end]
+                at = end + 3
+                continue
+        first = html.find(">", at)
+        if first < 0:
+            comment = html.find("<!--", at)
+            yield "", False, html[at : comment if comment >= 0 else len(html)]
+            return
+        if html[at + 1] in "!?":
+            at = first + 1
+            continue
+        named = _NAMED.match(html, at)
+        if not named:
+            yield "", False, "<"
+            at += 1
+            continue
+        end, seek = first, named.end()
+        while at >= plain:
+            stop = _STOP.search(html, seek)
+            if stop is None or stop.group() == ">":
+                end = stop.start() if stop else first
+                break
+            close = html.find(stop.group(), stop.end())
+            if close < 0:
+                plain = stop.end()  # tags up to here would only meet this quote again
+                break
+            seek = close + 1
+        tag, ends = named.group(1).lower(), html[at + 1] == "/"
+        yield tag, ends, html[named.end() : end]
+        at = end + 1
+        if tag in RAW and not ends:
+            close = _RAW_END[tag].search(html, at)
+            over = html.find(">", close.end()) if close else -1
+            at = over + 1 if over >= 0 else len(html)
+    if at < len(html):
+        yield "", False, html[at:]
+
+
 def parse(html: str) -> Node:
-    """The tree of block elements; a text child is [text, characters inside links]."""
+    """The tree of block elements; a text child is [its parts, characters inside links].
+
+    Below DEPTH levels a text becomes a child of the last level under its innermost element's key,
+    unless an element around it is furniture; no other text is left out.
+    """
     root = Node("#root", "#root")
-    stack, at, link = [root], 0, 0
+    stack, link, opened = [root], 0, Counter()
+    deep_furniture = 0
 
     def text(raw: str) -> None:
-        if raw:
-            children = stack[-1].children
-            if not children or isinstance(children[-1], Node):
-                children.append(["", 0])
-            children[-1][0] += raw
-            if link:
-                children[-1][1] += len(raw)
-
-    while m := _TOKEN.search(html, at):
-        text(html[at : m.start()])
-        at = m.end()
-        tag = (m.group(2) or "").lower()
+        if not raw or deep_furniture:
+            return
+        node = stack[-1]
+        if len(stack) > DEPTH:
+            last = stack[DEPTH - 1].children
+            if not last or last[-1] is not node:
+                # Its texts before and after an element inside it are blocks of their own.
+                node = stack[-1] = Node(node.key, node.tag) if node.children else node
+                last.append(node)
+        children = node.children
+        if not children or isinstance(children[-1], Node):
+            children.append([[], 0])
+        children[-1][0].append(raw)
+        if link:
+            children[-1][1] += len(raw)
+
+    def close(first: int) -> None:
+        nonlocal deep_furniture
+        for place in range(first, len(stack)):
+            opened[stack[place].tag] -= 1
+            if place >= DEPTH and furniture(stack[place].key):
+                deep_furniture -= 1
+        del stack[first:]
+
+    for tag, ends, attributes in tokens(html):
         if not tag:
-            if m.group(0).startswith("<![CDATA["):
-                text(m.group(0)[9:-3])
+            text(attributes)
             continue
-        if tag in RAW and not m.group(1):
-            end = _RAW_END[tag].search(html, at)
-            at = end.end() if end else len(html)
+        if tag in RAW and not ends:
             continue
         if tag == "a":
-            link = 0 if m.group(1) else 1
+            link = 0 if ends else 1
         if tag in INLINE:
-            if tag in ("br", "img", "wbr"):
-                text(" " if tag != "wbr" else "")
+            if tag in ("br", "img"):
+                text(" ")
             continue
-        if m.group(1):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    link = 0
-                    break
+        if ends:
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+                link = 0
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and opened[tag]:
             continue
-        for i in range(len(stack) - 1, 0, -1):
+        for i in range(len(stack) - 1, max(0, len(stack) - 9), -1):
             if tag in CLOSED_BY.get(stack[i].tag, ()):
-                del stack[i:]
+                close(i)
                 break
             if stack[i].tag not in ("tbody", "p"):
                 break
         if tag == "body" and stack[-1].tag == "head":
-            stack.pop()
-        node = Node(_key(tag, m.group(3)), tag)
-        stack[-1].children.append(node)
-        if tag not in VOID and not (m.group(3).rstrip().endswith("/") and tag not in CLOSES_P):
+            close(len(stack) - 1)
+        node = Node(_key(tag, attributes), tag)
+        if len(stack) < DEPTH:
+            stack[-1].children.append(node)
+        if tag not in VOID and not (attributes.rstrip().endswith("/") and tag not in CLOSES_P):
+            opened[tag] += 1
+            deep_furniture += len(stack) >= DEPTH and furniture(node.key)
             stack.append(node)
-    text(html[at:])
     return root
 
 
-def words(raw: str) -> str:
-    return " ".join(unescape(raw).split())
+def words(parts: list[str]) -> str:
+    return " ".join(unescape("".join(parts)).split())
 
 
 def hash_text(s: str) -> int:
@@ -157,14 +241,14 @@ def _same_group(a: list, b: list) -> bool:
     return a[0] == b[0] and (a[0] != GROUP or [x[0] for x in a[3]] == [x[0] for x in b[3]])
 
 
-def join_items(a: list, b: list) -> list:
-    """Two aligned items as one."""
+def join_items(a: list, b: list, pages=add) -> list:
+    """Two aligned items as one; `pages` is `add` for items of different pages, `max` within a page."""
     if a[0] == TEXT:
         same = a[3][0] if a[3][0] == b[3][0] else None
         body = [same, a[3][1] + b[3][1], a[3][2] + b[3][2]]
     else:
-        body = align(a[3], b[3])
-    return [a[0], _either(a[1], b[1]), a[2] + b[2], body]
+        body = align(a[3], b[3], pages)
+    return [a[0], _either(a[1], b[1]), pages(a[2], b[2]), body]
 
 
 def pairs(a: list, b: list, same) -> list[tuple[int | None, int | None]]:
@@ -176,6 +260,9 @@ def pairs(a: list, b: list, same) -> list[tuple[int | None, int | None]]:
     while tail < min(len(a), len(b)) - lo and same(a[-1 - tail], b[-1 - tail]):
         tail += 1
     x, y = a[lo : len(a) - tail], b[lo : len(b) - tail]
+    if len(x) * len(y) > CELLS:
+        middle = _anchored(x, y, same)
+        return [(i, i) for i in range(lo)] + [(i if i is None else lo + i, j if j is None else lo + j) for i, j in middle] + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
@@ -195,11 +282,64 @@ def pairs(a: list, b: list, same) -> list[tuple[int | None, int | None]]:
     return out + [(len(a) - k, len(b) - k) for k in range(tail, 0, -1)]
 
 
-def align(a: list, b: list) -> list:
+def _sign(item: list) -> tuple:
+    """Equal for items that `_same_group` takes for the same."""
+    return (GROUP, *(x[0] for x in item[3])) if item[0] == GROUP else (item[0],)
+
+
+def _anchored(x: list, y: list, same) -> list[tuple[int | None, int | None]]:
+    """An alignment of two long lists: items that occur once on each side and in the same order anchor
+    it, and what lies between two anchors is aligned by itself; without anchors, each item takes the
+    next equal one."""
+    signs_x, signs_y = [_sign(i) for i in x], [_sign(i) for i in y]
+    count_x, count_y = Counter(signs_x), Counter(signs_y)
+    place = {s: j for j, s in enumerate(signs_y) if count_y[s] == 1}
+    both = [(i, place[s]) for i, s in enumerate(signs_x) if count_x[s] == 1 and s in place]
+    # The longest chain of anchors that rises on both sides: `tops` holds the lowest end of each length.
+    tops: list[int] = []
+    ends: list[int] = []
+    before: list[int] = []
+    for n, (_, j) in enumerate(both):
+        at = bisect_left(tops, j)
+        tops[at : at + 1], ends[at : at + 1] = [j], [n]
+        before.append(ends[at - 1] if at else -1)
+    anchors: list[tuple[int, int]] = []
+    n = ends[-1] if ends else -1
+    while n >= 0:
+        anchors.append(both[n])
+        n = before[n]
+    if not anchors:
+        places: dict[tuple, list[int]] = {}
+        for j, s in enumerate(signs_y):
+            places.setdefault(s, []).append(j)
+        at = 0
+        for i, s in enumerate(signs_x):
+            later = places.get(s, [])
+            n = bisect_left(later, at)
+            if n < len(later):
+                anchors.append((i, later[n]))
+                at = later[n] + 1
+        return _between(anchors, x, y, lambda p, q: [*((i, None) for i in range(len(p))), *((None, j) for j in range(len(q)))])
+    return _between(anchors[::-1], x, y, lambda p, q: pairs(p, q, same))
+
+
+def _between(anchors: list[tuple[int, int]], x: list, y: list, inner) -> list[tuple[int | None, int | None]]:
+    """The anchors with what `inner` makes of the lists between them."""
+    out: list[tuple[int | None, int | None]] = []
+    i0 = j0 = 0
+    for i, j in [*anchors, (len(x), len(y))]:
+        out += [(p if p is None else i0 + p, q if q is None else j0 + q) for p, q in inner(x[i0:i], y[j0:j])]
+        if i < len(x):
+            out.append((i, j))
+        i0, j0 = i + 1, j + 1
+    return out
+
+
+def align(a: list, b: list, pages=add) -> list:
     """Two lists of items as one: mismatches become optional, then repeats fold."""
     out = []
     for i, j in pairs(a, b, _same_group):
-        out.append(_optional(b[j]) if i is None else _optional(a[i]) if j is None else join_items(a[i], b[j]))
+        out.append(_optional(b[j]) if i is None else _optional(a[i]) if j is None else join_items(a[i], b[j], pages))
     return fold(out)
 
 
@@ -213,19 +353,19 @@ def fold(items: list) -> list:
             last = out[-size - 1] if len(out) > size else None
             if last and last[0] == GROUP and len(last[3]) == size and all(_same_group(x, y) for x, y in zip(last[3], b)):
                 # A further turn of a group that has been found before.
-                out[-size - 1 :] = [[GROUP, "+" if last[1] in "1+" else "*", last[2], [join_items(x, y) for x, y in zip(last[3], b)]]]
+                out[-size - 1 :] = [[GROUP, "+" if last[1] in "1+" else "*", last[2], [join_items(x, y, max) for x, y in zip(last[3], b)]]]
                 break
             a = out[-2 * size : -size]
             if len(a) < size or not all(_same_group(x, y) for x, y in zip(a, b)):
                 continue
             if size == 1 and a[0][0] == TEXT:
-                joined = join_items(a[0], b[0])
+                joined = join_items(a[0], b[0], max)
             elif size == 1:
-                joined = join_items(a[0], b[0])
+                joined = join_items(a[0], b[0], max)
                 joined[1] = "*" if a[0][1] in "?*" and b[0][1] in "?*" else "+"
                 joined[2] = max(a[0][2], b[0][2])
             elif len({x[0] for x in a}) > 1:
-                joined = [GROUP, "+", max(a[0][2], b[0][2]), [join_items(x, y) for x, y in zip(a, b)]]
+                joined = [GROUP, "+", max(a[0][2], b[0][2]), [join_items(x, y, max) for x, y in zip(a, b)]]
             else:
                 continue
             out[-2 * size :] = [joined]
@@ -274,7 +414,7 @@ class Rules:
 
     def _walk(self, node: Node, items: list | None, out: list[str], inside: bool) -> None:
         """Appends the blocks under `node`; `items` is the wrapper's list for its children."""
-        children = [c if isinstance(c, Node) else [TEXT, words(c[0]), c[1], len(c[0])] for c in node.children]
+        children = [c if isinstance(c, Node) else [TEXT, words(c[0]), c[1], sum(map(len, c[0]))] for c in node.children]
         children = [c for c in children if isinstance(c, Node) or c[1]]
         slots = _slots(children, items) if items else [None] * len(children)
         for child, slot in zip(children, slots):
@@ -339,8 +479,11 @@ def _slots(children: list, items: list) -> list:
     for child in children:
         key = child.key if isinstance(child, Node) else TEXT
         places = by_key.get(key, [])
-        later = [p for p in places if p > at or (p == at and spread[p][1] in "+*")]
-        place = later[0] if later else places[-1] if places else None
+        if at >= 0 and spread[at][0] == key and spread[at][1] in "+*":
+            place = at
+        else:
+            later = bisect_right(places, at)
+            place = places[min(later, len(places) - 1)] if places else None
         if place is not None:
             at = place
         out.append(None if place is None else spread[place])
@@ -357,6 +500,7 @@ def host_of(url):
 
 
 def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sys.setrecursionlimit(RECURSION)
     held: dict[str, list] = {}
 
     def rows() -> pa.RecordBatch:
@@ -375,6 +519,7 @@ def _induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(group: pa.Table) -> pa.Table:
+    sys.setrecursionlimit(RECURSION)
     out = None
     for w in sorted(group["wrapper"].to_pylist()):
         own = json.loads(w)
@@ -401,6 +546,7 @@ BROADCAST_BYTES = 8 << 20
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """(page_id, url, text) of every page: blocks of the article joined by two line feeds.
 
+    Any html gives a text, however deep or broken; a page costs time about in proportion to its length.
     Null and empty html gives an empty text. Pages whose url is null or names no host share one
     wrapper. Repeated rows come back repeated, null ids as they are; further columns are ignored.
     A page without any article element gets the text that is not furniture.
@@ -413,6 +559,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     joined = own.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(RECURSION)
         known: dict[str | None, Rules] = {}
         for batch in batches:
             out = []

@@ -1,9 +1,12 @@
+import random
 import re
+import time
 from html import unescape
 
 from conftest import DATA
 
-from barloom.llm.html_extract import Rules, align, extract, fold, main_text, parse, wrapper
+from barloom.llm import html_extract
+from barloom.llm.html_extract import Rules, align, extract, fold, main_text, pairs, parse, wrapper
 
 
 def plain(html):
@@ -65,3 +68,51 @@ def test_odd_rows(spark):
     got = [(r.page_id, r.text) for r in extract(pages).collect()]
     assert len(got) == 7 and (1, "") in got and (2, "") in got and (3, "no tags <here>") in got and (4, "deep") in got and (5, "1 < 2 <") in got and (None, "a") in got
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_hostile_pages_take_seconds_and_keep_their_text(spark):
+    n = 100_000
+    deep = "<div>a" * n + "<nav>menu<p>more</p></nav><p>z</p>" + "b</div>" * n
+    rows = [
+        ("deep", deep, "\n\n".join(["a"] * n + ["z"] + ["b"] * n)),
+        ("deep menu", "<div>" * n + "<nav>x<p>y</p></nav><p>one</p>two<p>three" + "</div>" * n, "one\n\ntwo\n\nthree"),
+        ("no end", "<a " * 350_000, ("<a " * 350_000).strip()),
+        ("open quote", "<p title='x>one</p><p>two <b>three</b></p>", "one\n\ntwo three"),
+        ("quotes", "<i>ok</i><a \"<a>\" " * 100_000 + "'", None),
+        ("ends", "<p>x</p>" + "<div>" * n + "</q9>" * n, "x"),
+        ("cdata", "<p>x " + "<![CDATA[ " * n + "> y", "x y"),
+        ("script", "<p>x</p><script>" + "</script " * n, "x"),
+        ("inline", "<p>" + "<b>x</b> " * n, " ".join(["x"] * n)),
+    ]
+    start = time.time()
+    pages = spark.createDataFrame([(i, f"http://{i}.example/", html) for i, (_, html, _) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract(pages).collect()}
+    assert time.time() - start < 120
+    for i, (name, _, text) in enumerate(rows):
+        assert text is None or got[i] == text, name
+
+
+def test_long_unlike_lists_are_aligned_by_anchors(monkeypatch):
+    rng = random.Random(3)
+    keys = [f"k{i}" for i in range(40)]
+
+    def same(a, b):
+        return a[0] == b[0]
+
+    monkeypatch.setattr(html_extract, "CELLS", 20)
+    for _ in range(300):
+        a, b = ([item(rng.choice(keys)) for _ in range(rng.randrange(30))] for _ in range(2))
+        out = pairs(a, b, same)
+        assert [i for i, _ in out if i is not None] == list(range(len(a))) and [j for _, j in out if j is not None] == list(range(len(b)))
+        assert all(same(a[i], b[j]) for i, j in out if i is not None and j is not None)
+        if {x[0] for x in a} & {x[0] for x in b}:
+            assert any(i is not None and j is not None for i, j in out)
+
+
+def test_a_text_repeated_on_one_page_is_no_furniture():
+    one = "<div>" + "<p>same</p>" * 8 + "</div>"
+    assert main_text(one, Rules(wrapper(parse(one)))) == "\n\n".join(["same"] * 8)
+    merged = wrapper(parse(one))
+    for _ in range(3):
+        merged = align(merged, wrapper(parse(one)))
+    assert main_text(one, Rules(merged)) == ""
