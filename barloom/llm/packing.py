@@ -8,6 +8,7 @@ seed. The window left open at the end of a task is cut into powers of two, so no
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ SEPARATOR = 2
 #: Text of one shard of the index.
 SHARD_BYTES = 3 << 20
 
-#: Words of a seed that are looked up (its best by weight), and BM25's two parameters.
-QUERY_WORDS, K1, B = 12, 1.2, 0.75
+#: BM25's two parameters.
+K1, B = 1.2, 0.75
 
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -46,19 +47,19 @@ class Index:
         idf = np.log1p((docs - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if docs else 1.0))
         self.weight = idf[word_of] * tf * (K1 + 1) / (tf + norm[self.doc])
-        # A document's own best words that another document has too.
+        # A document's words that another document has too.
         useful = np.flatnonzero(df[word_of] > 1)
-        order = useful[np.lexsort((-self.weight[useful], self.doc[useful]))]
+        order = useful[np.argsort(self.doc[useful], kind="stable")]
         self.words = word_of[order]
         self.own = np.searchsorted(self.doc[order], np.arange(docs + 1))
         self.docs = docs
 
     def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a looked-up word with `doc`, best first."""
-        total = np.zeros(self.docs)
-        for w in self.words[self.own[doc] : min(self.own[doc + 1], self.own[doc] + QUERY_WORDS)]:
-            a, b = self.first[w], self.first[w + 1]
-            total[self.doc[a:b]] += self.weight[a:b]
+        """Unused documents that share a word with `doc`, best first, looked up by all its words."""
+        words = self.words[self.own[doc] : self.own[doc + 1]]
+        n = self.first[words + 1] - self.first[words]
+        at = np.arange(n.sum()) + np.repeat(self.first[words] - np.cumsum(n) + n, n)
+        total = np.bincount(self.doc[at], self.weight[at], self.docs)
         total[used] = 0
         found = np.flatnonzero(total)
         return found[np.argsort(-total[found], kind="stable")]
@@ -69,7 +70,7 @@ def order_of(index: Index, sizes: np.ndarray, room: int) -> Iterator[int]:
     used = np.zeros(index.docs, bool)
     unseen = 0
     seed = None
-    queue: list[int] = []
+    queue: deque[int] = deque()
     while True:
         if seed is None or not queue:
             while unseen < index.docs and used[unseen]:
@@ -78,14 +79,14 @@ def order_of(index: Index, sizes: np.ndarray, room: int) -> Iterator[int]:
                 return
             doc = unseen
         else:
-            doc = queue.pop(0)
+            doc = queue.popleft()
         used[doc] = True
         yield doc
         over = int(sizes[doc]) - room
         room = -over if over < 0 else SEQUENCE - over % SEQUENCE
         if seed is None or not queue or over >= 0:
             # It begins or continues a window: what follows is sought by it.
-            seed, queue = doc, index.neighbours(doc, used).tolist()
+            seed, queue = doc, deque(index.neighbours(doc, used).tolist())
 
 
 class Windows:

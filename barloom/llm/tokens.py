@@ -19,7 +19,7 @@ def word_bpe(path: str) -> Callable[[list[str]], list[list[int]]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    return lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
 def piece_bpe(path: str) -> Callable[[list[str]], list[list[int]]]:

@@ -5,7 +5,7 @@ import public_tokenizers
 from conftest import DATA
 from tokenizers import Tokenizer
 
-from barloom.llm.packing import pack
+from barloom.llm.packing import K1, B, Index, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -60,3 +60,20 @@ def test_lexical_neighbours_share_a_window(spark):
         changes += last is not None and last != p.doc_id % 3
         last = p.doc_id % 3
     assert changes <= 2
+
+
+def test_neighbours_equal_plain_bm25():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 30, n).tolist() for n in (0, 1, 5, 40, 40, 12, 80, 3)]
+    index = Index(np.array([w for t in texts for w in t]), np.r_[0, np.cumsum([len(t) for t in texts])])
+    mean = np.mean([len(t) for t in texts])
+
+    def weight(w, t):
+        n = sum(w in u for u in texts)
+        return np.log1p((len(texts) - n + 0.5) / (n + 0.5)) * t.count(w) * (K1 + 1) / (t.count(w) + K1 * (1 - B + B * len(t) / mean))
+
+    for doc, words in enumerate(texts):
+        used = np.arange(len(texts)) == doc
+        score = {i: sum(weight(w, t) for w in set(words) if w in t) for i, t in enumerate(texts) if i != doc}
+        wanted = sorted((i for i in score if score[i] > 0), key=lambda i: (-round(score[i], 9), i))
+        assert index.neighbours(doc, used).tolist() == wanted
