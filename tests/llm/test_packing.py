@@ -6,6 +6,7 @@ from conftest import DATA
 from tokenizers import Tokenizer
 
 from barloom.llm.packing import K1, B, Index, pack
+from barloom.llm.tokens import word_bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -77,3 +78,12 @@ def test_neighbours_equal_plain_bm25():
         score = {i: sum(weight(w, t) for w in set(words) if w in t) for i, t in enumerate(texts) if i != doc}
         wanted = sorted((i for i in score if score[i] > 0), key=lambda i: (-round(score[i], 9), i))
         assert index.neighbours(doc, used).tolist() == wanted
+
+
+def test_words_encoded_together_have_their_own_ids():
+    words = ["a", "|", "x|y", "||", "", "<|endoftext|>", "caf\u00e9", "\u0301e", "\u00a0", "it's", "12,5", "<", "\u03a3\u03a3", "#|"] + [f"w{i}" for i in range(900)]
+    tokenizer = Tokenizer.from_file(PATH)
+    for some in (words, [w for w in words if "|" not in w], ["|", "a|"], [], ["a"]):
+        ids, length = word_bpe(PATH)(some)
+        ends = np.cumsum(length)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, length)] == [tokenizer.encode(w, add_special_tokens=False).ids for w in some]
