@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from barloom.functions.names import source_key
@@ -10,7 +12,7 @@ from barloom.plans import build as builds
 from barloom.plans import changes
 from barloom.plans.config import BuildConfig, resolve
 from barloom.queries import views as v
-from barloom.queries.files import DAILY_SQL, folder, page_files, page_number, raw_daily, write_csv
+from barloom.queries.files import DAILY_SQL, folder, listed, page_files, page_number, raw_daily, write_csv
 from barloom.queries.registry import query
 from barloom.queries.relational import ACTIONS_SQL, SOURCES_SQL, sources
 from barloom.session import delete, hadoop_path
@@ -78,20 +80,30 @@ def inc08(spark, sf_dir):
     return changes.classify(*sources(spark, sf_dir), old_scheme=True).select("source_key", "action")
 
 
-# Whole builds. Daily sources are one CSV per priority, derived from `orders`.
+# Whole builds. Daily sources are CSV files of a few priorities each, derived from `orders`.
+
+#: Orders for each file of a group of symbols.
+SOURCE_ROWS = 1_000_000
 
 
 def write_sources(spark, sf_dir, root, rows):
-    """Daily CSV files named as the adapter expects, at `root/day`; an empty minute folder."""
+    """Daily CSV files named as the adapter expects, at `root/day`; an empty minute folder.
+
+    Symbols make four groups, and a group has a file for each SOURCE_ROWS orders. A line's file
+    depends on the line and the number of orders, and lines are sorted, so a file changes only
+    where its own lines do.
+    """
     staging = f"{root}/staging"
-    write_csv(rows.repartition(4, "SYMBOL"), staging)
+    slices = max(1, -(-v.table(spark, sf_dir, "orders").count() // SOURCE_ROWS))
+    number = F.pmod(F.hash("SYMBOL"), F.lit(4)) * slices + F.pmod(F.xxhash64(*rows.columns), F.lit(slices))
+    write_csv(rows.repartitionById(4 * slices, number.cast("int")).sortWithinPartitions(*rows.columns), staging)
     fs, target = hadoop_path(spark, f"{root}/day")
     delete(spark, f"{root}/day")
     delete(spark, f"{root}/minute")
     fs.mkdirs(target)
     fs.mkdirs(hadoop_path(spark, f"{root}/minute")[1])
-    parts = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(staging).select("path").collect()]
-    for number, part in enumerate(sorted(parts)):
+    for part in listed(spark, staging):
+        number = int(re.search(r"part-(\d+)", part).group(1))
         fs.rename(hadoop_path(spark, part)[1], hadoop_path(spark, f"{root}/day/delivery_{number}.csv")[1])
     return BuildConfig(f"{root}/database", f"{root}/day", f"{root}/minute")
 
