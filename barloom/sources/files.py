@@ -6,7 +6,7 @@ import csv
 import re
 import zipfile
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 from itertools import islice
 from xml.etree import ElementTree
 
@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.names import HEADER_KEYWORDS, content_prefix, stat_fingerprint
-from barloom.session import exists
+from barloom.session import exists, hadoop_path
 from barloom.sources.streams import first_line, opened, sha256_of, with_columns
 
 # The first bytes of every ZIP file, workbooks included.
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 #: Rows of a workbook that are held at once.
 SHEET_BATCH = 10_000
+#: Named files of a task at most, where there are enough files for all cores.
+TASK_FILES = 16
 
 
 def file_name(path: Column) -> Column:
@@ -59,9 +61,19 @@ def fingerprints(files: DataFrame, version: int, by: str = "content") -> DataFra
     return with_columns(files, look, "fingerprint string")
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """A path as listings write it, with its scheme."""
+    if ":" in path.partition("/")[0]:
+        return path
+    fs, named = hadoop_path(spark, path)
+    return fs.makeQualified(named).toString()
+
+
 def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path and length of the named files."""
-    return spark.read.format("binaryFile").load(paths).select("path", "length")
+    """The named files as rows (path), dealt to tasks. They come from a listing, so none is listed again."""
+    tasks = max(1, min(len(paths), max(4 * spark.sparkContext.defaultParallelism, -(-len(paths) // TASK_FILES))))
+    named = pa.table({"path": pa.array([full_path(spark, p) for p in paths], pa.string()), "task": pa.array([i % tasks for i in range(len(paths))], pa.int32())})
+    return spark.createDataFrame(named).repartitionById(tasks, "task").select("path")
 
 
 def checksums(files: DataFrame) -> DataFrame:
@@ -185,13 +197,15 @@ def derivatives_gate(archives: DataFrame) -> DataFrame:
 
 
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+ROW, CELL, VALUE, TEXT = f"{SHEET}row", f"{SHEET}c", f"{SHEET}v", f"{SHEET}t"
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def column_number(reference: str) -> int:
-    """`'AB12'` -> 27."""
+@cache
+def column_number(letters: str) -> int:
+    """`'AB'` -> 27."""
     number = 0
-    for letter in re.match("[A-Z]+", reference).group():
+    for letter in letters:
         number = number * 26 + ord(letter) - ord("A") + 1
     return number - 1
 
@@ -207,27 +221,40 @@ def active_sheet(book: zipfile.ZipFile) -> str:
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
+def inline_text(cell: ElementTree.Element) -> str:
+    """The text of a cell that holds it itself, most often in one element."""
+    if len(cell) == 1 and len(cell[0]) == 1 and cell[0][0].tag == TEXT and not len(cell[0][0]):
+        return cell[0][0].text or ""
+    return "".join(t.text or "" for t in cell.iter(TEXT))
+
+
 def sheet_rows(book: zipfile.ZipFile) -> Iterator[list[str | None]]:
     """Cell values (of formulas, their last result) of the active sheet, row by row."""
     shared: list[str] = []
     if "xl/sharedStrings.xml" in book.namelist():
         strings = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-        shared = ["".join(t.text or "" for t in item.iter(f"{SHEET}t")) for item in strings]
+        shared = ["".join(t.text or "" for t in item.iter(TEXT)) for item in strings]
     with book.open(active_sheet(book)) as stream:
         for _, row in ElementTree.iterparse(stream):
-            if row.tag != f"{SHEET}row":
+            if row.tag != ROW:
                 continue
             cells: list[str | None] = []
-            for cell in row.findall(f"{SHEET}c"):
-                position = column_number(cell.get("r")) if cell.get("r") else len(cells)
-                cells += [None] * (position - len(cells))
-                value = cell.find(f"{SHEET}v")
-                if cell.get("t") == "inlineStr":
-                    cells.append("".join(t.text or "" for t in cell.iter(f"{SHEET}t")))
-                elif value is None:
+            for cell in row:
+                if cell.tag != CELL:
+                    continue
+                reference, kind = cell.get("r"), cell.get("t")
+                if reference:
+                    position = column_number(reference.rstrip("0123456789"))
+                    if position > len(cells):
+                        cells += [None] * (position - len(cells))
+                if kind == "inlineStr":
+                    cells.append(inline_text(cell))
+                    continue
+                value = cell.find(VALUE)
+                if value is None:
                     cells.append(None)
                 else:
-                    cells.append(shared[int(value.text)] if cell.get("t") == "s" else value.text)
+                    cells.append(shared[int(value.text)] if kind == "s" else value.text)
             yield cells
             row.clear()
 

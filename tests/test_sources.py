@@ -186,3 +186,36 @@ def test_quoted_headers_and_wide_headers(spark, tmp_path):
     workbooks, groups = files.inspect(spark, [str(tmp_path / "w.csv")])
     assert workbooks == []
     assert [r.symbol for r in files.csv_rows(spark, groups, ["symbol"]).collect()] == ["ABC"]
+
+
+def test_named_files_are_dealt_to_tasks_without_listing_them(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    for i in range(100):
+        raw.write_day(tmp_path / f"delivery_{i}.csv", [raw.day_row(f"S{i}")])
+    paths = [r["path"] for r in files.list_files(spark, str(tmp_path), "*.csv").collect()]
+    monkeypatch.setattr(files, "TASK_FILES", 3)
+    named = files.read_paths(spark, paths)
+    assert "binaryFile" not in named._jdf.queryExecution().executedPlan().toString()
+    held = named.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 100 and max(r["count"] for r in held) <= 3
+    assert {r["path"] for r in files.read_paths(spark, [p.removeprefix("file:") for p in paths]).collect()} == set(paths)
+    assert files.read_paths(spark, []).count() == 0
+
+
+def test_cells_of_a_workbook(spark, tmp_path):
+    import zipfile
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    names = "".join(f'<c t="inlineStr"><is><t>{c}</t></is></c>' for c in ("A", "B", "C"))
+    rich = '<c r="A2" t="inlineStr"><is><r><t>ri</t></r><r><t>ch</t></r></is></c><c r="C2" t="inlineStr"><is><t/></is></c>'
+    far = '<c r="B3"><v>7</v></c><c><f>1</f></c><c r="AB3"><v>8</v></c>'
+    rows = f"<row>{names}</row><row>{rich}</row><row>{far}</row><row/>"
+    with zipfile.ZipFile(tmp_path / "w.csv", "w") as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="s" sheetId="1" r:id="r1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{rows}</sheetData></worksheet>')
+    found = files.workbook_rows(files.read_paths(spark, [str(tmp_path / "w.csv")]), ["a", "b", "c"]).collect()
+    assert [(r.a, r.b, r.c) for r in found] == [("rich", None, ""), (None, "7", None), (None, None, None)]
+    with zipfile.ZipFile(tmp_path / "w.csv") as book:
+        assert [len(r) for r in files.sheet_rows(book)] == [3, 3, 28, 0]
