@@ -10,10 +10,11 @@ every further start keeps lists of vectors outside the own component of the edge
 and starts go on as long as they find edges: no list ends saturated, however many copies a group
 has. Links inside a component are counted in blocks that return counts, not pairs.
 
-An audit compares a sample with all vectors, and a larger one until it holds enough links; its
-missing edges are added, and a low recall starts further rounds from new directions. Where the
-recall stays low, where links are too rare for any sample but the whole table, and in tables
-small enough that it costs less, all vectors are compared in blocks: the result is exact then.
+An audit compares a sample with all vectors, and a larger one until it holds enough links; a low
+recall starts further rounds from new directions, and the links that the descent missed are added.
+Where links are too rare for any sample, the audit's is the whole table; where the recall stays
+low, an audit of the whole table follows. The result is exact then. The descent runs whatever the
+table's size, and no size chooses another method.
 """
 
 from __future__ import annotations
@@ -44,11 +45,11 @@ AUDITED, RECALL, STARTS = 256, 0.98, 3
 #: Links that an audit must hold, and by how much its sample grows until it does.
 AUDIT_LINKS, AUDIT_GROWTH = 100, 16
 
-#: Starts at most, whatever they find; the exact search takes over.
+#: Starts at most, whatever they find; an audit of the whole table follows.
 ALL_STARTS = 12
 
-#: Vectors up to which all are compared at once; bytes and vectors of a block of that comparison.
-EXACT, EXACT_BYTES, EXACT_ROWS = 200_000, 2 << 20, 4096
+#: Bytes and vectors of a block when an audit compares many vectors.
+EXACT_BYTES, EXACT_ROWS = 2 << 20, 4096
 
 #: Vectors of one block when a component is counted.
 COUNT_BLOCK = 256
@@ -226,22 +227,23 @@ def _search(store: Store, name: str, left: DataFrame, right: DataFrame, mirrored
     return store.put(name, pairs.mapInArrow(_compared, "a long, b long, n long"))
 
 
-def _exact(store: Store, vectors: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Edges (a, b) that connect what all links do, and (vec_id, n), each vector's links."""
-    blocks = _blocks(store, "blocks", vectors, width)
-    found = _search(store, "exact", blocks, blocks, True)
-    return found.where("b IS NOT NULL").select("a", "b"), found.where("n IS NOT NULL").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n"))
+def _whole(store: Store, vectors: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """The audit of the whole table: links (u, w) that connect what all do, and (vec_id, n), each vector's links."""
+    blocks = _blocks(store, "all-blocks", vectors, width)
+    found = _search(store, "whole", blocks, blocks, True)
+    links = found.where("b IS NOT NULL").select(F.col("a").alias("u"), F.col("b").alias("w"))
+    return links, found.where("n IS NOT NULL").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n"))
 
 
-def near_duplicates(embeddings: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", exact: int = EXACT) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", exact: int = 0) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row, by cosine of THRESHOLD or more.
 
     `n_links` counts the links found with other vectors, `component_id` is the smallest id
     reachable by links, `kept` marks the row that has that id. Vectors that are null, zero or hold null or
     non-finite components link with nothing, nor do null ids (their component is null); an id
     that occurs twice counts once and comes back twice. An empty table gives an empty one.
-    Vectors must have one length; further columns are ignored. Tables of up to `exact` vectors
-    are compared as a whole.
+    Vectors must have one length; further columns are ignored. The audit that follows the descent
+    takes `exact` vectors at least, all of them in tables that have no more.
     """
     spark = embeddings.sparkSession
     store = Store(spark, "nn_descent")
@@ -250,10 +252,7 @@ def near_duplicates(embeddings: DataFrame, id_column: str = "vec_id", vector_col
     first = vectors.select("vector").first()
     edges, counts = spark.createDataFrame([], "a long, b long"), None
     if first is not None:
-        width, total = len(first["vector"]) // 8, vectors.count()
-        edges = _edges(store, vectors, width, total) if total > exact else None
-        if edges is None:
-            edges, counts = _exact(store, vectors, width)
+        edges, counts = _edges(store, vectors, len(first["vector"]) // 8, vectors.count(), exact)
     found = store.put("found", components(store, "components", edges))
     if counts is None:
         counts = _counts(store, vectors, found)
@@ -262,8 +261,8 @@ def near_duplicates(embeddings: DataFrame, id_column: str = "vec_id", vector_col
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _audit(store: Store, vectors: DataFrame, width: int, total: int) -> DataFrame | None:
-    """Links (u, w) of a sample that holds AUDIT_LINKS of them with all vectors; None if only the whole table does."""
+def _audit(store: Store, vectors: DataFrame, width: int, total: int, least: int) -> DataFrame | None:
+    """Links (u, w) of a sample of `least` vectors or more, that holds AUDIT_LINKS of them, with all vectors; None if only the whole table does."""
     audited = vectors.orderBy(F.xxhash64(F.lit(8), "vec_id")).limit(AUDITED).toArrow()
     ids, x = audited["vec_id"].to_numpy(), matrix(audited["vector"].combine_chunks())
 
@@ -278,8 +277,8 @@ def _audit(store: Store, vectors: DataFrame, width: int, total: int) -> DataFram
     size = AUDITED
     true = store.put("audit", vectors.mapInArrow(audit, _PAIRS).select("u", "w"))
     blocks = None
-    while true.count() < AUDIT_LINKS:
-        size *= AUDIT_GROWTH
+    while size < least or true.count() < AUDIT_LINKS:
+        size = max(least, size * AUDIT_GROWTH)
         if size >= total:
             return None
         blocks = blocks or _blocks(store, "blocks", vectors, width)
@@ -289,16 +288,15 @@ def _audit(store: Store, vectors: DataFrame, width: int, total: int) -> DataFram
     return true
 
 
-def _edges(store: Store, vectors: DataFrame, width: int, total: int) -> DataFrame | None:
-    """Edges (a, b) with the components of all that was found; None if no audit can tell the recall or it stays low."""
+def _edges(store: Store, vectors: DataFrame, width: int, total: int, least: int) -> tuple[DataFrame, DataFrame | None]:
+    """Edges (a, b) with the components of the descent's links and the audit's; (vec_id, n) if that was of the whole table."""
     spark = store.spark
-    true = _audit(store, vectors, width, total)
-    if true is None:
-        return None
+    true = _audit(store, vectors, width, total, least)
     pairs = spark.createDataFrame([], _PAIRS)
     joined = spark.createDataFrame([], "node long, component long")
-    missed = 0
-    for start in range(ALL_STARTS):
+    missed, ended = 0, False
+    # What one start leaves out, an audit of the whole table has.
+    for start in range(1 if true is None else ALL_STARTS):
         directions = np.random.default_rng(start).normal(size=(DIRECTIONS, width))
 
         def project(batches: Iterator[pa.RecordBatch], directions: np.ndarray = directions) -> Iterator[pa.RecordBatch]:
@@ -320,19 +318,21 @@ def _edges(store: Store, vectors: DataFrame, width: int, total: int) -> DataFram
         more = not edges.isEmpty()
         if more:
             joined = components(store, f"audit-{start}", edges.unionByName(joined.select(F.col("component").alias("a"), F.col("node").alias("b"))))
+        if true is None:
+            break
         # A link counts as found if both ends are in one component: counting finds it there.
         both = true.join(joined.toDF("u", "c1"), "u", "left").join(joined.toDF("w", "c2"), "w", "left")
         row = both.agg(F.count("*").alias("n"), F.sum((F.col("c1") == F.col("c2")).cast("long")).alias("hit")).first()
         reached = (row["hit"] or 0) >= RECALL * row["n"]
-        if not more and reached:
-            break
+        ended = not more and reached
         missed += not reached
-        if missed == STARTS:
-            return None
-    else:
-        return None
+        if ended or missed == STARTS:
+            break
+    counts = None
+    if not ended:
+        true, counts = _whole(store, vectors, width)
     # A star per component and the audited edges connect what all edges would.
-    return joined.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(true.select(F.col("u").alias("a"), F.col("w").alias("b")))
+    return joined.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(true.select(F.col("u").alias("a"), F.col("w").alias("b"))), counts
 
 
 def _counts(store: Store, vectors: DataFrame, found: DataFrame) -> DataFrame:

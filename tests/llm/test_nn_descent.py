@@ -101,6 +101,37 @@ def test_rare_links_are_all_found(spark, monkeypatch):
         assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e, **options).collect()} == wanted
 
 
+def test_the_descent_runs_whatever_the_size(spark, monkeypatch):
+    runs = []
+    descend = nn_descent._descend
+
+    def counted(store, name, *rest):
+        runs.append(name)
+        return descend(store, name, *rest)
+
+    monkeypatch.setattr(nn_descent, "_descend", counted)
+    rng = np.random.default_rng(3)
+    few, many = families(rng, [1] * 100 + [2] * 3), families(rng, [1] * 20 + [30, 40])
+    for rows in (few, many):
+        wanted = brute(rows)
+        e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+        got = []
+        for options in ({}, {"exact": len(rows)}):
+            runs.clear()
+            got.append({r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e, **options).collect()})
+            assert runs
+        assert got == [wanted, wanted]
+
+
+def test_a_low_recall_is_made_up_for(spark, monkeypatch):
+    # No start reaches this recall: what an audit of all vectors finds is added to the descent's links.
+    monkeypatch.setattr(nn_descent, "RECALL", 2)
+    monkeypatch.setattr(nn_descent, "STARTS", 1)
+    rows = families(np.random.default_rng(6), [1] * 50 + [3] * 10 + [40])
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e).collect()} == brute(rows)
+
+
 def test_forest_connects_what_all_links_connect():
     rng = np.random.default_rng(2)
     for share in (0, 0.02, 0.1, 1):
