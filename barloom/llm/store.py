@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,11 @@ class Store:
     def drop(self, name: str) -> None:
         delete(self.spark, f"{self.base}/{name}")
 
+    def tidy(self) -> None:
+        """Shuffle files of steps that are over go; else they stay until the driver happens to collect its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from conftest import DATA
 
 from barloom.llm import nn_descent
@@ -149,3 +150,63 @@ def test_forest_connects_what_all_links_connect():
         own = np.zeros_like(links)
         own[i, j] = True
         assert (groups(own) == groups(links)).all()
+
+
+def beside(rng, x, cosine):
+    side = rng.normal(size=x.shape)
+    side -= x * (side * x).sum(1)[:, None]
+    return cosine * x + (1 - cosine**2) ** 0.5 * side / np.linalg.norm(side, axis=1)[:, None]
+
+
+def test_starts_find_scattered_pairs_without_an_audit_of_the_whole_table(spark, monkeypatch):
+    def whole(*_):
+        raise AssertionError("all vectors were compared with all")
+
+    joined = []
+    descend = nn_descent._descend
+
+    def counted(store, name, vectors, *rest):
+        joined.append(vectors.count())
+        return descend(store, name, vectors, *rest)
+
+    monkeypatch.setattr(nn_descent, "_whole", whole)
+    monkeypatch.setattr(nn_descent, "_descend", counted)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, beside(rng, x[:300], 0.95)]))]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e).collect()} == brute(rows)
+    # Vectors with no neighbour near enough to share a link aren't moved in the rounds.
+    assert joined and max(joined) < 600
+
+
+def test_components_of_many_blocks_with_copies_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "COUNT_BLOCK", 4)
+    monkeypatch.setattr(nn_descent, "BLOCK", 8)
+    monkeypatch.setattr(nn_descent, "TILE", 4)
+    rows = families(np.random.default_rng(5), [1] * 20 + [2] * 5 + [9, 30])
+    rows += [(200000 + i, rows[-1][1]) for i in range(25)] + [(300000 + i, rows[0][1]) for i in range(3)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e).collect()} == brute(rows)
+
+
+def test_single_precision_does_not_decide_at_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(200, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    both = np.concatenate([x, *(beside(rng, x[k::4], 0.9 + d) for k, d in enumerate((-3e-7, -3e-8, 3e-8, 3e-7)))]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(both)]
+    wanted = brute(rows)
+    assert 150 < sum(n for n, _ in wanted.values()) < 250
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(e).collect()} == wanted
+
+
+def test_equal_vectors_of_several_batches_count_once():
+    x = np.random.default_rng(1).normal(size=(3, 8))
+    rows = [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 2), (6, 2)]
+    keys = np.array([(1 << nn_descent.HASH_BITS) + 7 + v // 2 for _, v in rows])  # the first two vectors have one hash
+    table = pa.table([pa.array([i for i, _ in rows]), pa.array([x[v].tobytes() for _, v in rows]), pa.array(keys)], names=["vec_id", "vector", "key"])
+    found = [r for b in nn_descent._cells(iter(table.to_batches(max_chunksize=2)), "<f8") for r in b.to_pylist()]
+    assert [(r["u"], r["w"], r["s"]) for r in found] == [(0, 1, None), (0, 2, None), (0, 3, None), (5, 6, None)]
