@@ -234,20 +234,30 @@ def _block(x: np.ndarray, single: np.ndarray, rows: np.ndarray) -> tuple[np.ndar
 
 
 def _cell(ids: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """What the blocks of a cell connect, as (u, w, null), and their lists, as (u, w, s)."""
-    single = x.astype(np.float32)
+    """What the blocks of a cell connect, as (u, w, null), and each row's list in the cell, as (u, w, s)."""
+    single, every = x.astype(np.float32), np.arange(len(x))
+    none = np.zeros(0, np.int64)
+    stars, lists = [(none, none)], [(none, none, np.zeros(0))]
     for rows in _parted(single):
-        names = ids[rows]
-        label, lists = _block(x, single, rows)
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        if len(linked):
-            yield pa.RecordBatch.from_arrays([pa.array(names[label[linked]]), pa.array(names[linked]), pa.nulls(len(linked), pa.float64())], names=["u", "w", "s"])
-        if lists:
-            u, w, s = (np.concatenate(column) for column in zip(*lists))
+        label, found = _block(x, single, rows)
+        linked = np.flatnonzero(label != every[: len(rows)])
+        stars.append((rows[label[linked]], rows[linked]))
+        if found:
+            u, w, s = (np.concatenate(column) for column in zip(*found))
             apart = label[u] != label[w]
             u, w, s = _best(u[apart], w[apart], s[apart])
-            if len(u):
-                yield _pairs(names[u], names[w], s)
+            lists.append((rows[u], rows[w], s))
+    label = _merged(every, *(np.concatenate(column) for column in zip(*stars)))
+    linked = np.flatnonzero(label != every)
+    if len(linked):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[label[linked]]), pa.array(ids[linked]), pa.nulls(len(linked), pa.float64())], names=["u", "w", "s"])
+    u, w, s = (np.concatenate(column) for column in zip(*lists))
+    # Two blocks may hold the same pair.
+    once = np.unique(u * len(x) + w, return_index=True)[1]
+    once = once[label[u[once]] != label[w[once]]]
+    if len(once):
+        u, w, s = _best(u[once], w[once], s[once])
+        yield _pairs(ids[u], ids[w], s)
 
 
 def _cells(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
